@@ -26,6 +26,68 @@ valid AS (
 )"""
 
 
+FX_SOURCE = """
+fx_part AS (
+  SELECT 'p' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id,
+         'm' || CAST(conv_id AS VARCHAR) || '-' || CAST(CAST(floor(turn / 2) AS BIGINT) AS VARCHAR) AS message_id,
+         's' || CAST(conv_id AS VARCHAR) AS session_id,
+         CAST(1704067200000 + (conv_id * 1000 + turn) * 60000 AS BIGINT) AS time_created,
+         CAST(1704067200000 + (conv_id * 1000 + turn) * 60000 + 1000 AS BIGINT) AS time_updated,
+         conv_id, turn, role, text, (conv_id + turn) % 6 AS k
+  FROM conversations
+),
+fx_message AS (
+  SELECT message_id AS id, min(role) AS role FROM fx_part WHERE conv_id % 31 <> 0 GROUP BY 1
+),
+fx_session AS (
+  SELECT 's' || CAST(conv_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id, 'slug' AS slug,
+         '/work' AS directory, '/work' AS path, 'session ' || CAST(conv_id % 40 AS VARCHAR) AS title,
+         '1.0.0' AS version, CAST(conv_id % 5 AS BIGINT) AS summary_additions,
+         CAST(conv_id % 3 AS BIGINT) AS summary_deletions,
+         CAST(1704067200000 + conv_id * 60000000 AS BIGINT) AS time_created,
+         CAST(1704067200000 + conv_id * 60000000 + 1000 AS BIGINT) AS time_updated
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT 's-empty-' || CAST(i AS VARCHAR), NULL, 'slug', '/work', '/work', 'empty', '1.0.0',
+         CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1704067200000 AS BIGINT), CAST(1704067201000 AS BIGINT)
+  FROM range(3) t(i)
+),
+parts AS (
+  SELECT p.id AS part_id, p.message_id, p.session_id, p.time_created, p.time_updated, m.role, s.title,
+    CASE p.k WHEN 0 THEN 'text' WHEN 1 THEN 'reasoning' WHEN 2 THEN 'tool' WHEN 3 THEN 'step-finish'
+             WHEN 4 THEN 'patch' ELSE 'step-start' END AS part_type,
+    CASE WHEN p.k IN (0, 1) THEN p.text END AS text,
+    CASE WHEN p.k = 1 THEN '{"end":' || CAST(p.turn + 1 AS VARCHAR) || ',"start":' || CAST(p.turn AS VARCHAR) || '}'
+         END AS reasoning_time,
+    CASE WHEN p.k = 2 THEN (['bash', 'edit', 'read'])[CAST(p.conv_id % 3 AS INTEGER) + 1] END AS tool,
+    CASE WHEN p.k = 2 THEN 'completed' END AS tool_status,
+    CASE WHEN p.k = 2 THEN '{"n":' || CAST(p.turn AS VARCHAR) || '}' END AS tool_input,
+    CASE WHEN p.k = 2 THEN substring(p.text, 1, 100) END AS tool_output,
+    CASE WHEN p.k = 3 THEN 'stop' END AS reason,
+    CASE WHEN p.k = 3 THEN CAST(p.turn * 10 AS BIGINT) END AS tokens_input,
+    CASE WHEN p.k = 3 THEN CAST(p.turn * 3 AS BIGINT) END AS tokens_output,
+    CASE WHEN p.k = 3 THEN CAST(p.turn * 13 AS BIGINT) END AS tokens_total,
+    CASE WHEN p.k = 3 THEN CAST(p.turn AS DOUBLE) / 100.0::DOUBLE END AS cost,
+    CASE WHEN p.k = 4 THEN '["src/f' || CAST(p.conv_id % 7 AS VARCHAR) || '.py","src/g' || CAST(p.turn AS VARCHAR)
+         || '.py"]' END AS files,
+    p.conv_id, p.turn
+  FROM fx_part p JOIN fx_message m ON m.id = p.message_id JOIN fx_session s ON s.id = p.session_id
+),
+files AS (
+  SELECT session_id, title, part_id, make_timestamp(time_created * 1000) AS time_created,
+         'src/f' || CAST(conv_id % 7 AS VARCHAR) || '.py' AS file
+  FROM parts WHERE part_type = 'patch'
+  UNION ALL
+  SELECT session_id, title, part_id, make_timestamp(time_created * 1000) AS time_created,
+         'src/g' || CAST(turn AS VARCHAR) || '.py' AS file
+  FROM parts WHERE part_type = 'patch'
+)"""
+
+PART_COLS = """part_id, message_id, session_id, time_created, time_updated, role, title, part_type, text,
+  reasoning_time, tool, tool_status, tool_input, tool_output, reason, tokens_input, tokens_output, tokens_total,
+  cost, files"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes) + "\n"
 
@@ -46,6 +108,66 @@ FROM (SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM events WHERE {col}
 
 
 ORACLE: dict[str, str] = {
+    # ------------------------------------------------------ conversations
+    "q_parts_join": _with(FX_SOURCE) + "SELECT part_id, message_id, session_id, title FROM parts",
+    "q_parts_extract": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    "q_sessions_projection": _with(FX_SOURCE) + "SELECT * FROM fx_session",
+    "q_session_summary": _with(FX_SOURCE)
+    + """, agg AS (
+  SELECT session_id, count(part_id) AS nb_parts, count(tool) AS nb_tools, count(DISTINCT message_id) AS nb_messages,
+         CAST(coalesce(sum(CAST(cost AS DECIMAL(38, 10))), 0) AS DOUBLE) AS cost,
+         CAST(coalesce(sum(tokens_total), 0) AS BIGINT) AS tokens
+  FROM parts WHERE session_id IS NOT NULL GROUP BY 1)
+SELECT s.id, s.title, make_timestamp(s.time_created * 1000) AS dt, s.summary_additions, s.summary_deletions,
+       a.nb_parts, a.nb_tools, a.nb_messages, a.cost, a.tokens
+FROM fx_session s LEFT JOIN agg a ON s.id = a.session_id""",
+    "q_session_list": _with(FX_SOURCE)
+    + """SELECT id, left(title, 60) || ' (' || id || ')' AS label, make_timestamp(time_created * 1000) AS dt,
+       row_number() OVER (ORDER BY time_created DESC, id) AS pos
+FROM fx_session""",
+    "q_timeline": _with(FX_SOURCE)
+    + """SELECT session_id, part_id, seq, time_created,
+  CASE WHEN part_type = 'text' AND role = 'user' THEN 'user' WHEN part_type = 'text' THEN 'assistant'
+       ELSE part_type END AS kind,
+  CASE part_type WHEN 'text' THEN coalesce(text, '')
+    WHEN 'reasoning' THEN left(coalesce(text, ''), 2000)
+    WHEN 'tool' THEN coalesce(nullif(tool, ''), '?') || ' · ' || coalesce(tool_status, '')
+    WHEN 'step-finish' THEN coalesce(CAST(tokens_total AS VARCHAR), '-') || ' tokens · ' || coalesce(CAST(cost AS VARCHAR), '-')
+    WHEN 'patch' THEN 'src/f' || CAST(conv_id % 7 AS VARCHAR) || '.py, src/g' || CAST(turn AS VARCHAR) || '.py'
+    ELSE '' END AS body,
+  CASE WHEN part_type = 'tool' THEN tool_input END AS tool_input,
+  CASE WHEN part_type = 'tool' THEN left(coalesce(tool_output, ''), 4000) END AS tool_output
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
+WHERE seq <= 200""",
+    "q_tool_names": _with(FX_SOURCE)
+    + "SELECT DISTINCT tool FROM parts WHERE part_type = 'tool' AND tool IS NOT NULL",
+    "q_tool_calls": _with(FX_SOURCE)
+    + """SELECT part_id, session_id, time_created, coalesce(nullif(tool, ''), '?') AS tool, left(coalesce(title, ''), 50) AS title,
+       coalesce(tool_status, '') AS tool_status, tool_input, left(coalesce(tool_output, ''), 4000) AS tool_output
+FROM parts
+WHERE part_type = 'tool' AND tool IN ('bash', 'edit')
+  AND session_id IN (SELECT session_id FROM parts WHERE part_type = 'patch')""",
+    "q_files_touched": _with(FX_SOURCE) + "SELECT session_id, title, part_id, time_created, file FROM files",
+    "q_files_per_title": _with(FX_SOURCE)
+    + "SELECT title, count(*) AS count FROM files WHERE title IS NOT NULL GROUP BY 1",
+    "q_hot_files": _with(FX_SOURCE)
+    + "SELECT file, count(*) AS touches, count(DISTINCT session_id) AS sessions FROM files GROUP BY 1",
+    "q_part_type_counts": _with(FX_SOURCE)
+    + "SELECT session_id, part_type, count(*) AS n FROM parts GROUP BY 1, 2 ORDER BY n DESC, session_id, part_type LIMIT 50",
+    "q_part_types": _with(FX_SOURCE) + "SELECT part_type, count(*) AS n FROM parts GROUP BY 1",
+    "q_cost_per_message": _with(FX_SOURCE)
+    + """SELECT session_id, message_id, count(part_id) AS nb_parts,
+       CAST(coalesce(sum(CAST(cost AS DECIMAL(38, 10))), 0) AS DOUBLE) AS cost,
+       CAST(coalesce(sum(tokens_total), 0) AS BIGINT) AS tokens
+FROM parts GROUP BY 1, 2""",
+    "q_logs_x_sessions": _with(FX_LOGS, FX_SOURCE)
+    + """, lc AS (SELECT "session.id" AS session_id, count(*) AS log_events FROM fx_logs
+            WHERE "session.id" IS NOT NULL GROUP BY 1),
+pc AS (SELECT session_id, count(part_id) AS nb_parts FROM parts GROUP BY 1),
+j AS (SELECT coalesce(s.id, lc.session_id) AS session_id, s.title, lc.log_events
+      FROM fx_session s FULL OUTER JOIN lc ON s.id = lc.session_id)
+SELECT j.session_id, j.title, j.log_events, pc.nb_parts FROM j LEFT JOIN pc ON j.session_id = pc.session_id""",
+    # ----------------------------------------------------------- overview
     "q_hourly": _with(FX_LOGS)
     + """SELECT date_trunc('hour', "timestamp") AS hour, count(*) AS count FROM valid GROUP BY 1""",
     "q_levels": _with(FX_LOGS)

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from tracelake import fixtures as fx
 from tracelake.functions.scalars import lenient_double
+from tracelake.operators import counts, files, tools
 from tracelake.operators import overview as ov
+from tracelake.operators import parts as parts_ops
+from tracelake.operators import sessions as sess
+from tracelake.operators import timeline as tl
+from tracelake.plans.ordering import with_position
 
 
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,6 +78,82 @@ def q_describe_text(spark: SparkSession, sf: str) -> DataFrame:
     return ov.describe_text(fx.table(spark, sf, "events"), ["event_type", "props"])
 
 
+# ---------------------------------------------------------- conversations
+
+
+def _parts(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.fx_parts(spark, sf)
+
+
+def q_parts_join(spark: SparkSession, sf: str) -> DataFrame:
+    joined = parts_ops.join_source(*fx.fx_source(spark, sf))
+    return joined.select(F.col("id").alias("part_id"), "message_id", "session_id", "title")
+
+
+def q_parts_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return _parts(spark, sf)
+
+
+def q_sessions_projection(spark: SparkSession, sf: str) -> DataFrame:
+    return parts_ops.sessions_table(fx.fx_sessions(spark, sf))
+
+
+def q_session_summary(spark: SparkSession, sf: str) -> DataFrame:
+    out = sess.session_summary(fx.fx_sessions(spark, sf), _parts(spark, sf))
+    return out.select(
+        "id", "title", "dt", "summary_additions", "summary_deletions", "nb_parts", "nb_tools", "nb_messages",
+        F.col("cost").cast("double").alias("cost"), F.col("tokens").cast("bigint").alias("tokens"),
+    )
+
+
+def q_session_list(spark: SparkSession, sf: str) -> DataFrame:
+    listed = sess.session_list(fx.fx_sessions(spark, sf))
+    return with_position(listed, [F.desc("time_created"), F.col("id")], "pos").select("id", "label", "dt", "pos")
+
+
+def q_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    return tl.timelines(_parts(spark, sf), n=tl.DEFAULT_N)
+
+
+def q_tool_names(spark: SparkSession, sf: str) -> DataFrame:
+    return tools.tool_names(_parts(spark, sf))
+
+
+def q_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    parts = _parts(spark, sf)
+    with_patches = parts.where(F.col("part_type") == "patch").select("session_id")
+    return tools.tool_calls(parts, tools=["bash", "edit"], sessions=with_patches)
+
+
+def q_files_touched(spark: SparkSession, sf: str) -> DataFrame:
+    return files.files_touched(_parts(spark, sf))
+
+
+def q_files_per_title(spark: SparkSession, sf: str) -> DataFrame:
+    return files.files_per_title(files.files_touched(_parts(spark, sf)))
+
+
+def q_hot_files(spark: SparkSession, sf: str) -> DataFrame:
+    return files.hot_files(files.files_touched(_parts(spark, sf)))
+
+
+def q_part_type_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.part_type_counts(_parts(spark, sf), k=50)
+
+
+def q_part_types(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.part_types(_parts(spark, sf))
+
+
+def q_cost_per_message(spark: SparkSession, sf: str) -> DataFrame:
+    out = sess.cost_per_message(_parts(spark, sf))
+    return out.withColumn("cost", F.col("cost").cast("double"))
+
+
+def q_logs_x_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return sess.logs_by_session(fx.fx_logs(spark, sf), fx.fx_sessions(spark, sf), _parts(spark, sf))
+
+
 # ---------------------------------------------------------------- registry
 
 
