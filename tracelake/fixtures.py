@@ -197,18 +197,23 @@ def fx_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- loads
 
 
+def turn_of(part_id: str) -> F.Column:
+    """The turn number encoded in a fixture part id ``p<conv>-<turn>``."""
+    return F.regexp_extract(F.col(part_id), r"-(\d+)$", 1).cast("bigint")
+
+
 def fx_loads(parts: DataFrame) -> list[DataFrame]:
     """Three loads of ``parts``: load n holds the parts with ``turn % 3 = n``
     plus, for n > 0, the parts of load n-1 again, updated (``time_updated``
-    + n*1000, text upper-cased)."""
-    turn = F.regexp_extract(F.col("part_id"), r"-(\d+)$", 1).cast("bigint")
+    + n*1000, `` (edited)`` appended to the text)."""
+    turn = turn_of("part_id")
     loads = []
     for n in range(3):
         fresh = parts.where(turn % 3 == n)
         if n:
             again = parts.where(turn % 3 == n - 1).withColumn(
                 "time_updated", F.col("time_updated") + n * 1000
-            ).withColumn("text", F.upper("text"))
+            ).withColumn("text", F.concat(F.col("text"), F.lit(" (edited)")))
             fresh = fresh.unionByName(again)
         loads.append(fresh)
     return loads

@@ -88,6 +88,38 @@ PART_COLS = """part_id, message_id, session_id, time_created, time_updated, role
   cost, files"""
 
 
+def _part_cols(**replace: str) -> str:
+    cols = [c.strip() for c in PART_COLS.replace("\n", " ").split(",")]
+    return ", ".join(f"{replace[c]} AS {c}" if c in replace else c for c in cols)
+
+
+def _load(n: int, turn_mod: int, bump: int = 0) -> str:
+    cols = _part_cols(time_updated=f"time_updated + {bump}", text="text || ' (edited)'") if bump else PART_COLS
+    return f"SELECT {n} AS load_id, {cols} FROM parts WHERE turn % 3 = {turn_mod}"
+
+
+LOADS = f"""
+loads AS (
+  {_load(0, 0)}
+  UNION ALL {_load(1, 1)}
+  UNION ALL {_load(1, 0, 1000)}
+  UNION ALL {_load(2, 2)}
+  UNION ALL {_load(2, 1, 2000)}
+)"""
+
+
+def _newest(where: str = "") -> str:
+    return f"""SELECT {PART_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY time_updated DESC, load_id DESC) AS rn
+  FROM loads {where}) WHERE rn = 1"""
+
+
+LOG_LINES_EXPECTED = """SELECT ts AS "timestamp", event_type AS level, 's' || CAST(user_id AS VARCHAR) AS session_id,
+       CAST(value AS VARCHAR) AS cost, 'user ' || CAST(user_id AS VARCHAR) || ' did ' || event_type AS message,
+       '' AS empty, '2' AS dup
+FROM events"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes) + "\n"
 
@@ -167,6 +199,52 @@ pc AS (SELECT session_id, count(part_id) AS nb_parts FROM parts GROUP BY 1),
 j AS (SELECT coalesce(s.id, lc.session_id) AS session_id, s.title, lc.log_events
       FROM fx_session s FULL OUTER JOIN lc ON s.id = lc.session_id)
 SELECT j.session_id, j.title, j.log_events, pc.nb_parts FROM j LEFT JOIN pc ON j.session_id = pc.session_id""",
+    # -------------------------------------------------- sources and sinks
+    "q_log_parse": LOG_LINES_EXPECTED,
+    "q_union_by_name": """SELECT ts AS "timestamp", event_type AS level, 's' || CAST(user_id AS VARCHAR) AS session_id,
+       CAST(NULL AS VARCHAR) AS cost, 'a' AS file FROM events WHERE event_id % 2 = 0
+UNION ALL
+SELECT ts, NULL, 's' || CAST(user_id AS VARCHAR), CAST(value AS VARCHAR), 'b' FROM events WHERE event_id % 2 = 1""",
+    "q_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    "q_source_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    "q_session_export": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    "q_ctas_idempotent": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    # ---------------------------------------------------------------- SQL
+    "q_sql_explorer": _with(FX_SOURCE) + "SELECT part_type, count(*) AS n FROM parts GROUP BY part_type",
+    "q_sql_result_cap": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+ORDER BY l_orderkey, l_linenumber LIMIT 2000""",
+    "q_json_safe": """SELECT event_id,
+  CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts,
+  strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+  CAST(CAST(value AS DECIMAL(10, 2)) AS DOUBLE) AS amount,
+  to_base64(encode(event_type)) AS raw,
+  '[' || CAST(user_id AS VARCHAR) || ',' || CAST(event_id AS VARCHAR) || ']' AS ids,
+  '{"' || CAST(user_id AS VARCHAR) || '":"' || event_type || '"}' AS by_user
+FROM events""",
+    # -------------------------------------------------- versioned tables
+    "q_dedup_latest": _with(FX_SOURCE, LOADS) + _newest(),
+    "q_upsert": _with(FX_SOURCE, LOADS) + _newest(),
+    "q_as_of": _with(FX_SOURCE, LOADS) + _newest("WHERE load_id <= 1"),
+    "q_load_history": _with(FX_SOURCE, LOADS)
+    + """SELECT l.load_id,
+  CASE WHEN count(CASE WHEN l.load_id > f.first_load THEN 1 END) = 0 THEN 'append' ELSE 'overwrite' END AS operation,
+  count(*) AS rows, count(CASE WHEN l.load_id = f.first_load THEN 1 END) AS inserts,
+  count(CASE WHEN l.load_id > f.first_load THEN 1 END) AS updates
+FROM loads l JOIN (SELECT part_id, min(load_id) AS first_load FROM loads GROUP BY 1) f ON l.part_id = f.part_id
+GROUP BY 1""",
+    "q_partition_prune": _with(FX_SOURCE)
+    + """SELECT strftime(make_timestamp(time_created * 1000), '%Y-%m') AS month, count(*) AS parts,
+       count(DISTINCT session_id) AS sessions
+FROM parts GROUP BY 1""",
+    "q_schema_evolution": _with(FX_SOURCE)
+    + f"SELECT {_part_cols(files='CASE WHEN turn % 2 = 0 THEN NULL ELSE files END')} FROM parts",
+    # --------------------------------------------------------- streaming
+    "q_stream_ingest": LOG_LINES_EXPECTED,
+    "q_stream_hourly": """SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM events GROUP BY 1
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "q_stream_dedup": _with(FX_SOURCE, LOADS) + "SELECT DISTINCT part_id, session_id, part_type FROM loads",
+    "q_stream_upsert": _with(FX_SOURCE, LOADS) + _newest(),
     # ----------------------------------------------------------- overview
     "q_hourly": _with(FX_LOGS)
     + """SELECT date_trunc('hour', "timestamp") AS hour, count(*) AS count FROM valid GROUP BY 1""",

@@ -19,7 +19,15 @@ from tracelake.operators import overview as ov
 from tracelake.operators import parts as parts_ops
 from tracelake.operators import sessions as sess
 from tracelake.operators import timeline as tl
+from tracelake.functions.scalars import epoch_ms
+from tracelake.plans import sqlapi, tables
 from tracelake.plans.ordering import with_position
+from tracelake.schemas import PARTS
+from tracelake.session import scratch_path
+from tracelake.sources import logs as log_src
+from tracelake.sources import sinks
+from tracelake.sources import tables as tbl_src
+from tracelake.streaming import jobs as streams
 
 
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,6 +162,215 @@ def q_logs_x_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return sess.logs_by_session(fx.fx_logs(spark, sf), fx.fx_sessions(spark, sf), _parts(spark, sf))
 
 
+# ------------------------------------------------------- sources and sinks
+
+
+def q_log_parse(spark: SparkSession, sf: str) -> DataFrame:
+    src = scratch_path(spark, "log-lines")
+    fx.fx_log_lines(spark, sf).write.text(src)
+    logs = log_src.read_text_logs(spark, src, strict=True)
+    return logs.select(
+        "timestamp", "level", F.col("`session.id`").alias("session_id"), "cost",
+        F.col("extras")["message"].alias("message"), F.col("extras")["empty"].alias("empty"),
+        F.col("extras")["dup"].alias("dup"),
+    )
+
+
+def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "union")
+    ev = fx.table(spark, sf, "events")
+    sid = F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session.id")
+    ev.where(F.col("event_id") % 2 == 0).select(F.col("ts").alias("timestamp"), F.col("event_type").alias("level"), sid) \
+        .write.parquet(f"{root}/a")
+    ev.where(F.col("event_id") % 2 == 1).select(F.col("ts").alias("timestamp"), sid, F.col("value").alias("cost")) \
+        .write.parquet(f"{root}/b")
+    logs = log_src.read_logs(spark, [f"{root}/a", f"{root}/b"])
+    return logs.select(
+        "timestamp", "level", F.col("`session.id`").alias("session_id"), "cost",
+        F.regexp_extract("filename", r"/(a|b)/[^/]*$", 1).alias("file"),
+    )
+
+
+def q_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    return tbl_src.list_parquet(spark, sf).select("key", "length", "kind")
+
+
+def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = sinks.write_table(_parts(spark, sf), scratch_path(spark, "parts"))
+    return tbl_src.read_parts(spark, path)
+
+
+def q_source_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "source")
+    part, message, session = fx.fx_source(spark, sf)
+    for name, df in (("part", part), ("message", message), ("session", session)):
+        sinks.write_table(df, f"{root}/{name}")
+    return parts_ops.export_parts(*tbl_src.read_source(spark, root))
+
+
+def q_session_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = sinks.export_all_sessions(_parts(spark, sf), scratch_path(spark, "by-session"))
+    return tbl_src.read_parts(spark, path)
+
+
+def q_ctas_idempotent(spark: SparkSession, sf: str) -> DataFrame:
+    db = "tl_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
+    loc = scratch_path(spark, "warehouse")
+    parts = _parts(spark, sf)
+    n1 = tables.create_table_once(spark, db, "parts", parts, location=loc)
+    n2 = tables.create_table_once(spark, db, "parts", parts.limit(0), location=loc)
+    if n1 != n2 or tables.list_tables(spark, db).where(F.col("table") == "parts").count() != 1:
+        raise AssertionError("create-once table changed on the second run")
+    return spark.table(f"`{db}`.`parts`")
+
+
+# ------------------------------------------------------------------ SQL
+
+
+def _views(spark: SparkSession, sf: str) -> None:
+    sqlapi.register_views(
+        spark,
+        {
+            "parts": _parts(spark, sf),
+            "sessions": fx.fx_sessions(spark, sf),
+            "logs": fx.fx_logs(spark, sf),
+            "lineitem": fx.table(spark, sf, "lineitem"),
+        },
+    )
+
+
+def q_sql_explorer(spark: SparkSession, sf: str) -> DataFrame:
+    _views(spark, sf)
+    return sqlapi.sql_frame(
+        spark, "SELECT part_type, count(*) AS n FROM parts GROUP BY part_type ORDER BY n DESC, part_type ;  "
+    )
+
+
+def q_sql_result_cap(spark: SparkSession, sf: str) -> DataFrame:
+    _views(spark, sf)
+    return sqlapi.sql_frame(
+        spark,
+        "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber",
+        max_rows=sqlapi.MAX_ROWS,
+    )
+
+
+def q_json_safe(spark: SparkSession, sf: str) -> DataFrame:
+    ev = fx.table(spark, sf, "events").select(
+        "event_id",
+        F.col("ts"),
+        F.to_date("ts").alias("day"),
+        F.col("value").cast("decimal(10,2)").alias("amount"),
+        F.col("event_type").cast("binary").alias("raw"),
+        F.array("user_id", "event_id").alias("ids"),
+        F.create_map(F.col("user_id"), F.col("event_type")).alias("by_user"),
+    )
+    safe = sqlapi.json_safe(ev)
+    return safe.select(
+        "event_id", "ts", "day", "amount", "raw",
+        F.to_json("ids").alias("ids"), F.to_json("by_user").alias("by_user"),
+    )
+
+
+# ----------------------------------------------------- versioned tables
+
+
+def _load_frames(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return fx.fx_loads(_parts(spark, sf))
+
+
+def q_dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
+    loads = _load_frames(spark, sf)
+    rows = loads[0].unionByName(loads[1]).unionByName(loads[2])
+    return tables.latest(rows, "part_id", ["time_updated"])
+
+
+def _upserted(spark: SparkSession, sf: str) -> str:
+    table_dir = scratch_path(spark, "loads")
+    for n, frame in enumerate(_load_frames(spark, sf)):
+        tables.upsert(table_dir, frame, n)
+    return table_dir
+
+
+def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.as_of(spark, _upserted(spark, sf), None)
+
+
+def q_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.as_of(spark, _upserted(spark, sf), 1)
+
+
+def q_load_history(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.load_history(spark, _upserted(spark, sf)).drop("committed_at")
+
+
+def q_partition_prune(spark: SparkSession, sf: str) -> DataFrame:
+    path = tables.write_partitioned(_parts(spark, sf), scratch_path(spark, "by-month"), by="month")
+    back = spark.read.parquet(path)
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("parts"), F.count_distinct("session_id").alias("sessions"))
+
+
+def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "evolved")
+    parts = _parts(spark, sf)
+    even = fx.turn_of("part_id") % 2 == 0
+    old = parts.where(even).drop("files")
+    for c in ("tokens_input", "tokens_output", "tokens_total"):
+        old = old.withColumn(c, F.col(c).cast("int"))
+    old.write.parquet(f"{root}/old")
+    parts.where(~even).write.parquet(f"{root}/new")
+    return tables.read_evolved(spark, [f"{root}/old", f"{root}/new"], PARTS)
+
+
+# ------------------------------------------------------------ streaming
+
+
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "stream-logs")
+    lines = fx.fx_log_lines(spark, sf)
+    lines.write.text(f"{root}/in")
+    streams.run(streams.stream_logs(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
+    # A second run over the same input adds nothing (the checkpoint knows the files).
+    streams.run(streams.stream_logs(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt"))
+    logs = spark.read.parquet(f"{root}/out")
+    return logs.select(
+        "timestamp", "level", F.col("`session.id`").alias("session_id"), "cost",
+        F.col("extras")["message"].alias("message"), F.col("extras")["empty"].alias("empty"),
+        F.col("extras")["dup"].alias("dup"),
+    )
+
+
+def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "stream-hourly")
+    ev = fx.table(spark, sf, "events").select(F.col("ts").alias("timestamp"), "event_type")
+    ev.write.parquet(f"{root}/in")
+    src = spark.readStream.schema(ev.schema).parquet(f"{root}/in")
+    streams.run(streams.write_stream(streams.stream_hourly(src, "timestamp"), f"{root}/out", f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "stream-dedup")
+    loads = _load_frames(spark, sf)
+    for n, frame in enumerate(loads):
+        frame.withColumn("dt", epoch_ms("time_created")).write.parquet(f"{root}/in/load={n}")
+    schema = spark.read.parquet(f"{root}/in/load=0").schema
+    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+    deduped = streams.stream_dedup(src, "part_id", "dt", "1 day")
+    streams.run(streams.write_stream(deduped, f"{root}/out", f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/out").select("part_id", "session_id", "part_type")
+
+
+def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "stream-upsert")
+    for n, frame in enumerate(_load_frames(spark, sf)):
+        frame.write.parquet(f"{root}/in/load={n}")
+    streams.run(streams.stream_changelog(spark, f"{root}/in", f"{root}/log", f"{root}/ckpt"))
+    streams.run(streams.stream_changelog(spark, f"{root}/in", f"{root}/log", f"{root}/ckpt"))
+    log = spark.read.parquet(f"{root}/log")
+    return tables.latest(log, "part_id", ["time_updated", "load_id"]).select(*PARTS.fieldNames())
+
+
 # ---------------------------------------------------------------- registry
 
 
