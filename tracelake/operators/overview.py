@@ -116,7 +116,9 @@ def _exact_quantiles(df: DataFrame, name: str, value, n: int) -> DataFrame:
     vals = df.select(value.alias("v")).where(F.col("v").isNotNull())
     integral = isinstance(vals.schema["v"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     # Integral values are averaged exactly (a double sum drifts on large values).
-    mean = F.avg(F.col("v").cast("decimal(38,0)")).cast("double") if integral else F.avg("v")
+    mean = (
+        F.sum(F.col("v").cast("decimal(38,0)")).cast("double") / F.count("v") if integral else F.avg("v")
+    )
     ranked = with_position(vals, ["v"], "pos")
     aggs = [
         F.count("v").alias("count"),

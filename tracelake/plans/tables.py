@@ -49,7 +49,8 @@ def create_table_once(
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
     """Table names of a namespace; an empty frame when listing fails."""
     try:
-        return spark.sql(f"SHOW TABLES IN `{db}`").select(F.col("tableName").alias("table"))
+        shown = spark.sql(f"SHOW TABLES IN `{db}`")
+        return shown.where(~F.col("isTemporary")).select(F.col("tableName").alias("table"))
     except Exception:
         return spark.createDataFrame([], "table string")
 

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A JSON object with a repeated key keeps its last value (as Python's json does).
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -33,7 +33,11 @@ def stream_logs(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str)
     The timestamp is parsed leniently here: a bad line must not stop the
     stream; it lands with a NULL time.
     """
-    lines = spark.readStream.text(in_dir).select("value", F.col("_metadata.file_path").alias("filename"))
+    lines = (
+        spark.readStream.option("recursiveFileLookup", "true")
+        .text(in_dir)
+        .select("value", F.col("_metadata.file_path").alias("filename"))
+    )
     logs = parse_log_lines(drop_blank(lines), strict=False)
     return (
         logs.writeStream.format("parquet")
