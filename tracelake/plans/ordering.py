@@ -7,12 +7,18 @@ The pattern below keeps the work spread out:
    order keys are interchangeable, so any consistent order is right);
 2. ``repartitionByRange`` on (order keys, id): because the id is unique, even
    a key holding a third of all rows is split over many buckets;
-3. a running sum *inside* each bucket (``partitionBy(bucket)``);
-4. per-bucket totals -> running offset over the bucket table, whose size is
+3. materialise the bucketed rows once with ``checkpoint()`` in the shared
+   checkpoint folder.  Both consumers below must see the *same* buckets: two
+   independently planned range exchanges sample separately and may cut at
+   different bounds.  The checkpoint also cuts the lineage, so a lost
+   executor does not re-run the sampling and the range shuffle;
+4. a running sum *inside* each bucket (``partitionBy(bucket)``);
+5. per-bucket totals -> running offset over the bucket table, whose size is
    bounded by the bucket count, so broadcasting it is safe;
-5. add the offset back.
+6. add the offset back.
 
-Two shuffles of narrow rows, no task ever holds more than one bucket.
+Two shuffles of narrow rows plus one write of them; no task ever holds more
+than one bucket.  The checkpoint makes the function run one job eagerly.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.session import shuffle_partitions
+from tracelake.session import shared_dir, shuffle_partitions
 
 _UID, _BUCKET, _LOCAL, _TOTAL, _OFFSET = "_tl_uid", "_tl_bucket", "_tl_local", "_tl_total", "_tl_offset"
 
@@ -44,11 +50,13 @@ def running_total(
     n = buckets or shuffle_partitions(spark)
     val = F.col(value) if isinstance(value, str) else value
     keys = [*_order_exprs(order), F.col(_UID)]
+    shared_dir(spark)  # make sure a checkpoint folder is set (tests, local runs)
     ranged = (
         df.withColumn(_UID, F.monotonically_increasing_id())
         .withColumn("_tl_val", val)
         .repartitionByRange(n, *keys)
         .withColumn(_BUCKET, F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     inside = Window.partitionBy(_BUCKET).orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn(_LOCAL, F.sum("_tl_val").over(inside))
