@@ -36,7 +36,9 @@ def export_all_sessions(df: DataFrame, path: str, column: str = "session_id") ->
     Rows are clustered on the session first (a REBALANCE hint), so each task
     writes few directories; AQE splits a session that holds a large share of
     the rows over several tasks (several files in its directory) instead of
-    sending it whole to one.
+    sending it whole to one.  On tiny inputs AQE coalesces that shuffle into
+    one or two writer tasks, so a few MB spread over a thousand sessions is
+    written by one task; at scale the partitions are sized by AQE.
     """
     out = df.where(F.col(f"`{column}`").isNotNull()).hint("rebalance", column)
     out.write.mode("overwrite").partitionBy(column).parquet(path)
