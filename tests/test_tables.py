@@ -86,3 +86,19 @@ def test_inventory_routes_by_prefix(spark, scratch):
     kinds = {r["kind"] for r in list_parquet(spark, root).collect()}
     assert kinds == {"conversations", "sessions", "logs"}
     assert list_parquet(spark, "/root/testdata/sf0.001").count() == 14
+
+
+def test_cluster_by_group_splits_a_hot_group(spark, scratch):
+    import glob
+
+    rows = [("hot", f"p{i}") for i in range(600)] + [(f"s{i}", f"q{i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "session_id string, part_id string")
+    clustered = sinks.cluster_by_group(df, "session_id", n=6)
+    per_task = clustered.groupBy(F.spark_partition_id().alias("t")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("session_id") == "hot", 1).otherwise(0)).alias("hot"))
+    stats = per_task.collect()
+    assert sum(r["n"] for r in stats) == 1800
+    assert sum(1 for r in stats if r["hot"] > 0) >= 2  # the hot session is split
+    path = sinks.export_all_sessions(df, scratch("hot"))
+    assert len(glob.glob(path.replace("file:", "") + "/session_id=hot/*.parquet")) >= 2
+    assert read_parts(spark, path).where(F.col("session_id") == "hot").count() == 600

@@ -5,6 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.session import shuffle_partitions
+
+
+def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """Cluster rows on ``column`` for a ``partitionBy(column)`` write, with
+    hot groups split.
+
+    Rows per group are counted first (partial aggregation; one scalar action
+    reads the total).  A group is hot when it holds more than ``total / n``
+    rows, so there are at most ``n`` hot groups: that table has a proven size
+    bound and is broadcast.  Each hot group gets ``k = ceil(rows / (total /
+    n))`` salts taken from a hash of the row's content (deterministic, so a
+    retried task sends every row to the same place), then the rows are hash
+    partitioned on (group, salt) into ``n`` partitions.  A group holding a
+    third of the data is written by about n/3 tasks, a small group by one.
+    """
+    spark = df.sparkSession
+    n = n or shuffle_partitions(spark)
+    key = F.col(f"`{column}`")
+    counts = df.groupBy(key.alias("_tl_group")).agg(F.count(F.lit(1)).alias("_tl_rows"))
+    total = counts.agg(F.sum("_tl_rows")).first()[0] or 0
+    share = max(1.0, total / n)
+    hot = counts.where(F.col("_tl_rows") > share).select(
+        "_tl_group", F.ceil(F.col("_tl_rows") / F.lit(share)).cast("int").alias("_tl_k")
+    )
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    salted = df.join(F.broadcast(hot), key.eqNullSafe(F.col("_tl_group")), "left").withColumn(
+        "_tl_salt", F.when(F.col("_tl_k").isNull(), F.lit(0)).otherwise(F.pmod(content, F.col("_tl_k")))
+    )
+    return salted.repartition(n, key, F.col("_tl_salt")).drop("_tl_group", "_tl_k", "_tl_salt")
+
 
 class EmptyExport(ValueError):
     """Raised when a per-session export would write nothing."""
@@ -33,13 +64,10 @@ def export_session(df: DataFrame, session_id: str, path: str, column: str = "ses
 def export_all_sessions(df: DataFrame, path: str, column: str = "session_id") -> str:
     """S7 at scale: every session's rows under ``column=<id>/`` in one job.
 
-    Rows are clustered on the session first (a REBALANCE hint), so each task
-    writes few directories; AQE splits a session that holds a large share of
-    the rows over several tasks (several files in its directory) instead of
-    sending it whole to one.  On tiny inputs AQE coalesces that shuffle into
-    one or two writer tasks, so a few MB spread over a thousand sessions is
-    written by one task; at scale the partitions are sized by AQE.
+    Rows are clustered on the session first, so each task writes few
+    directories; a session holding a large share of the rows is split over
+    several tasks (several files in its directory), see ``cluster_by_group``.
     """
-    out = df.where(F.col(f"`{column}`").isNotNull()).hint("rebalance", column)
+    out = cluster_by_group(df.where(F.col(f"`{column}`").isNotNull()), column)
     out.write.mode("overwrite").partitionBy(column).parquet(path)
     return path
