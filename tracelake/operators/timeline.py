@@ -66,5 +66,5 @@ def timelines(parts: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     ``n`` rows per map task.
     """
     w = Window.partitionBy("session_id").orderBy("time_created", "part_id")
-    first = parts.withColumn("seq", F.row_number().over(w)).where(F.col("seq") <= n)
+    first = parts.withColumn("seq", F.row_number().over(w).cast("bigint")).where(F.col("seq") <= n)
     return classify(first, keep=("seq",)).where(F.col("kind").isNotNull())
