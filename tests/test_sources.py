@@ -43,3 +43,33 @@ def test_approx_distinct_option(spark):
     exact = sessions.session_metrics(parts).first()
     approx = sessions.session_metrics(parts, approx_distinct=True).first()
     assert exact["nb_messages"] == 5 and approx["nb_messages"] == 5
+
+
+def test_read_parts_written_by_pandas(spark, scratch):
+    import pandas as pd
+
+    from tracelake.sources.tables import read_parts
+
+    path = scratch("pandas-parts")
+    pdf = pd.DataFrame({"part_id": ["p1", "p2"], "session_id": ["s1", "s1"], "time_created": [1, 2],
+                        "part_type": ["step-finish", "text"], "tokens_total": [91.0, float("nan")],
+                        "cost": [0.5, float("nan")], "text": [None, "hi"]})
+    import os
+    local = path.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    pdf.to_parquet(f"{local}/parts.parquet", index=False)
+    rows = {r["part_id"]: r for r in read_parts(spark, path).collect()}
+    assert rows["p1"]["tokens_total"] == 91 and rows["p2"]["tokens_total"] is None
+    assert rows["p2"]["text"] == "hi" and rows["p1"]["files"] is None
+
+
+def test_zoned_log_timestamps_become_utc(spark, scratch):
+    root = scratch("zoned")
+    spark.sql("SELECT TIMESTAMP'2024-01-01 10:00:00 UTC' AS timestamp, 'info' AS level").write.parquet(f"{root}/a")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        ts = read_logs(spark, [f"{root}/a"]).first()["timestamp"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert ts == dt.datetime(2024, 1, 1, 10, 0)

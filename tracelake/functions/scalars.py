@@ -50,6 +50,20 @@ def to_ts(c: ColumnOrName) -> Column:
     return F.when(zoned, as_utc).otherwise(s.try_cast("timestamp_ntz"))
 
 
+def utc_wall_clock(c: ColumnOrName, dtype) -> Column:
+    """Any time-like column as a UTC ``timestamp_ntz``: a zoned timestamp is
+    converted from its instant, a ``timestamp_ntz`` kept, text parsed
+    leniently."""
+    from pyspark.sql import types as T
+
+    col = _col(c)
+    if isinstance(dtype, T.TimestampNTZType):
+        return col
+    if isinstance(dtype, (T.TimestampType, T.DateType)):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp").cast("timestamp_ntz"))
+    return to_ts(col)
+
+
 def to_ts_strict(c: ColumnOrName) -> Column:
     """Strict text → timestamp: a bad value fails the query under ANSI mode."""
     s = F.trim(_col(c).cast("string"))

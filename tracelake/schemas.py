@@ -5,6 +5,8 @@ so a column could be missing.  Here every table has a fixed schema: an absent
 field is NULL, never a missing column.  Unknown log keys go to ``extras``.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Log fields the analyses read.  Names contain dots: always backtick them.
@@ -86,3 +88,22 @@ SOURCE_MESSAGE = T.StructType(
 
 # The part types the exporter knows.
 PART_TYPES = ["text", "reasoning", "tool", "step-start", "step-finish", "patch"]
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` by name: present ones cast (``try_cast``: a value
+    that does not fit is NULL, e.g. a NaN token count written as float by a
+    pandas exporter), absent ones NULL.  Extra columns are dropped."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif have[f.name] == f.dataType:
+            cols.append(F.col(f"`{f.name}`"))
+        elif isinstance(have[f.name], (T.FloatType, T.DoubleType)) and isinstance(f.dataType, T.LongType):
+            c = F.col(f"`{f.name}`")
+            cols.append(F.when(~F.isnan(c), c.try_cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name))
+    return df.select(*cols)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.functions.logparse import drop_blank, parse_log_lines
-from tracelake.functions.scalars import to_ts
+from tracelake.functions.scalars import utc_wall_clock
 from tracelake.schemas import LOG_FIELDS
 
 
@@ -33,12 +33,16 @@ def _to_logs_schema(df: DataFrame) -> DataFrame:
     """Align one frame to the ``logs`` schema: known fields cast (timestamp
     parsed leniently, the rest as text), missing ones NULL, other columns
     folded into ``extras``."""
-    cols = {c for c in df.columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = set(types)
     known = set(LOG_FIELDS) | {"filename", "extras"}
     out = []
     for name in LOG_FIELDS:
         c = F.col(f"`{name}`") if name in cols else F.lit(None)
-        out.append((to_ts(c) if name == "timestamp" else c.cast("string")).alias(name))
+        if name == "timestamp":
+            out.append(utc_wall_clock(c, types.get(name, T.StringType())).alias(name))
+        else:
+            out.append(c.cast("string").alias(name))
     out.append(F.col("_metadata.file_path").alias("filename"))
     others = sorted(cols - known)
     extras = (

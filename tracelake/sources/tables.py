@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.schemas import PARTS, SESSIONS, SOURCE_MESSAGE, SOURCE_PART
+from tracelake.schemas import PARTS, SESSIONS, SOURCE_MESSAGE, SOURCE_PART, conform
+
+
+def _read_conformed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read Parquet written by any exporter and conform it to ``schema`` by
+    name.  Files of one table may disagree on types (a pandas writer turns an
+    integer column with gaps into float): the merged file schema is read when
+    it exists, else the fixed schema is imposed."""
+    try:
+        raw = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+    except Exception:
+        raw = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return conform(raw, schema)
 
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
     """The ``parts`` table with its fixed schema (missing columns NULL;
     ``session_id`` partitions, if any, are read back as a column)."""
-    return spark.read.schema(PARTS).option("basePath", path).parquet(path)
+    return _read_conformed(spark, path, PARTS)
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SESSIONS).parquet(path)
+    return _read_conformed(spark, path, SESSIONS)
 
 
 def read_source(
