@@ -110,3 +110,12 @@ def test_describe_text(spark):
     df = spark.createDataFrame([("x",), ("y",), ("y",), ("x",), (None,), ("z",)], "s string")
     r = ov.describe(df).first()
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (5, 3, "x", 2)
+
+
+def test_describe_approx_close_to_exact(spark):
+    df = spark.range(1, 10001).select((F.col("id") * 1.0).alias("x"))
+    exact = ov.describe(df).first()
+    approx = ov.describe(df, exact=False).first()
+    assert approx["count"] == exact["count"] and approx["mean"] == pytest.approx(exact["mean"])
+    for q in ("p25", "p50", "p75"):
+        assert approx[q] == pytest.approx(exact[q], rel=1e-3)

@@ -1,0 +1 @@
+"""Scalar column expressions and the log-line parser."""

@@ -145,18 +145,43 @@ def _exact_quantiles(df: DataFrame, name: str, value, n: int) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe_approx(df: DataFrame, numeric: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """A9 in one pass for very large inputs: quartiles from a bounded-memory
+    quantile sketch (``percentile_approx``), no sort; other statistics exact."""
+    rows = []
+    for c in numeric:
+        v = F.col(f"`{c}`").cast("double")
+        q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
+        rows.append(
+            df.agg(
+                F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                F.min(v).alias("min"), q.alias("_q"), F.max(v).alias("max"),
+            ).select(
+                F.lit(c).alias("column"), "count", "mean", "std", "min",
+                F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max",
+            )
+        )
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, std, min, exact 25/50/75 % and max of each numeric
     column (one row per column, values as double).
 
     Percentiles are exact with linear interpolation, computed from global
     positions, so no aggregation buffer ever holds a whole column.  One
-    scalar action counts the non-NULL values per column first.
+    scalar action counts the non-NULL values per column first.  With
+    ``exact=False`` the quartiles come from a quantile sketch in one pass.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numeric = [f.name for f in fields if isinstance(f.dataType, _NUMERIC)]
     if not numeric:
         return describe_text(df, [f.name for f in fields])
+    if not exact:
+        return describe_approx(df, numeric)
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(numeric)]).first()
     parts = [
         _exact_quantiles(df, c, F.col(f"`{c}`"), counts[f"c{i}"]).select(

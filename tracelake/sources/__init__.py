@@ -1,0 +1 @@
+"""Sources and sinks: log files, Parquet tables, the file inventory, exports."""

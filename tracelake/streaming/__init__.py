@@ -1,0 +1 @@
+"""Structured Streaming jobs that keep the tables fresh."""
