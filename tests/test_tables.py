@@ -102,3 +102,11 @@ def test_cluster_by_group_splits_a_hot_group(spark, scratch):
     path = sinks.export_all_sessions(df, scratch("hot"))
     assert len(glob.glob(path.replace("file:", "") + "/session_id=hot/*.parquet")) >= 2
     assert read_parts(spark, path).where(F.col("session_id") == "hot").count() == 600
+
+
+def test_upsert_rerun_replaces_the_load(spark, scratch):
+    d = scratch("rerun")
+    rows = spark.createDataFrame([("a", 1, "a1")], "part_id string, time_updated bigint, text string")
+    tables.upsert(d, rows, 0)
+    tables.upsert(d, rows, 0)
+    assert tables.read_loads(spark, d).count() == 1

@@ -227,12 +227,12 @@ FROM events""",
     "q_upsert": _with(FX_SOURCE, LOADS) + _newest(),
     "q_as_of": _with(FX_SOURCE, LOADS) + _newest("WHERE load_id <= 1"),
     "q_load_history": _with(FX_SOURCE, LOADS)
-    + """SELECT l.load_id,
-  CASE WHEN count(CASE WHEN l.load_id > f.first_load THEN 1 END) = 0 THEN 'append' ELSE 'overwrite' END AS operation,
-  count(*) AS rows, count(CASE WHEN l.load_id = f.first_load THEN 1 END) AS inserts,
-  count(CASE WHEN l.load_id > f.first_load THEN 1 END) AS updates
-FROM loads l JOIN (SELECT part_id, min(load_id) AS first_load FROM loads GROUP BY 1) f ON l.part_id = f.part_id
-GROUP BY 1""",
+    + """, firsts AS (SELECT load_id, count(*) AS inserts
+                FROM (SELECT part_id, min(load_id) AS load_id FROM loads GROUP BY 1) GROUP BY 1),
+per_load AS (SELECT load_id, count(*) AS rows FROM loads GROUP BY 1)
+SELECT p.load_id, CASE WHEN p.rows - coalesce(f.inserts, 0) = 0 THEN 'append' ELSE 'overwrite' END AS operation,
+       p.rows, coalesce(f.inserts, 0) AS inserts, p.rows - coalesce(f.inserts, 0) AS updates
+FROM per_load p LEFT JOIN firsts f ON p.load_id = f.load_id""",
     "q_partition_prune": _with(FX_SOURCE)
     + """SELECT strftime(make_timestamp(time_created * 1000), '%Y-%m') AS month, count(*) AS parts,
        count(DISTINCT session_id) AS sessions

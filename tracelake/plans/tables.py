@@ -80,13 +80,16 @@ def latest(df: DataFrame, key: str | Sequence[str] = "part_id", order: Sequence[
 
 def upsert(table_dir: str, new_rows: DataFrame, load_id: int) -> str:
     """Add one load to the table: the new rows (inserts and updates)
-    under ``load_id=<n>``, stamped with the load time.  Append only."""
+    under ``load_id=<n>``, stamped with the load time.
+
+    Only that load's directory is written, in overwrite mode: re-running a
+    load (after a failure, or twice) replaces it instead of duplicating rows,
+    and older loads are never touched.  ``new_rows`` must not be read from
+    the same load directory."""
     (
         new_rows.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
-        .withColumn(LOAD, F.lit(load_id).cast("int"))
-        .write.mode("append")
-        .partitionBy(LOAD)
-        .parquet(table_dir)
+        .write.mode("overwrite")
+        .parquet(f"{table_dir.rstrip('/')}/{LOAD}={int(load_id)}")
     )
     return table_dir
 
@@ -125,16 +128,22 @@ def as_of(
 
 def load_history(spark: SparkSession, table_dir: str, key: str = "part_id") -> DataFrame:
     """One row per load: commit time, operation, rows, inserts (keys
-    seen for the first time) and updates (new versions of known keys)."""
+    seen for the first time in that load) and updates (all other rows).
+
+    Two partial aggregations and a join of two per-load tables (as many rows
+    as there are loads): no row is shuffled back to its key.
+    """
     rows = read_loads(spark, table_dir).select(key, LOAD, "loaded_at")
-    first = rows.groupBy(key).agg(F.min(LOAD).alias("_tl_first"))
-    tagged = rows.join(first, key)
-    hist = tagged.groupBy(LOAD).agg(
-        F.min("loaded_at").alias("committed_at"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col(LOAD) == F.col("_tl_first"), 1)).alias("inserts"),
-        F.count(F.when(F.col(LOAD) > F.col("_tl_first"), 1)).alias("updates"),
+    per_load = rows.groupBy(LOAD).agg(
+        F.min("loaded_at").alias("committed_at"), F.count(F.lit(1)).alias("rows")
+    )
+    firsts = (
+        rows.groupBy(key).agg(F.min(LOAD).alias(LOAD))
+        .groupBy(LOAD).agg(F.count(F.lit(1)).alias("inserts"))
     )
+    hist = per_load.join(firsts, LOAD, "left").select(
+        LOAD, "committed_at", "rows", F.coalesce(F.col("inserts"), F.lit(0).cast("bigint")).alias("inserts")
+    ).withColumn("updates", F.col("rows") - F.col("inserts"))
     op = F.when(F.col("updates") == 0, "append").otherwise("overwrite")
     return hist.select(LOAD, "committed_at", op.alias("operation"), "rows", "inserts", "updates").orderBy(LOAD)
 
