@@ -34,7 +34,8 @@ def _restrict(df: DataFrame, column: str, values: Sequence[str] | DataFrame) ->
     measured size of the id side.
     """
     if isinstance(values, DataFrame):
-        ids = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull())
+        # Distinct ids first: partial aggregation shrinks the side before it moves.
+        ids = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull()).distinct()
         return df.join(ids, column, "left_semi")
     values = list(values)
     if len(values) <= MAX_IN_LIST:
