@@ -22,6 +22,11 @@ LINES = [
     "no pair here",
     "timestamp=2024-01-01T10:00:00Z level=info session.id=ses_1 cost=0.5 extra=yes",
     "x.y.z=1 _u=2 9=nine",
+    'k="',
+    'k=""x y=1',
+    'k="a"b c="d e"f',
+    'k="a=b" a=="x"',
+    'k=\'q\' z="" w="="',
 ]
 
 

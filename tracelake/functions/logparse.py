@@ -23,12 +23,22 @@ PAIR_RE = r'(?U)(\w[\w.]*)=(?:"([^"]*)"|(\S*))'
 BLANK_LINE_RE = r"(?U)^\s*$"
 
 
+def _unquote(v: Column) -> Column:
+    """The value part of one match.  The quoted branch is tried first, so a
+    value that starts and ends with a quote (two characters at least) came
+    from it: drop the quotes.  Anything else is the bare run as is."""
+    quoted = v.startswith('"') & v.endswith('"') & (F.length(v) >= 2)
+    return F.when(quoted, v.substr(F.lit(2), F.length(v) - 2)).otherwise(v)
+
+
 def parse_pairs(line: Column) -> tuple[Column, Column]:
-    """Keys and values of all pairs of a line, in order (duplicates kept)."""
-    keys = F.regexp_extract_all(line, F.lit(PAIR_RE), 1)
-    quoted = F.regexp_extract_all(line, F.lit(PAIR_RE), 2)
-    bare = F.regexp_extract_all(line, F.lit(PAIR_RE), 3)
-    values = F.zip_with(quoted, bare, lambda q, b: F.when(q != "", q).otherwise(b))
+    """Keys and values of all pairs of a line, in order (duplicates kept).
+
+    One regex pass returns the whole matches; key and value are split at the
+    first ``=`` (a key cannot contain one)."""
+    matches = F.regexp_extract_all(line, F.lit(PAIR_RE), 0)
+    keys = F.transform(matches, lambda m: F.substring_index(m, "=", 1))
+    values = F.transform(matches, lambda m: _unquote(m.substr(F.locate("=", m) + 1, F.length(m))))
     return keys, values
 
 
