@@ -119,3 +119,23 @@ def test_describe_approx_close_to_exact(spark):
     assert approx["count"] == exact["count"] and approx["mean"] == pytest.approx(exact["mean"])
     for q in ("p25", "p50", "p75"):
         assert approx[q] == pytest.approx(exact[q], rel=1e-3)
+
+
+def test_values_at_positions_with_a_hot_value(spark):
+    from tracelake.plans.ordering import values_at_positions
+
+    vals = [5] * 300 + list(range(600))
+    df = spark.createDataFrame([(v,) for v in vals], "x int")
+    ordered = sorted(vals)
+    want = [1, 300, 301, 450, 900]
+    picked, n = values_at_positions(df, "x", want, buckets=6)
+    assert n == 900
+    assert {r["pos"]: r["v"] for r in picked.collect()} == {p: ordered[p - 1] for p in want}
+
+
+def test_describe_one_row_and_empty(spark):
+    one = ov.describe(spark.createDataFrame([(7,)], "x int")).first()
+    assert (one["count"], one["min"], one["p25"], one["p50"], one["max"]) == (1, 7.0, 7.0, 7.0, 7.0)
+    assert one["std"] is None
+    empty = ov.describe(spark.createDataFrame([], "x int")).first()
+    assert empty["count"] == 0 and empty["p50"] is None

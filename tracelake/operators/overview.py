@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.functions.scalars import fill_label, hour_floor, lenient_decimal, lenient_double, to_ts
-from tracelake.plans.ordering import running_total, with_position
+from tracelake.plans.ordering import running_total, values_at_positions
 
 SESSION = "`session.id`"
 
@@ -110,40 +110,50 @@ _TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _exact_quantiles(df: DataFrame, name: str, value, n: int) -> DataFrame:
+def _exact_quantiles(df: DataFrame, name: str, value) -> DataFrame:
     """One row: count/mean/std/min/max and the linear-interpolated quartiles
-    of ``value``, computed from distributed global positions."""
+    of ``value``.  The quartiles read the few order statistics they need
+    (``values_at_positions``); the other statistics are one aggregate."""
     vals = df.select(value.alias("v")).where(F.col("v").isNotNull())
     integral = isinstance(vals.schema["v"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     # Integral values are averaged exactly (a double sum drifts on large values).
     mean = (
         F.sum(F.col("v").cast("decimal(38,0)")).cast("double") / F.count("v") if integral else F.avg("v")
     )
-    ranked = with_position(vals, ["v"], "pos")
-    aggs = [
+    stats = vals.agg(
         F.count("v").alias("count"),
         mean.alias("mean"),
         F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-    ]
-    cols = []
-    for q in QUANTILES:
-        h = (n - 1) * q
-        lo, hi = int(h // 1), int(-(-h // 1))
-        frac = h - lo
-        key = f"q{int(q * 100)}"
-        aggs.append(F.max(F.when(F.col("pos") == lo + 1, F.col("v"))).alias(f"{key}_lo"))
-        aggs.append(F.max(F.when(F.col("pos") == hi + 1, F.col("v"))).alias(f"{key}_hi"))
-        cols.append(
-            (F.col(f"{key}_lo") + (F.col(f"{key}_hi") - F.col(f"{key}_lo")) * F.lit(frac)).alias(
-                {25: "p25", 50: "p50", 75: "p75"}[int(q * 100)]
-            )
-        )
-    return ranked.agg(*aggs).select(
-        F.lit(name).alias("column"), "count", "mean", "std", "min", *cols, "max"
     )
 
+    def plan(n: int) -> dict:
+        targets = {}
+        for q in QUANTILES:
+            h = (n - 1) * q
+            lo = int(h // 1)
+            targets[q] = (lo + 1, lo + 2 if h > lo else lo + 1, h - lo)
+        return targets
+
+    # The count comes from the bucketing pass; positions follow from it.
+    picked, n = values_at_positions(vals, "v", lambda total: sorted({p for t in plan(total).values() for p in t[:2]}))
+    targets = plan(n)
+    wanted = sorted({p for t in targets.values() for p in t[:2]})
+    cols = []
+    if n:
+        row = picked.agg(*[F.max(F.when(F.col("pos") == p, F.col("v"))).alias(f"_p{p}") for p in wanted])
+        joined = stats.withColumn("_tl_k", F.lit(1)).join(row.withColumn("_tl_k", F.lit(1)), "_tl_k")
+    else:
+        joined = stats
+    for q, (lo, hi, frac) in targets.items():
+        name_q = {0.25: "p25", 0.5: "p50", 0.75: "p75"}[q]
+        if not n:
+            cols.append(F.lit(None).cast("double").alias(name_q))
+        else:
+            cols.append((F.col(f"_p{lo}") + (F.col(f"_p{hi}") - F.col(f"_p{lo}")) * F.lit(frac)).alias(name_q))
+    return joined.select(F.lit(name).alias("column"), "count", "mean", "std", "min", *cols, "max")
+
 
 def describe_approx(df: DataFrame, numeric: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """A9 in one pass for very large inputs: quartiles from a bounded-memory
@@ -182,12 +192,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
         return describe_text(df, [f.name for f in fields])
     if not exact:
         return describe_approx(df, numeric)
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(numeric)]).first()
     parts = [
-        _exact_quantiles(df, c, F.col(f"`{c}`"), counts[f"c{i}"]).select(
+        _exact_quantiles(df, c, F.col(f"`{c}`")).select(
             "column", "count", *[F.col(x).cast("double").alias(x) for x in ("mean", "std", "min", "p25", "p50", "p75", "max")]
         )
-        for i, c in enumerate(numeric)
+        for c in numeric
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -199,11 +208,10 @@ def describe_time(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """A9 for time columns: count, mean, min, quartiles, max as timestamps."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     times = [f.name for f in fields if isinstance(f.dataType, _TIME)]
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(times)]).first()
     parts = []
-    for i, c in enumerate(times):
+    for c in times:
         micros = F.unix_micros(F.col(f"`{c}`").cast("timestamp"))
-        stats = _exact_quantiles(df, c, micros, counts[f"c{i}"])
+        stats = _exact_quantiles(df, c, micros)
 
         def back(x: str):
             return F.timestamp_micros(F.round(F.col(x)).cast("bigint")).cast("timestamp_ntz").alias(x)

@@ -23,7 +23,7 @@ than one bucket.  The checkpoint makes the function run one job eagerly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,3 +74,64 @@ def with_position(
 ) -> DataFrame:
     """Add a 1-based global position in ``order`` (a distributed row_number)."""
     return running_total(df, order, F.lit(1).cast("bigint"), out, buckets)
+
+
+def values_at_positions(
+    df: DataFrame,
+    value: Column | str,
+    positions: Sequence[int] | Callable[[int], Sequence[int]],
+    buckets: int | None = None,
+) -> tuple[DataFrame, int]:
+    """The values at given 1-based positions of ``value`` in ascending order
+    (NULLs left out), as rows ``(pos, v)``, and the number of values.
+    ``positions`` may be a function of that number (e.g. quartiles).
+
+    Order statistics need only a few positions, so only a few buckets need a
+    local ranking: the rows are range-bucketed once (unique tiebreaker, so a
+    hot value is split too) and checkpointed; the per-bucket counts — one
+    row per bucket, so bounded by the bucket count — are read on the driver
+    to find the bucket and local rank of each wanted position; only those
+    buckets are ranked.  One full shuffle; the second touches a few buckets.
+    """
+    spark = df.sparkSession
+    n = buckets or shuffle_partitions(spark)
+    shared_dir(spark)
+    v = F.col(value) if isinstance(value, str) else value
+    ranged = (
+        df.select(v.alias("v"))
+        .where(F.col("v").isNotNull())
+        .withColumn(_UID, F.monotonically_increasing_id())
+        .repartitionByRange(n, "v", _UID)
+        .withColumn(_BUCKET, F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    counts = sorted((r[0], r[1]) for r in ranged.groupBy(_BUCKET).count().collect())
+    total = sum(c for _, c in counts)
+    if callable(positions):
+        positions = positions(total)
+    wanted: dict[tuple[int, int], list[int]] = {}
+    start = 0
+    for bucket, c in counts:
+        for p in positions:
+            if start < p <= start + c:
+                wanted.setdefault((bucket, p - start), []).append(p)
+        start += c
+    if not wanted:
+        return spark.createDataFrame([], "pos bigint, v " + ranged.schema["v"].dataType.simpleString()), total
+    local = Window.partitionBy(_BUCKET).orderBy("v", _UID)
+    ranked = (
+        ranged.where(F.col(_BUCKET).isin(sorted({b for b, _ in wanted})))
+        .withColumn("_tl_rank", F.row_number().over(local))
+    )
+    cond = None
+    pos = None
+    for (bucket, rank), ps in sorted(wanted.items()):
+        hit = (F.col(_BUCKET) == bucket) & (F.col("_tl_rank") == rank)
+        cond = hit if cond is None else cond | hit
+        pos = F.when(hit, F.lit(ps[0])) if pos is None else pos.when(hit, F.lit(ps[0]))
+    picked = ranked.where(cond).select(pos.cast("bigint").alias("pos"), "v")
+    # A position asked twice maps to one row; repeat it for each extra ask.
+    extra = [(ps[0], p) for ps in wanted.values() for p in ps[1:]]
+    for first, again in extra:
+        picked = picked.unionByName(picked.where(F.col("pos") == first).select(F.lit(again).cast("bigint").alias("pos"), "v"))
+    return picked, total

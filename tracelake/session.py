@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A JSON object with a repeated key keeps its last value (as Python's json does).
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Lineage cuts (running totals, order statistics) write checkpoint files;
+    # remove them once their data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
