@@ -73,3 +73,14 @@ def test_zoned_log_timestamps_become_utc(spark, scratch):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert ts == dt.datetime(2024, 1, 1, 10, 0)
+
+
+def test_union_groups_paths_by_schema(spark, scratch):
+    root = scratch("groups")
+    for i in range(3):
+        spark.createDataFrame([(f"2024-01-0{i + 1}", "1.5")], "timestamp string, cost string").write.parquet(f"{root}/s{i}")
+    spark.createDataFrame([(dt.datetime(2024, 1, 9), 2.5)], "timestamp timestamp_ntz, cost double").write.parquet(f"{root}/d")
+    logs = read_logs(spark, [f"{root}/s0", f"{root}/s1", f"{root}/s2", f"{root}/d"])
+    assert logs.count() == 4
+    plan = logs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # one scan per distinct schema

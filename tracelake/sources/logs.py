@@ -64,8 +64,10 @@ def read_logs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     matched by name, absent ones NULL, plus the source file name.
 
     When all files agree on types, one scan with ``mergeSchema`` does it.
-    When they do not (an int here, a string there), each path is read on its
-    own, cast to the ``logs`` schema, and the frames are unioned by name.
+    When they do not (an int here, a string there), paths are grouped by
+    their own schema (a footer read per path), each group is one scan cast
+    to the ``logs`` schema, and the groups are unioned by name — one scan
+    per distinct schema, not per file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     try:
@@ -75,7 +77,10 @@ def read_logs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     except Exception as exc:  # schema merge conflicts surface as SparkException
         if "merge" not in str(exc).lower() and "incompatible" not in str(exc).lower():
             raise
-    frames = [_to_logs_schema(spark.read.parquet(p)) for p in paths]
+    groups: dict[str, list[str]] = {}
+    for p in paths:
+        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    frames = [_to_logs_schema(spark.read.parquet(*group)) for group in groups.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
