@@ -45,3 +45,19 @@ def test_json_safe_types(spark):
     assert row["bin"] == base64.b64encode(b"hi").decode("ascii")
     assert row["arr"] == [1, 2] and row["m"] == {"1": "a"} and row["st"] == {"x": "2024-01-02"}
     assert isinstance(row["iv"], str)
+
+
+def test_run_sql_rows_are_json_encodable(spark):
+    import json
+
+    res = sqlapi.run_sql(spark, "SELECT named_struct('a', 1, 'd', DATE'2024-01-02') AS s, map('k', 1.5BD) AS m, "
+                                "array(TIMESTAMP_NTZ'2024-01-02 00:00:00') AS t")
+    text = json.dumps(res.rows)
+    assert json.loads(text) == [[{"a": 1, "d": "2024-01-02"}, {"k": 1.5}, ["2024-01-02T00:00:00"]]]
+
+
+def test_json_rows_keep_nulls(spark):
+    import json
+
+    df = spark.sql("SELECT 1 AS a, CAST(NULL AS string) AS b, DATE'2024-01-02' AS d")
+    assert json.loads(sqlapi.json_rows(df).first()["json"]) == {"a": 1, "b": None, "d": "2024-01-02"}
