@@ -70,3 +70,22 @@ def test_placeholders_and_label(spark):
         session_label("title", "id").alias("l")
     ).first()
     assert row["l"] == "t" * 60 + " (s1)"
+
+
+def test_utc_wall_clock_by_type(spark):
+    from pyspark.sql import types as T
+
+    from tracelake.functions.scalars import utc_wall_clock
+
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.sql("SELECT DATE'2024-01-02' AS d, TIMESTAMP'2024-01-02 10:00:00 UTC' AS t, "
+                        "TIMESTAMP_NTZ'2024-01-02 10:00:00' AS n, '2024-01-02T10:00:00Z' AS s").select(
+            utc_wall_clock("d", T.DateType()).alias("d"), utc_wall_clock("t", T.TimestampType()).alias("t"),
+            utc_wall_clock("n", T.TimestampNTZType()).alias("n"), utc_wall_clock("s", T.StringType()).alias("s"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert row["d"] == dt.datetime(2024, 1, 2)
+    assert row["t"] == row["n"] == row["s"] == dt.datetime(2024, 1, 2, 10)

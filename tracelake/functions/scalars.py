@@ -59,13 +59,16 @@ def utc_wall_clock(c: ColumnOrName, dtype) -> Column:
     col = _col(c)
     if isinstance(dtype, T.TimestampNTZType):
         return col
-    if isinstance(dtype, (T.TimestampType, T.DateType)):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp").cast("timestamp_ntz"))
+    if isinstance(dtype, T.DateType):
+        return col.cast("timestamp_ntz")  # midnight of that day
+    if isinstance(dtype, T.TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
     return to_ts(col)
 
 
 def to_ts_strict(c: ColumnOrName) -> Column:
-    """Strict text → timestamp: a bad value fails the query under ANSI mode."""
+    """Strict text → timestamp: a value that does not parse fails the query
+    (``raise_error``); NULL stays NULL."""
     s = F.trim(_col(c).cast("string"))
     return F.when(s.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(
         F.coalesce(to_ts(s), F.raise_error(F.concat(F.lit("bad timestamp: "), s)).cast("timestamp_ntz"))
