@@ -36,6 +36,20 @@ def lenient_decimal(c: ColumnOrName, precision: int = 38, scale: int = 10) -> Co
     return lenient_double(c).try_cast(f"decimal({precision},{scale})")
 
 
+def typed_decimal(c: ColumnOrName, dtype, precision: int = 38, scale: int = 10) -> Column:
+    """A number as an exact decimal: numeric columns are cast directly (NaN
+    and infinities become NULL), text is parsed leniently."""
+    from pyspark.sql import types as T
+
+    col = _col(c)
+    target = f"decimal({precision},{scale})"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(col), col.try_cast(target))
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+        return col.try_cast(target)
+    return lenient_decimal(col, precision, scale)
+
+
 def to_ts(c: ColumnOrName) -> Column:
     """Lenient text → timestamp (UTC wall clock, ``timestamp_ntz``).
 

@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracelake.functions.scalars import fill_label, hour_floor, lenient_decimal, lenient_double, to_ts
+from tracelake.functions.scalars import fill_label, hour_floor, lenient_double, typed_decimal, utc_wall_clock
 from tracelake.plans.ordering import running_total, values_at_positions
 
 SESSION = "`session.id`"
 
 
 def valid_logs(logs: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Parse the timestamp leniently and keep the rows where it parses."""
-    parsed = logs.withColumn(ts, to_ts(F.col(f"`{ts}`")))
+    """The timestamp as a UTC ``timestamp_ntz`` (text parsed
+    leniently, typed values converted) and only the rows where it is set."""
+    parsed = logs.withColumn(ts, utc_wall_clock(F.col(f"`{ts}`"), logs.schema[ts].dataType))
     return parsed.where(F.col(f"`{ts}`").isNotNull())
 
 
@@ -82,7 +83,7 @@ def cumulative_cost(
     (see ``plans.ordering``), never in one task.
     """
     base = df.select(
-        F.col(f"`{ts}`").alias("timestamp"), lenient_decimal(F.col(f"`{cost}`")).alias("cost")
+        F.col(f"`{ts}`").alias("timestamp"), typed_decimal(F.col(f"`{cost}`"), df.schema[cost].dataType).alias("cost")
     ).na.drop(subset=["timestamp", "cost"])
     return running_total(base, ["timestamp", "cost"], "cost", out)
 

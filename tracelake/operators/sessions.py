@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.functions.scalars import epoch_ms, lenient_decimal, session_label
+from tracelake.functions.scalars import epoch_ms, session_label, typed_decimal
 
 MONEY = "decimal(38,10)"
 
 
-def _money_sum(c) -> F.Column:
-    """Exact sum of a lenient number; no value at all sums to 0."""
-    return F.coalesce(F.sum(lenient_decimal(c)), F.lit(0).cast(MONEY))
+def _money_sum(df: DataFrame, c: str) -> F.Column:
+    """Exact sum of a number (text parsed leniently); no value sums to 0."""
+    return F.coalesce(F.sum(typed_decimal(c, df.schema[c].dataType)), F.lit(0).cast(MONEY))
 
 
 def session_metrics(parts: DataFrame, approx_distinct: bool = False) -> DataFrame:
@@ -34,8 +34,11 @@ def session_metrics(parts: DataFrame, approx_distinct: bool = False) -> DataFram
             F.count("part_id").alias("nb_parts"),
             F.count("tool").alias("nb_tools"),
             distinct.alias("nb_messages"),
-            _money_sum("cost").alias("cost"),
-            F.coalesce(F.sum(lenient_decimal("tokens_total", 38, 0)), F.lit(0).cast("decimal(38,0)")).alias("tokens"),
+            _money_sum(parts, "cost").alias("cost"),
+            F.coalesce(
+                F.sum(typed_decimal("tokens_total", parts.schema["tokens_total"].dataType, 38, 0)),
+                F.lit(0).cast("decimal(38,0)"),
+            ).alias("tokens"),
         )
     )
 
@@ -71,7 +74,7 @@ def cost_per_message(parts: DataFrame) -> DataFrame:
         .groupBy("session_id", "message_id")
         .agg(
             F.count("part_id").alias("nb_parts"),
-            _money_sum("cost").alias("cost"),
+            _money_sum(parts, "cost").alias("cost"),
             F.coalesce(F.sum("tokens_total"), F.lit(0).cast("bigint")).alias("tokens"),
         )
     )
