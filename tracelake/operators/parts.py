@@ -47,6 +47,8 @@ def join_source(
         p = p.where(F.col("session_id") == F.lit(session_id))
     m = message.select(F.col("id").alias("_tl_mid"), F.col("data").alias("_tl_mdata"))
     s = session.select(F.col("id").alias("_tl_sid"), F.col("title"))
+    if session_id is not None:
+        s = s.where(F.col("_tl_sid") == F.lit(session_id))
     return (
         p.join(m, p["message_id"] == m["_tl_mid"], "inner")
         .join(s, p["session_id"] == s["_tl_sid"], "inner")

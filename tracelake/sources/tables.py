@@ -8,26 +8,32 @@ from pyspark.sql import functions as F
 from tracelake.schemas import PARTS, SESSIONS, SOURCE_MESSAGE, SOURCE_PART, conform
 
 
-def _read_conformed(spark: SparkSession, path: str, schema) -> DataFrame:
+def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> DataFrame:
     """Read Parquet written by any exporter and conform it to ``schema`` by
     name.  Files of one table may disagree on types (a pandas writer turns an
-    integer column with gaps into float): the merged file schema is read when
-    it exists, else the fixed schema is imposed."""
-    try:
-        raw = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
-    except Exception:
+    integer column with gaps into float): with ``merge`` the merged file
+    schema is read (footers of all files, merged by a Spark job when there
+    are many) and cast; without it, or when the files cannot be merged, the
+    fixed schema is imposed on the scan."""
+    raw = None
+    if merge:
+        try:
+            raw = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+        except Exception:
+            raw = None
+    if raw is None:
         raw = spark.read.schema(schema).option("basePath", path).parquet(path)
     return conform(raw, schema)
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
+def read_parts(spark: SparkSession, path: str, merge: bool = True) -> DataFrame:
     """The ``parts`` table with its fixed schema (missing columns NULL;
     ``session_id`` partitions, if any, are read back as a column)."""
-    return _read_conformed(spark, path, PARTS)
+    return _read_conformed(spark, path, PARTS, merge)
 
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return _read_conformed(spark, path, SESSIONS)
+def read_sessions(spark: SparkSession, path: str, merge: bool = True) -> DataFrame:
+    return _read_conformed(spark, path, SESSIONS, merge)
 
 
 def read_source(
@@ -64,8 +70,8 @@ def list_parquet(spark: SparkSession, root: str) -> DataFrame:
     size, modification time and kind, routed by the first path segment:
     ``conversations/`` and ``sessions/`` are named, everything else is a log.
 
-    The binary-file source lists files as a distributed scan; ``content`` is
-    never selected, so no file body is read.
+    The binary-file source lists the files (in parallel when there are many
+    directories); ``content`` is never selected, so no file body is read.
     """
     base = root.rstrip("/")
     files = (
