@@ -1,8 +1,8 @@
 """Conversation store -> ``parts`` and ``sessions`` tables.
 
-One lazy plan: filter (pushed to the scan) -> inner joins on ids -> parse
-each JSON document once into a VARIANT column -> read typed paths from it.
-No row passes through Python.
+One lazy plan: filter (pushed to the scan) -> parse each part document once
+into a VARIANT column and read its typed paths -> inner joins on ids with the
+message role and session title.  No row passes through Python.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tracelake.schemas import PART_COLUMNS, SESSION_COLUMNS
 
-_V, _MV = "_tl_doc", "_tl_msg"
+_V = "_tl_doc"
 
 
 def _get(path: str, typ: str = "string") -> Column:
@@ -32,23 +32,35 @@ def _text_or_json(path: str) -> Column:
     )
 
 
+def _source_sides(message: DataFrame, session: DataFrame, session_id: str | None):
+    """(id, role) of each message and (id, title) of each session.  Each
+    message document is parsed once, and only a short string moves."""
+    m = message.select(
+        F.col("id").alias("_tl_mid"),
+        F.try_variant_get(F.try_parse_json(F.col("data")), "$.role", "string").alias("role"),
+    )
+    s = session.select(F.col("id").alias("_tl_sid"), F.col("title"))
+    if session_id is not None:
+        s = s.where(F.col("_tl_sid") == F.lit(session_id))
+    return m, s
+
+
 def join_source(
     part: DataFrame, message: DataFrame, session: DataFrame, session_id: str | None = None
 ) -> DataFrame:
-    """J1 (+P2): inner join part -> message -> session.
+    """J1 (+P2): inner join part -> message -> session, adding the message
+    ``role`` and the session ``title`` to the part rows.
 
     Parts without a message or a session are dropped.  The session filter is
-    applied to the part scan before any JSON is parsed.  The join strategy is
-    left to Spark: AQE turns the session side into a broadcast only when its
-    measured size is under the broadcast threshold.
+    applied to the part scan (and the session side) before anything else.
+    The join strategy is left to Spark: AQE turns a side into a broadcast
+    only when its measured size is under the broadcast threshold, otherwise
+    it stays a sort-merge join (with skew splitting).
     """
-    p = part.select("id", "message_id", "session_id", "time_created", "time_updated", "data")
+    p = part
     if session_id is not None:
         p = p.where(F.col("session_id") == F.lit(session_id))
-    m = message.select(F.col("id").alias("_tl_mid"), F.col("data").alias("_tl_mdata"))
-    s = session.select(F.col("id").alias("_tl_sid"), F.col("title"))
-    if session_id is not None:
-        s = s.where(F.col("_tl_sid") == F.lit(session_id))
+    m, s = _source_sides(message, session, session_id)
     return (
         p.join(m, p["message_id"] == m["_tl_mid"], "inner")
         .join(s, p["session_id"] == s["_tl_sid"], "inner")
@@ -56,25 +68,24 @@ def join_source(
     )
 
 
-def extract_parts(joined: DataFrame) -> DataFrame:
-    """Typed part columns from the part and message JSON.
+def extract_fields(part: DataFrame) -> DataFrame:
+    """Typed part columns from the part JSON (role and title, which
+    come from the message and session, are not set here).
 
     Per part type: text/reasoning keep ``text`` (reasoning also its ``time``
     as JSON); tool keeps name, status, input (JSON) and output; step-finish
     keeps reason, tokens and cost; patch keeps its file list (JSON, ``[]``
     when missing).  Any other type keeps the common columns only.  A part
     whose JSON does not parse keeps its ids with NULL content (see
-    ``part_rejects``).
+    ``part_rejects``).  Each document is parsed once into a VARIANT column.
     """
-    docs = joined.select(
+    docs = part.select(
         F.col("id").alias("part_id"),
         "message_id",
         "session_id",
         "time_created",
         "time_updated",
-        "title",
         F.try_parse_json(F.col("data")).alias(_V),
-        F.try_parse_json(F.col("_tl_mdata")).alias(_MV),
     )
     ptype = _get("$.type")
     is_ = lambda *types: ptype.isin(*types)
@@ -85,8 +96,6 @@ def extract_parts(joined: DataFrame) -> DataFrame:
         "session_id",
         "time_created",
         "time_updated",
-        F.try_variant_get(F.col(_MV), "$.role", "string").alias("role"),
-        "title",
         ptype.alias("part_type"),
         F.when(is_("text", "reasoning"), _get("$.text")).otherwise(null_s).alias("text"),
         F.when(is_("reasoning"), _json_text("$.time", "null")).otherwise(null_s).alias("reasoning_time"),
@@ -100,7 +109,7 @@ def extract_parts(joined: DataFrame) -> DataFrame:
         F.when(is_("step-finish"), _get("$.tokens.total", "bigint")).otherwise(null_l).alias("tokens_total"),
         F.when(is_("step-finish"), _get("$.cost", "double")).otherwise(null_d).alias("cost"),
         F.when(is_("patch"), _json_text("$.files", "[]")).otherwise(null_s).alias("files"),
-    ).select(*PART_COLUMNS)
+    )
 
 
 def part_rejects(joined: DataFrame) -> DataFrame:
@@ -119,5 +128,18 @@ def sessions_table(session: DataFrame) -> DataFrame:
 def export_parts(
     part: DataFrame, message: DataFrame, session: DataFrame, session_id: str | None = None
 ) -> DataFrame:
-    """J1 + F8-F10: the ``parts`` table, optionally for one session."""
-    return extract_parts(join_source(part, message, session, session_id))
+    """J1 + F8-F10: the ``parts`` table, optionally for one session.
+
+    The part documents are reduced to their typed columns first, then joined
+    to the message role and session title: the joins move extracted columns,
+    never whole JSON documents.
+    """
+    p = part.select("id", "message_id", "session_id", "time_created", "time_updated", "data")
+    if session_id is not None:
+        p = p.where(F.col("session_id") == F.lit(session_id))
+    fields = extract_fields(p)
+    m, s = _source_sides(message, session, session_id)
+    joined = fields.join(m, fields["message_id"] == m["_tl_mid"], "inner").join(
+        s, fields["session_id"] == s["_tl_sid"], "inner"
+    )
+    return joined.select(*PART_COLUMNS)
