@@ -247,10 +247,13 @@ def q_sql_explorer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sql_result_cap(spark: SparkSession, sf: str) -> DataFrame:
-    _views(spark, sf)
+    # Q2: free SQL over a persisted (create-once) table, capped at MAX_ROWS.
+    db = "tl_" + scratch_path(spark, "sqldb").rsplit("-", 1)[-1]
+    tables.create_table_once(spark, db, "lineitem", fx.table(spark, sf, "lineitem"),
+                             location=scratch_path(spark, "sqlwh"))
     return sqlapi.sql_frame(
         spark,
-        "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber",
+        f"SELECT l_orderkey, l_linenumber, l_quantity FROM `{db}`.lineitem ORDER BY l_orderkey, l_linenumber;",
         max_rows=sqlapi.MAX_ROWS,
     )
 
