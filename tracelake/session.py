@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     # Lineage cuts (running totals, order statistics) write checkpoint files;
     # remove them once their data is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     # Streaming state (dedup keys, open windows) in RocksDB, off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
