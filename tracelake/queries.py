@@ -23,7 +23,7 @@ from tracelake.functions.scalars import epoch_ms
 from tracelake.plans import sqlapi, tables
 from tracelake.plans.ordering import with_position
 from tracelake.schemas import PARTS
-from tracelake.session import scratch_path
+from tracelake.session import scratch_path, shared_dir
 from tracelake.sources import logs as log_src
 from tracelake.sources import sinks
 from tracelake.sources import tables as tbl_src
@@ -279,7 +279,10 @@ def q_json_safe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_frames(spark: SparkSession, sf: str) -> list[DataFrame]:
-    return fx.fx_loads(_parts(spark, sf))
+    # Three loads are cut from one parts table: compute it once and cut the
+    # lineage (checkpoint in the shared folder) instead of re-deriving it per load.
+    shared_dir(spark)
+    return fx.fx_loads(_parts(spark, sf).checkpoint(eager=True))
 
 
 def q_dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
