@@ -70,16 +70,28 @@ def test_running_total_equals_single_window(spark, n):
 
 
 def test_running_total_spreads_a_hot_key(spark):
-    # A third of the rows share one (t, v); buckets still hold similar counts.
-    rows = [(1, 1.0)] * 300 + [(i, 1.0) for i in range(600)]
-    df = spark.createDataFrame(rows, "t int, v double")
+    # A third of the rows tie on the order keys (t, v) but differ elsewhere:
+    # the row-hash tiebreaker spreads them over several buckets.
+    from tracelake.plans.ordering import row_hash
+
+    rows = [(1, 1.0, f"x{i}") for i in range(300)] + [(i, 1.0, "y") for i in range(600)]
+    df = spark.createDataFrame(rows, "t int, v double, other string")
     pos = with_position(df, ["t", "v"], "pos", buckets=6)
     assert sorted(r["pos"] for r in pos.collect()) == list(range(1, 901))
-    sizes = [r["n"] for r in df.repartitionByRange(
-        6, "t", "v", F.monotonically_increasing_id()).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    sizes = [r["n"] for r in df.repartitionByRange(6, "t", "v", row_hash(df)).groupBy(
+        F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert max(sizes) < 300
 
 
+def test_row_hash_is_content_only(spark):
+    from tracelake.plans.ordering import row_hash
+
+    df = spark.createDataFrame([(1, {"a": "b"}), (1, {"a": "b"}), (2, None)], "k int, m map<string,string>")
+    a = [r[0] for r in df.select(row_hash(df)).collect()]
+    b = [r[0] for r in df.repartition(3).select(row_hash(df)).orderBy(F.col(df.columns[0])).collect()]
+    assert a[0] == a[1] != a[2] and sorted(a) == sorted(b)
+
+
 def test_cumulative_cost_plan_has_no_single_partition(spark):
     logs = _logs(spark, [(f"2024-01-0{1 + i % 9}", "i", "a", "1", "1", str(i), "f") for i in range(50)])
     out = ov.cumulative_cost(ov.valid_logs(logs))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.functions.scalars import fill_label, hour_floor, lenient_double, typed_decimal, utc_wall_clock
-from tracelake.plans.ordering import running_total, values_at_positions
+from tracelake.plans.ordering import row_hash, running_total, values_at_positions
 
 SESSION = "`session.id`"
 
@@ -83,9 +83,11 @@ def cumulative_cost(
     (see ``plans.ordering``), never in one task.
     """
     base = df.select(
-        F.col(f"`{ts}`").alias("timestamp"), typed_decimal(F.col(f"`{cost}`"), df.schema[cost].dataType).alias("cost")
+        F.col(f"`{ts}`").alias("timestamp"),
+        typed_decimal(F.col(f"`{cost}`"), df.schema[cost].dataType).alias("cost"),
+        row_hash(df).alias("_tl_row"),  # ties on (time, cost) spread by the rest of the row
     ).na.drop(subset=["timestamp", "cost"])
-    return running_total(base, ["timestamp", "cost"], "cost", out)
+    return running_total(base, ["timestamp", "cost"], "cost", out, tiebreak=F.col("_tl_row")).drop("_tl_row")
 
 
 def load_metrics(logs: DataFrame, filename: str = "filename") -> DataFrame:
@@ -138,7 +140,9 @@ def _exact_quantiles(df: DataFrame, name: str, value) -> DataFrame:
         return targets
 
     # The count comes from the bucketing pass; positions follow from it.
-    picked, n = values_at_positions(vals, "v", lambda total: sorted({p for t in plan(total).values() for p in t[:2]}))
+    picked, n = values_at_positions(
+        df, value, lambda total: sorted({p for t in plan(total).values() for p in t[:2]}), tiebreak=row_hash(df)
+    )
     targets = plan(n)
     wanted = sorted({p for t in targets.values() for p in t[:2]})
     cols = []

@@ -3,10 +3,14 @@
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
 The pattern below keeps the work spread out:
 
-1. tag each row with a unique id (a stable tiebreaker; rows equal in the
-   order keys are interchangeable, so any consistent order is right);
-2. ``repartitionByRange`` on (order keys, id): because the id is unique, even
-   a key holding a third of all rows is split over many buckets;
+1. tag each row with a tiebreaker: a hash of the whole row.  It depends on
+   the row's content only, never on its position, so a task retried after a
+   lost executor sends every row to the same bucket again.  Rows equal in the
+   order keys are interchangeable, so any consistent order among them is
+   right; rows equal in *every* column are indistinguishable anyway;
+2. ``repartitionByRange`` on (order keys, tiebreaker): rows that tie on the
+   order keys but differ elsewhere spread over many buckets, so even a key
+   holding a third of all rows is split;
 3. materialise the bucketed rows once with ``checkpoint()`` in the shared
    checkpoint folder.  Both consumers below must see the *same* buckets: two
    independently planned range exchanges sample separately and may cut at
@@ -27,6 +31,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.session import shared_dir, shuffle_partitions
 
@@ -37,22 +42,43 @@ def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def _hashable(c: Column, t: T.DataType) -> Column:
+    """Map and variant values cannot be hashed: hash their JSON text."""
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return F.to_json(c)
+    if isinstance(t, T.StructType) and any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in t.fields):
+        return F.to_json(c)
+    if isinstance(t, T.ArrayType) and isinstance(t.elementType, (T.MapType, T.VariantType, T.StructType)):
+        return F.to_json(c)
+    return c
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic 64-bit hash of a whole row (content only)."""
+    return F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[Column | str],
     value: Column | str,
     out: str,
     buckets: int | None = None,
+    tiebreak: Column | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows up to and including the
-    current one, in ``order`` (ascending sort expressions allowed)."""
+    current one, in ``order`` (ascending sort expressions allowed).
+
+    ``tiebreak`` orders rows equal in ``order``; by default a hash of the
+    whole row.  Pass one computed on a wider row when ``df`` is a narrow
+    projection, so that ties are still spread."""
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
     val = F.col(value) if isinstance(value, str) else value
     keys = [*_order_exprs(order), F.col(_UID)]
     shared_dir(spark)  # make sure a checkpoint folder is set (tests, local runs)
     ranged = (
-        df.withColumn(_UID, F.monotonically_increasing_id())
+        df.withColumn(_UID, tiebreak if tiebreak is not None else row_hash(df))
         .withColumn("_tl_val", val)
         .repartitionByRange(n, *keys)
         .withColumn(_BUCKET, F.spark_partition_id())
@@ -70,10 +96,14 @@ def running_total(
 
 
 def with_position(
-    df: DataFrame, order: Sequence[Column | str], out: str = "pos", buckets: int | None = None
+    df: DataFrame,
+    order: Sequence[Column | str],
+    out: str = "pos",
+    buckets: int | None = None,
+    tiebreak: Column | None = None,
 ) -> DataFrame:
     """Add a 1-based global position in ``order`` (a distributed row_number)."""
-    return running_total(df, order, F.lit(1).cast("bigint"), out, buckets)
+    return running_total(df, order, F.lit(1).cast("bigint"), out, buckets, tiebreak)
 
 
 def values_at_positions(
@@ -81,57 +111,63 @@ def values_at_positions(
     value: Column | str,
     positions: Sequence[int] | Callable[[int], Sequence[int]],
     buckets: int | None = None,
+    tiebreak: Column | None = None,
 ) -> tuple[DataFrame, int]:
     """The values at given 1-based positions of ``value`` in ascending order
     (NULLs left out), as rows ``(pos, v)``, and the number of values.
     ``positions`` may be a function of that number (e.g. quartiles).
 
     Order statistics need only a few positions, so only a few buckets need a
-    local ranking: the rows are range-bucketed once (unique tiebreaker, so a
-    hot value is split too) and checkpointed; the per-bucket counts — one
-    row per bucket, so bounded by the bucket count — are read on the driver
-    to find the bucket and local rank of each wanted position; only those
-    buckets are ranked.  One full shuffle; the second touches a few buckets.
+    local ranking: the rows are range-bucketed once on (value, tiebreaker —
+    by default a hash of the whole row) and checkpointed; the per-bucket
+    count, min and max — one row per bucket, bounded by the bucket count —
+    are read on the driver to find the bucket and local rank of each wanted
+    position.  A bucket whose min equals its max answers directly (a value
+    holding a third of the rows needs no ranking at all); only the other
+    wanted buckets are ranked.  One full shuffle; the second touches a few
+    buckets.
     """
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
     shared_dir(spark)
     v = F.col(value) if isinstance(value, str) else value
     ranged = (
-        df.select(v.alias("v"))
+        df.select(v.alias("v"), (tiebreak if tiebreak is not None else row_hash(df)).alias(_UID))
         .where(F.col("v").isNotNull())
-        .withColumn(_UID, F.monotonically_increasing_id())
         .repartitionByRange(n, "v", _UID)
         .withColumn(_BUCKET, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    counts = sorted((r[0], r[1]) for r in ranged.groupBy(_BUCKET).count().collect())
-    total = sum(c for _, c in counts)
+    vtype = ranged.schema["v"].dataType
+    stats = ranged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    counts = sorted((r[_BUCKET], r["n"], r["lo"], r["hi"]) for r in stats.collect())
+    total = sum(c for _, c, _, _ in counts)
     if callable(positions):
         positions = positions(total)
-    wanted: dict[tuple[int, int], list[int]] = {}
+    positions = sorted(set(positions))
+    known: dict[int, object] = {}
+    wanted: dict[tuple[int, int], int] = {}
     start = 0
-    for bucket, c in counts:
+    for bucket, c, lo, hi in counts:
         for p in positions:
             if start < p <= start + c:
-                wanted.setdefault((bucket, p - start), []).append(p)
+                if lo == hi:
+                    known[p] = lo
+                else:
+                    wanted[(bucket, p - start)] = p
         start += c
-    if not wanted:
-        return spark.createDataFrame([], "pos bigint, v " + ranged.schema["v"].dataType.simpleString()), total
-    local = Window.partitionBy(_BUCKET).orderBy("v", _UID)
-    ranked = (
-        ranged.where(F.col(_BUCKET).isin(sorted({b for b, _ in wanted})))
-        .withColumn("_tl_rank", F.row_number().over(local))
-    )
-    cond = None
-    pos = None
-    for (bucket, rank), ps in sorted(wanted.items()):
-        hit = (F.col(_BUCKET) == bucket) & (F.col("_tl_rank") == rank)
-        cond = hit if cond is None else cond | hit
-        pos = F.when(hit, F.lit(ps[0])) if pos is None else pos.when(hit, F.lit(ps[0]))
-    picked = ranked.where(cond).select(pos.cast("bigint").alias("pos"), "v")
-    # A position asked twice maps to one row; repeat it for each extra ask.
-    extra = [(ps[0], p) for ps in wanted.values() for p in ps[1:]]
-    for first, again in extra:
-        picked = picked.unionByName(picked.where(F.col("pos") == first).select(F.lit(again).cast("bigint").alias("pos"), "v"))
-    return picked, total
+    schema = f"pos bigint, v {vtype.simpleString()}"
+    out = spark.createDataFrame(sorted(known.items()), schema)
+    if wanted:
+        local = Window.partitionBy(_BUCKET).orderBy("v", _UID)
+        ranked = (
+            ranged.where(F.col(_BUCKET).isin(sorted({b for b, _ in wanted})))
+            .withColumn("_tl_rank", F.row_number().over(local))
+        )
+        cond, pos = None, None
+        for (bucket, rank), p in sorted(wanted.items()):
+            hit = (F.col(_BUCKET) == bucket) & (F.col("_tl_rank") == rank)
+            cond = hit if cond is None else cond | hit
+            pos = F.when(hit, F.lit(p)) if pos is None else pos.when(hit, F.lit(p))
+        out = out.unionByName(ranked.where(cond).select(pos.cast("bigint").alias("pos"), "v"))
+    return out, total
