@@ -110,3 +110,9 @@ def test_upsert_rerun_replaces_the_load(spark, scratch):
     tables.upsert(d, rows, 0)
     tables.upsert(d, rows, 0)
     assert tables.read_loads(spark, d).count() == 1
+
+
+def test_cluster_by_group_with_a_map_column(spark, scratch):
+    df = spark.createDataFrame([("s1", {"k": "v"}), ("s2", None)], "session_id string, extras map<string,string>")
+    path = sinks.export_all_sessions(df, scratch("maps"))
+    assert spark.read.parquet(path).count() == 2

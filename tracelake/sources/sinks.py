@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.plans.ordering import row_hash
 from tracelake.session import shuffle_partitions
 
 
@@ -30,7 +31,7 @@ def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFr
     hot = counts.where(F.col("_tl_rows") > share).select(
         "_tl_group", F.ceil(F.col("_tl_rows") / F.lit(share)).cast("int").alias("_tl_k")
     )
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    content = row_hash(df)
     salted = df.join(F.broadcast(hot), key.eqNullSafe(F.col("_tl_group")), "left").withColumn(
         "_tl_salt", F.when(F.col("_tl_k").isNull(), F.lit(0)).otherwise(F.pmod(content, F.col("_tl_k")))
     )
