@@ -116,20 +116,9 @@ QUANTILES = (0.25, 0.5, 0.75)
 def _exact_quantiles(df: DataFrame, name: str, value) -> DataFrame:
     """One row: count/mean/std/min/max and the linear-interpolated quartiles
     of ``value``.  The quartiles read the few order statistics they need
-    (``values_at_positions``); the other statistics are one aggregate."""
+    (``values_at_positions``); everything else is one aggregate, taken over
+    the values plus those few tagged rows (a union, so no join is needed)."""
     vals = df.select(value.alias("v")).where(F.col("v").isNotNull())
-    integral = isinstance(vals.schema["v"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    # Integral values are averaged exactly (a double sum drifts on large values).
-    mean = (
-        F.sum(F.col("v").cast("decimal(38,0)")).cast("double") / F.count("v") if integral else F.avg("v")
-    )
-    stats = vals.agg(
-        F.count("v").alias("count"),
-        mean.alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
 
     def plan(n: int) -> dict:
         targets = {}
@@ -144,20 +133,28 @@ def _exact_quantiles(df: DataFrame, name: str, value) -> DataFrame:
         df, value, lambda total: sorted({p for t in plan(total).values() for p in t[:2]}), tiebreak=row_hash(df)
     )
     targets = plan(n)
-    wanted = sorted({p for t in targets.values() for p in t[:2]})
+    wanted = sorted({p for t in targets.values() for p in t[:2]}) if n else []
+    rows = vals.select("v", F.lit(None).cast("bigint").alias("pos")).unionByName(picked.select("v", "pos"))
+    data = F.when(F.col("pos").isNull(), F.col("v"))
+    integral = isinstance(vals.schema["v"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    # Integral values are averaged exactly (a double sum drifts on large values).
+    mean = F.sum(data.cast("decimal(38,0)")).cast("double") / F.count(data) if integral else F.avg(data)
+    stats = rows.agg(
+        F.count(data).alias("count"),
+        mean.alias("mean"),
+        F.stddev_samp(data).alias("std"),
+        F.min(data).alias("min"),
+        F.max(data).alias("max"),
+        *[F.max(F.when(F.col("pos") == p, F.col("v"))).alias(f"_p{p}") for p in wanted],
+    )
     cols = []
-    if n:
-        row = picked.agg(*[F.max(F.when(F.col("pos") == p, F.col("v"))).alias(f"_p{p}") for p in wanted])
-        joined = stats.withColumn("_tl_k", F.lit(1)).join(row.withColumn("_tl_k", F.lit(1)), "_tl_k")
-    else:
-        joined = stats
     for q, (lo, hi, frac) in targets.items():
         name_q = {0.25: "p25", 0.5: "p50", 0.75: "p75"}[q]
         if not n:
             cols.append(F.lit(None).cast("double").alias(name_q))
         else:
             cols.append((F.col(f"_p{lo}") + (F.col(f"_p{hi}") - F.col(f"_p{lo}")) * F.lit(frac)).alias(name_q))
-    return joined.select(F.lit(name).alias("column"), "count", "mean", "std", "min", *cols, "max")
+    return stats.select(F.lit(name).alias("column"), "count", "mean", "std", "min", *cols, "max")
 
 
 def describe_approx(df: DataFrame, numeric: Sequence[str], accuracy: int = 10000) -> DataFrame:
