@@ -36,7 +36,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SF).toPandas()
+    df = entry.queries()[name](spark, SF)
+    sdf = df.toPandas()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     odf = con.execute(entry.oracle_sql()[name]).df()
     scols, srows = _rows(sdf)
     ocols, orows = _rows(odf)
