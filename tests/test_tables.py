@@ -82,7 +82,7 @@ def test_inventory_routes_by_prefix(spark, scratch):
     root = scratch("bucket")
     spark.range(1).write.parquet(f"{root}/conversations/parts.parquet")
     spark.range(1).write.parquet(f"{root}/sessions/s1_parts.parquet")
-    spark.range(1).write.parquet(f"{root}/opencode-logs.parquet")
+    spark.range(1).write.parquet(f"{root}/agent-logs.parquet")
     kinds = {r["kind"] for r in list_parquet(spark, root).collect()}
     assert kinds == {"conversations", "sessions", "logs"}
     assert list_parquet(spark, "/root/testdata/sf0.001").count() == 14
