@@ -155,3 +155,13 @@ def test_describe_one_row_and_empty(spark):
     assert one["std"] is None
     empty = ov.describe(spark.createDataFrame([], "x int")).first()
     assert empty["count"] == 0 and empty["p50"] is None
+
+
+def test_describe_logs_falls_back_to_time(spark):
+    import datetime as dt
+
+    logs = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, h), "info") for h in range(5)], "timestamp timestamp_ntz, level string")
+    r = ov.describe(logs).first()
+    assert r["column"] == "timestamp" and r["count"] == 5
+    assert r["p50"] == dt.datetime(2024, 1, 1, 2) and r["mean"] == dt.datetime(2024, 1, 1, 2)

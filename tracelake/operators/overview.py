@@ -187,10 +187,16 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     positions, so no aggregation buffer ever holds a whole column.  One
     scalar action counts the non-NULL values per column first.  With
     ``exact=False`` the quartiles come from a quantile sketch in one pass.
+    Without numeric columns the time columns are described
+    (``describe_time``), and without those the text columns
+    (``describe_text``).
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numeric = [f.name for f in fields if isinstance(f.dataType, _NUMERIC)]
     if not numeric:
+        # As pandas: time columns when there is no number, else text statistics.
+        if any(isinstance(f.dataType, _TIME) for f in fields):
+            return describe_time(df, [f.name for f in fields])
         return describe_text(df, [f.name for f in fields])
     if not exact:
         return describe_approx(df, numeric)
