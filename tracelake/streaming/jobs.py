@@ -27,7 +27,14 @@ def run(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
     return query
 
 
-def stream_logs(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str) -> StreamingQuery:
+# Fixed value: files per micro-batch.  ``availableNow`` still drains all that is
+# there, but a large backfill is cut into bounded batches.
+MAX_FILES_PER_BATCH = 1000
+
+
+def stream_logs(
+    spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH
+) -> StreamingQuery:
     """New log text files only -> parsed ``logs`` rows -> Parquet.
 
     The timestamp is parsed leniently here: a bad line must not stop the
@@ -35,6 +42,7 @@ def stream_logs(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str)
     """
     lines = (
         spark.readStream.option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files)
         .text(in_dir)
         .select("value", F.col("_metadata.file_path").alias("filename"))
     )
@@ -66,11 +74,18 @@ def stream_dedup(parts: DataFrame, key: str = "part_id", ts: str = "dt", delay:
     return timed.dropDuplicatesWithinWatermark([key]).drop("_tl_ts")
 
 
-def stream_changelog(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str) -> StreamingQuery:
+def stream_changelog(
+    spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH
+) -> StreamingQuery:
     """T4: append every exported version of ``parts`` to a change log, with
     the load it came from (``load=<n>`` in the file path) and its time.
     Readers take the newest version per part (``plans.tables.latest``)."""
-    src = spark.readStream.schema(PARTS).option("recursiveFileLookup", "true").parquet(in_dir)
+    src = (
+        spark.readStream.schema(PARTS)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(in_dir)
+    )
     load = F.regexp_extract(F.col("_metadata.file_path"), r"load=(\d+)", 1).cast("int")
     out = src.withColumn("load_id", load).withColumn("dt", epoch_ms("time_created"))
     return (
