@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import fixtures as fx
-from tracelake.functions.scalars import lenient_double
+from tracelake.functions.scalars import epoch_ms, lenient_double
 from tracelake.operators import counts, files, tools
 from tracelake.operators import overview as ov
 from tracelake.operators import parts as parts_ops
 from tracelake.operators import sessions as sess
 from tracelake.operators import timeline as tl
-from tracelake.functions.scalars import epoch_ms
 from tracelake.plans import sqlapi, tables
 from tracelake.plans.ordering import with_position
 from tracelake.schemas import PARTS
