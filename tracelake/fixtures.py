@@ -30,10 +30,13 @@ def _s(c) -> F.Column:
 # ---------------------------------------------------------------- logs
 
 
-def fx_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``logs`` rows (text-typed, as the log exporter stores them)."""
+def fx_logs(spark: SparkSession, sf_dir: str, with_filename: bool = False) -> DataFrame:
+    """``logs`` rows (text-typed, as the log exporter stores them), with the
+    source file in ``filename`` when asked (reading the file metadata column
+    costs a little in every scan, so it is opt-in)."""
     e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
+    filename = F.col("_metadata.file_path") if with_filename else F.lit(None).cast("string")
     return e.select(
         F.when(eid % 101 == 0, F.lit("bad")).otherwise(_s(F.col("ts"))).alias("timestamp"),
         F.nullif(F.col("event_type"), F.lit("view")).alias("level"),
@@ -47,7 +50,7 @@ def fx_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(eid % 29 == 0, F.lit(None).cast("string"))
         .otherwise(_s(F.col("value")))
         .alias("cost"),
-        F.col("_metadata.file_path").alias("filename"),
+        filename.alias("filename"),
     )
 
 

@@ -64,7 +64,7 @@ def q_cumulative_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_load_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return ov.load_metrics(fx.fx_logs(spark, sf))
+    return ov.load_metrics(fx.fx_logs(spark, sf, with_filename=True))
 
 
 def _round6(df: DataFrame, cols) -> DataFrame:
