@@ -93,3 +93,20 @@ def test_logs_by_session_keeps_both_sides(spark):
     out = {r["session_id"]: r for r in sessions.logs_by_session(logs, _sessions(spark, ["s1", "s2"]), _parts(spark, P)).collect()}
     assert out["s1"]["log_events"] == 2 and out["s1"]["nb_parts"] == 4
     assert out["s2"]["log_events"] is None and out["sX"]["title"] is None
+
+
+def test_filters_reach_the_parquet_scan(spark, scratch):
+    from tracelake.sources.tables import read_parts
+
+    path = scratch("pushdown")
+    _parts(spark, P).write.parquet(path)
+    parts = read_parts(spark, path, merge=False)
+    calls = tools.tool_calls(parts, tools=["bash", "edit"])
+    plan = calls._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(part_type), EqualTo(part_type,tool)" in plan
+    assert "In(tool, [bash,edit])" in plan
+    scan = [line for line in plan.splitlines() if "ReadSchema" in line][0]
+    assert "text" not in scan.split("ReadSchema")[1]  # columns the result does not need are not read
+    one = timeline.timeline(parts, "s1")
+    assert "EqualTo(session_id,s1)" in one._jdf.queryExecution().executedPlan().toString()
+    assert [r["part_id"] for r in one.collect()] == ["p1", "p2", "p3", "p4"]
