@@ -165,3 +165,11 @@ def test_describe_logs_falls_back_to_time(spark):
     r = ov.describe(logs).first()
     assert r["column"] == "timestamp" and r["count"] == 5
     assert r["p50"] == dt.datetime(2024, 1, 1, 2) and r["mean"] == dt.datetime(2024, 1, 1, 2)
+
+
+def test_describe_ignores_nan_like_pandas(spark):
+    pdf = pd.DataFrame({"x": [1.0, float("nan"), 3.0, 4.0]})
+    r = ov.describe(spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (4.0,)], "x double")).first()
+    ref = pdf.describe()["x"]
+    assert r["count"] == ref["count"] and r["mean"] == pytest.approx(ref["mean"])
+    assert r["p50"] == pytest.approx(ref["50%"]) and r["max"] == ref["max"]

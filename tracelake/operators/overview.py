@@ -200,8 +200,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
         return describe_text(df, [f.name for f in fields])
     if not exact:
         return describe_approx(df, numeric)
+    def present(c: str):
+        """NaN counts as missing, as in pandas."""
+        col = F.col(f"`{c}`")
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            return F.when(~F.isnan(col), col)
+        return col
+
     parts = [
-        _exact_quantiles(df, c, F.col(f"`{c}`")).select(
+        _exact_quantiles(df, c, present(c)).select(
             "column", "count", *[F.col(x).cast("double").alias(x) for x in ("mean", "std", "min", "p25", "p50", "p75", "max")]
         )
         for c in numeric
