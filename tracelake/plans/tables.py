@@ -12,7 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,18 +36,27 @@ def create_table_once(
     fmt: str = "parquet",
     location: str | None = None,
 ) -> int:
-    """``CREATE DATABASE IF NOT EXISTS`` then ``CREATE TABLE IF
-    NOT EXISTS .. AS SELECT``; a second run is a no-op.  Returns the row
-    count of the table (one aggregate job)."""
+    """Create the namespace if absent, then create the table from
+    ``df`` only if it does not exist yet; a second run is a no-op.  Returns
+    the table's row count.
+
+    When this call writes the table, the count comes from ``observe()``
+    metrics collected by the write job itself (no second scan).  When the
+    table already exists (or another writer created it first), nothing is
+    written and the existing table is counted.
+    """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
-    view = f"_tl_src_{db}_{name}"
-    df.createOrReplaceTempView(view)
-    try:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} AS SELECT * FROM `{view}`")
-    finally:
-        spark.catalog.dropTempView(view)
-    return spark.table(f"`{db}`.`{name}`").count()
+    full = f"`{db}`.`{name}`"
+    if not spark.catalog.tableExists(full):
+        obs = Observation(f"tl_ctas_{uuid.uuid4().hex}")
+        try:
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").saveAsTable(full)
+            return int(obs.get["rows"])
+        except AnalysisException:
+            if not spark.catalog.tableExists(full):
+                raise
+    return spark.table(full).count()
 
 
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
