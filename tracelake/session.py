@@ -15,31 +15,44 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+# Settings of the session itself (fixed when the context starts).
+STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    # Lineage cuts (running totals, order statistics) write checkpoint files;
+    # remove them once their data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
+}
+
+# SQL settings the library prefers; ``configure`` applies them where unset.
+SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A JSON object with a repeated key keeps its last value (as Python's json does).
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Lineage cuts (running totals, order statistics) write checkpoint files;
-    # remove them once their data is no longer referenced.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    "spark.checkpoint.compress": "true",
     # Streaming state (dedup keys, open windows) in RocksDB, off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+DEFAULT_CONF = {**STATIC_CONF, **SQL_CONF}
+
 
 def get_spark(master: str | None = None, app: str = "tracelake", **conf: str) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
+    """A new session with the library's defaults, for local runs, tests and
+    the bench.  ``master`` is set only when given.  Under ``spark-submit``
+    use ``configure(SparkSession.builder.getOrCreate())`` instead, which
+    keeps whatever the launcher set."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
-    settings.setdefault("spark.sql.shuffle.partitions", cpus)
-    settings.setdefault("spark.driver.memory", "8g")
+    if master and master.startswith("local"):
+        settings.setdefault("spark.sql.shuffle.partitions", os.environ.get("BENCH_CPUS", "8"))
+        settings.setdefault("spark.driver.memory", "8g")
     settings.update(conf)
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -48,6 +61,15 @@ def get_spark(master: str | None = None, app: str = "tracelake", **conf: str) ->
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the library's SQL settings to an existing session, each only
+    where the session has no explicit value for it."""
+    for k, v in SQL_CONF.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
