@@ -233,7 +233,6 @@ def _views(spark: SparkSession, sf: str) -> None:
             "parts": _parts(spark, sf),
             "sessions": fx.fx_sessions(spark, sf),
             "logs": fx.fx_logs(spark, sf),
-            "lineitem": fx.table(spark, sf, "lineitem"),
         },
     )
 
