@@ -182,6 +182,10 @@ WHERE part_type = 'tool' AND tool IN ('bash', 'edit')
     "q_files_touched": _with(FX_SOURCE) + "SELECT session_id, title, part_id, time_created, file FROM files",
     "q_files_per_title": _with(FX_SOURCE)
     + "SELECT title, count(*) AS count FROM files WHERE title IS NOT NULL GROUP BY 1",
+    "q_files_per_session": _with(FX_SOURCE)
+    + "SELECT session_id, count(*) AS count FROM files WHERE session_id IS NOT NULL GROUP BY 1",
+    "q_tool_call_count": _with(FX_SOURCE)
+    + "SELECT count(*) AS calls FROM parts WHERE part_type = 'tool' AND tool IN ('bash', 'read')",
     "q_hot_files": _with(FX_SOURCE)
     + "SELECT file, count(*) AS touches, count(DISTINCT session_id) AS sessions FROM files GROUP BY 1",
     "q_part_type_counts": _with(FX_SOURCE)

@@ -140,6 +140,14 @@ def q_files_per_title(spark: SparkSession, sf: str) -> DataFrame:
     return files.files_per_title(files.files_touched(_parts(spark, sf)))
 
 
+def q_files_per_session(spark: SparkSession, sf: str) -> DataFrame:
+    return files.files_per_session(files.files_touched(_parts(spark, sf)))
+
+
+def q_tool_call_count(spark: SparkSession, sf: str) -> DataFrame:
+    return tools.tool_call_count(_parts(spark, sf), tools=["bash", "read"])
+
+
 def q_hot_files(spark: SparkSession, sf: str) -> DataFrame:
     return files.hot_files(files.files_touched(_parts(spark, sf)))
 
