@@ -116,3 +116,12 @@ def test_cluster_by_group_with_a_map_column(spark, scratch):
     df = spark.createDataFrame([("s1", {"k": "v"}), ("s2", None)], "session_id string, extras map<string,string>")
     path = sinks.export_all_sessions(df, scratch("maps"))
     assert spark.read.parquet(path).count() == 2
+
+
+def test_as_of_ties_on_time_go_to_the_later_load(spark, scratch):
+    d = scratch("ties")
+    schema = "part_id string, time_updated bigint, text string"
+    tables.upsert(d, spark.createDataFrame([("a", 5, "first")], schema), 0)
+    tables.upsert(d, spark.createDataFrame([("a", 5, "second")], schema), 1)
+    assert tables.as_of(spark, d).first()["text"] == "second"
+    assert tables.as_of(spark, d, 0).first()["text"] == "first"
