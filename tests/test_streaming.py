@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tracelake.plans.tables import latest
 from tracelake.streaming import jobs
