@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-
 from tracelake.plans.tables import latest
 from tracelake.streaming import jobs
 
