@@ -125,3 +125,17 @@ def test_as_of_ties_on_time_go_to_the_later_load(spark, scratch):
     tables.upsert(d, spark.createDataFrame([("a", 5, "second")], schema), 1)
     assert tables.as_of(spark, d).first()["text"] == "second"
     assert tables.as_of(spark, d, 0).first()["text"] == "first"
+
+
+def test_as_of_time(spark, scratch):
+    import time
+
+    d = scratch("by-time")
+    schema = "part_id string, time_updated bigint, text string"
+    tables.upsert(d, spark.createDataFrame([("a", 1, "v1")], schema), 0)
+    cut = tables.load_history(spark, d).first()["committed_at"]
+    time.sleep(1.1)
+    tables.upsert(d, spark.createDataFrame([("a", 2, "v2"), ("b", 2, "b")], schema), 1)
+    then = {r["part_id"]: r["text"] for r in tables.as_of_time(spark, d, cut).collect()}
+    assert then == {"a": "v1"}
+    assert {r["part_id"] for r in tables.as_of_time(spark, d, "2999-01-01").collect()} == {"a", "b"}

@@ -138,6 +138,20 @@ def as_of(
     return current.drop("loaded_at", LOAD)
 
 
+def as_of_time(
+    spark: SparkSession,
+    table_dir: str,
+    when,
+    key: str = "part_id",
+    order: Sequence[str] = ("time_updated",),
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """X3 by time: the table as it was at ``when`` (loads committed at or
+    before it), the newest version of each key."""
+    rows = read_loads(spark, table_dir, schema).where(F.col("loaded_at") <= F.lit(when).cast("timestamp_ntz"))
+    return latest(rows, key, [*order, LOAD]).drop("loaded_at", LOAD)
+
+
 def load_history(spark: SparkSession, table_dir: str, key: str = "part_id") -> DataFrame:
     """One row per load: commit time, operation, rows, inserts (keys
     seen for the first time in that load) and updates (all other rows).
