@@ -139,3 +139,16 @@ def test_as_of_time(spark, scratch):
     then = {r["part_id"]: r["text"] for r in tables.as_of_time(spark, d, cut).collect()}
     assert then == {"a": "v1"}
     assert {r["part_id"] for r in tables.as_of_time(spark, d, "2999-01-01").collect()} == {"a", "b"}
+
+
+def test_bucketed_table_aggregates_without_a_shuffle(spark, scratch):
+    from tracelake.operators.sessions import session_metrics
+
+    rows = [(f"p{i}", f"s{i % 7}", f"m{i % 13}", None, 0.5, 3) for i in range(200)]
+    parts = spark.createDataFrame(rows, "part_id string, session_id string, message_id string, tool string, "
+                                        "cost double, tokens_total bigint")
+    tables.create_table_once(spark, "tl_bucketed", "parts", parts, location=scratch("bwh"), bucket_by=("session_id", 4))
+    stored = spark.table("tl_bucketed.parts")
+    counts = stored.groupBy("session_id").count()
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert session_metrics(stored).count() == 7

@@ -66,8 +66,14 @@ def create_tables(args) -> dict:
     from tracelake.sources.tables import read_parts, read_sessions
 
     spark = _spark()
+    bucket = None
+    if args.bucket_by:
+        column, _, n = args.bucket_by.partition(":")
+        bucket = (column, int(n or 64))
     counts = {
-        "parts": create_table_once(spark, args.db, "parts", read_parts(spark, args.parts), args.format, args.location),
+        "parts": create_table_once(
+            spark, args.db, "parts", read_parts(spark, args.parts), args.format, args.location, bucket
+        ),
         "sessions": create_table_once(spark, args.db, "sessions", read_sessions(spark, args.sessions), args.format),
     }
     tables = [r["table"] for r in list_tables(spark, args.db).collect()]
@@ -124,6 +130,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--sessions", required=True)
     p.add_argument("--format", default="parquet")
     p.add_argument("--location")
+    p.add_argument("--bucket-by", help="store parts in buckets, e.g. session_id:64")
     p.set_defaults(func=create_tables)
 
     p = sub.add_parser("load")

@@ -35,11 +35,16 @@ def create_table_once(
     df: DataFrame,
     fmt: str = "parquet",
     location: str | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> int:
     """Create the namespace if absent, then create the table from
     ``df`` only if it does not exist yet; a second run is a no-op.  Returns
     the table's row count.
 
+    ``bucket_by=(column, n)`` stores the table in ``n`` buckets on
+    ``column`` (e.g. parts on ``session_id``): later aggregations and joins
+    on that column read co-located buckets and skip the shuffle.
+
     When this call writes the table, the count comes from ``observe()``
     metrics collected by the write job itself (no second scan).  When the
     table already exists (or another writer created it first), nothing is
@@ -51,7 +56,11 @@ def create_table_once(
     if not spark.catalog.tableExists(full):
         obs = Observation(f"tl_ctas_{uuid.uuid4().hex}")
         try:
-            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").saveAsTable(full)
+            writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists")
+            if bucket_by:
+                column, n = bucket_by
+                writer = writer.bucketBy(int(n), column).sortBy(column)
+            writer.saveAsTable(full)
             return int(obs.get["rows"])
         except AnalysisException:
             if not spark.catalog.tableExists(full):
