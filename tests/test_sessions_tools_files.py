@@ -110,3 +110,10 @@ def test_filters_reach_the_parquet_scan(spark, scratch):
     one = timeline.timeline(parts, "s1")
     assert "EqualTo(session_id,s1)" in one._jdf.queryExecution().executedPlan().toString()
     assert [r["part_id"] for r in one.collect()] == ["p1", "p2", "p3", "p4"]
+
+
+def test_hot_files_approx_option(spark):
+    parts = _parts(spark, P)
+    exact = {r["file"]: r["sessions"] for r in files.hot_files(files.files_touched(parts)).collect()}
+    approx = {r["file"]: r["sessions"] for r in files.hot_files(files.files_touched(parts), approx_distinct=True).collect()}
+    assert exact == approx

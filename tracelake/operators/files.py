@@ -45,12 +45,14 @@ def files_per_session(files: DataFrame) -> DataFrame:
     )
 
 
-def hot_files(files: DataFrame, k: int | None = None) -> DataFrame:
-    """Most-touched files: touches and distinct sessions per file."""
+def hot_files(files: DataFrame, k: int | None = None, approx_distinct: bool = False) -> DataFrame:
+    """Most-touched files: touches and distinct sessions per file
+    (HyperLogLog with ``approx_distinct`` for very large inputs)."""
+    distinct = F.approx_count_distinct("session_id") if approx_distinct else F.count_distinct("session_id")
     out = (
         files.where(F.col("file").isNotNull())
         .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("touches"), F.count_distinct("session_id").alias("sessions"))
+        .agg(F.count(F.lit(1)).alias("touches"), distinct.alias("sessions"))
         .orderBy(F.desc("touches"), "file")
     )
     return out.limit(k) if k else out
