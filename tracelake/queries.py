@@ -37,33 +37,40 @@ def _valid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per hour of the valid logs."""
     return ov.hourly_activity(_valid(spark, sf))
 
 
 def q_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per level, NULL under a label."""
     return ov.level_counts(_valid(spark, sf))
 
 
 def q_lenient_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """lenient text-to-number parsing of the cost field."""
     logs = fx.fx_logs(spark, sf)
     return logs.select(F.col("cost").alias("cost_text"), lenient_double("cost").alias("cost_value"))
 
 
 def q_tokens_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Token sums per session, melted to long form."""
     return ov.tokens_long(ov.tokens_per_session(_valid(spark, sf)))
 
 
 def q_top_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten busiest sessions."""
     return ov.top_sessions(_valid(spark, sf), k=10)
 
 
 def q_cumulative_cost(spark: SparkSession, sf: str) -> DataFrame:
+    """Running cost over time, distributed."""
     out = ov.cumulative_cost(_valid(spark, sf))
     return out.select("timestamp", F.col("cost").cast("double").alias("cost"),
                       F.col("cumulative").cast("double").alias("cumulative"))
 
 
 def q_load_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, columns and files of a loaded log table."""
     return ov.load_metrics(fx.fx_logs(spark, sf, with_filename=True))
 
 
@@ -72,16 +79,19 @@ def _round6(df: DataFrame, cols) -> DataFrame:
 
 
 def q_describe(spark: SparkSession, sf: str) -> DataFrame:
+    """Column statistics with exact quartiles (numeric columns)."""
     events = fx.table(spark, sf, "events")
     out = ov.describe(events, ["event_id", "user_id", "value"])
     return _round6(out, {"mean", "std", "min", "p25", "p50", "p75", "max"})
 
 
 def q_describe_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Column statistics of a time column."""
     return ov.describe_time(fx.table(spark, sf, "events"), ["ts"])
 
 
 def q_describe_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Count, unique, top and frequency of text columns."""
     return ov.describe_text(fx.table(spark, sf, "events"), ["event_type", "props"])
 
 
@@ -93,19 +103,23 @@ def _parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_parts_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Part -> message -> session inner joins."""
     joined = parts_ops.join_source(*fx.fx_source(spark, sf))
     return joined.select(F.col("id").alias("part_id"), "message_id", "session_id", "title")
 
 
 def q_parts_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed parts table."""
     return _parts(spark, sf)
 
 
 def q_sessions_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixed session projection."""
     return parts_ops.sessions_table(fx.fx_sessions(spark, sf))
 
 
 def q_session_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-session metrics left-joined to sessions (flagship)."""
     out = sess.session_summary(fx.fx_sessions(spark, sf), _parts(spark, sf))
     return out.select(
         "id", "title", "dt", "summary_additions", "summary_deletions", "nb_parts", "nb_tools", "nb_messages",
@@ -114,58 +128,71 @@ def q_session_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_session_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions newest first, with labels and positions."""
     listed = sess.session_list(fx.fx_sessions(spark, sf))
     return with_position(listed, [F.desc("time_created"), F.col("id")], "pos").select("id", "label", "dt", "pos")
 
 
 def q_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The first parts of every session as display rows."""
     return tl.timelines(_parts(spark, sf), n=tl.DEFAULT_N)
 
 
 def q_tool_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct tool names."""
     return tools.tool_names(_parts(spark, sf))
 
 
 def q_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    """Tool calls filtered by tool list and a session id frame."""
     parts = _parts(spark, sf)
     with_patches = parts.where(F.col("part_type") == "patch").select("session_id")
     return tools.tool_calls(parts, tools=["bash", "edit"], sessions=with_patches)
 
 
 def q_files_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per modified file."""
     return files.files_touched(_parts(spark, sf))
 
 
 def q_files_per_title(spark: SparkSession, sf: str) -> DataFrame:
+    """Modified files per session title."""
     return files.files_per_title(files.files_touched(_parts(spark, sf)))
 
 
 def q_files_per_session(spark: SparkSession, sf: str) -> DataFrame:
+    """Modified files per session id."""
     return files.files_per_session(files.files_touched(_parts(spark, sf)))
 
 
 def q_tool_call_count(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: the number of calls shown for a tool filter."""
     return tools.tool_call_count(_parts(spark, sf), tools=["bash", "read"])
 
 
 def q_hot_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Most-touched files."""
     return files.hot_files(files.files_touched(_parts(spark, sf)))
 
 
 def q_part_type_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts per (session, type), top 50."""
     return counts.part_type_counts(_parts(spark, sf), k=50)
 
 
 def q_part_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts per type."""
     return counts.part_types(_parts(spark, sf))
 
 
 def q_cost_per_message(spark: SparkSession, sf: str) -> DataFrame:
+    """Cost and tokens per message."""
     out = sess.cost_per_message(_parts(spark, sf))
     return out.withColumn("cost", F.col("cost").cast("double"))
 
 
 def q_logs_x_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Log events related to conversations."""
     return sess.logs_by_session(fx.fx_logs(spark, sf), fx.fx_sessions(spark, sf), _parts(spark, sf))
 
 
@@ -173,6 +200,7 @@ def q_logs_x_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_log_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Text log lines written, read back and parsed strictly."""
     src = scratch_path(spark, "log-lines")
     fx.fx_log_lines(spark, sf).write.text(src)
     logs = log_src.read_text_logs(spark, src, strict=True)
@@ -184,6 +212,7 @@ def q_log_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Two Parquet files with different columns, unioned by name."""
     root = scratch_path(spark, "union")
     ev = fx.table(spark, sf, "events")
     sid = F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session.id")
@@ -199,15 +228,18 @@ def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the Parquet file catalogue of a folder."""
     return tbl_src.list_parquet(spark, sf).select("key", "length", "kind")
 
 
 def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts written and read back."""
     path = sinks.write_table(_parts(spark, sf), scratch_path(spark, "parts"))
     return tbl_src.read_parts(spark, path, merge=False)  # written here with one schema
 
 
 def q_source_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversation store written and read back as Parquet tables."""
     root = scratch_path(spark, "source")
     part, message, session = fx.fx_source(spark, sf)
     for name, df in (("part", part), ("message", message), ("session", session)):
@@ -216,11 +248,13 @@ def q_source_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_session_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Every session's parts in its own directory, read back."""
     path = sinks.export_all_sessions(_parts(spark, sf), scratch_path(spark, "by-session"))
     return tbl_src.read_parts(spark, path, merge=False)  # written here with one schema
 
 
 def q_ctas_idempotent(spark: SparkSession, sf: str) -> DataFrame:
+    """Create-once table, second run a no-op."""
     db = "tl_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
     loc = scratch_path(spark, "warehouse")
     parts = _parts(spark, sf)
@@ -246,6 +280,7 @@ def _views(spark: SparkSession, sf: str) -> None:
 
 
 def q_sql_explorer(spark: SparkSession, sf: str) -> DataFrame:
+    """Free SQL over the registered views."""
     _views(spark, sf)
     return sqlapi.sql_frame(
         spark, "SELECT part_type, count(*) AS n FROM parts GROUP BY part_type ORDER BY n DESC, part_type ;  "
@@ -253,6 +288,7 @@ def q_sql_explorer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sql_result_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """Free SQL over a stored table, capped rows."""
     # Q2: free SQL over a persisted (create-once) table, capped at MAX_ROWS.
     db = "tl_" + scratch_path(spark, "sqldb").rsplit("-", 1)[-1]
     tables.create_table_once(spark, db, "lineitem", fx.table(spark, sf, "lineitem"),
@@ -265,6 +301,7 @@ def q_sql_result_cap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_json_safe(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON-safe conversion of typed columns."""
     ev = fx.table(spark, sf, "events").select(
         "event_id",
         F.col("ts"),
@@ -292,6 +329,7 @@ def _load_frames(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def q_dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest version of each part."""
     loads = _load_frames(spark, sf)
     rows = loads[0].unionByName(loads[1]).unionByName(loads[2])
     return tables.latest(rows, "part_id", ["time_updated"])
@@ -305,24 +343,29 @@ def _upserted(spark: SparkSession, sf: str) -> str:
 
 
 def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads upserted, current state."""
     return tables.as_of(spark, _upserted(spark, sf), None)
 
 
 def q_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as of load 1."""
     return tables.as_of(spark, _upserted(spark, sf), 1)
 
 
 def q_load_history(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per load."""
     return tables.load_history(spark, _upserted(spark, sf)).drop("committed_at")
 
 
 def q_partition_prune(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts partitioned by month, per-month counts."""
     path = tables.write_partitioned(_parts(spark, sf), scratch_path(spark, "by-month"), by="month")
     back = spark.read.parquet(path)
     return back.groupBy("month").agg(F.count(F.lit(1)).alias("parts"), F.count_distinct("session_id").alias("sessions"))
 
 
 def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Old and new files read with today's schema."""
     root = scratch_path(spark, "evolved")
     parts = _parts(spark, sf)
     even = fx.turn_of("part_id") % 2 == 0
@@ -338,6 +381,7 @@ def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Incremental text-log ingest (second run adds nothing)."""
     root = scratch_path(spark, "stream-logs")
     lines = fx.fx_log_lines(spark, sf)
     lines.write.text(f"{root}/in")
@@ -353,6 +397,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Watermarked hourly counts on a stream."""
     root = scratch_path(spark, "stream-hourly")
     ev = fx.table(spark, sf, "events").select(F.col("ts").alias("timestamp"), "event_type")
     ev.write.parquet(f"{root}/in")
@@ -362,6 +407,7 @@ def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated exports de-duplicated on a stream."""
     root = scratch_path(spark, "stream-dedup")
     loads = _load_frames(spark, sf)
     for n, frame in enumerate(loads):
@@ -374,6 +420,7 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """T4: change log of exported versions, newest per part."""
     root = scratch_path(spark, "stream-upsert")
     for n, frame in enumerate(_load_frames(spark, sf)):
         frame.write.parquet(f"{root}/in/load={n}")
