@@ -44,3 +44,18 @@ def test_jobs_end_to_end(spark, scratch, capsys):
     assert code == 0
     code, out = _run(capsys, ["history", "--table", f"{root}/versions"])
     assert code == 0 and out["loads"][0]["rows"] == n_parts and out["loads"][0]["operation"] == "append"
+
+
+def test_export_one_session(spark, scratch, capsys):
+    root = scratch("cli-one")
+    part, message, session = fx.fx_source(spark, "/root/testdata/sf0.001")
+    for name, df in (("part", part), ("message", message), ("session", session)):
+        sinks.write_table(df, f"{root}/src/{name}")
+    code, out = _run(capsys, ["export-conversations", "--source", f"{root}/src", "--output", f"{root}/lake",
+                              "--session", "s1"])
+    assert code == 0
+    written = spark.read.parquet(out["written"][0])
+    assert written.count() > 0 and {r["session_id"] for r in written.select("session_id").distinct().collect()} == {"s1"}
+    code, out = _run(capsys, ["export-conversations", "--source", f"{root}/src", "--output", f"{root}/lake",
+                              "--session", "no-such-session"])
+    assert code == 1 and "no rows" in out["error"]
