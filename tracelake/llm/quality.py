@@ -3,8 +3,8 @@ marks each line of a document as content or boilerplate; the share of words in
 content lines decides whether the document stays.
 
 Training: a bounded sample of labelled documents (``sample`` per class, by a
-hash of the id).  A line's label is its document's quality label, and
-boilerplate where it repeats an earlier line.  The field has one weight per
+hash of the id).  A line's label is its document's quality label; repeating an
+earlier line is one of its properties.  The field has one weight per
 (binned line property, state), start and transition weights, fitted by
 gradient ascent on the regularised log-likelihood (forward-backward).
 
@@ -140,16 +140,10 @@ def line_features(line: str, seen: set[str]) -> list[int]:
     return [at + bins(v, edges) for at, v, (_, edges) in zip(OFFSETS, values, PROPERTIES, strict=True)]
 
 
-def lines_of(text: str) -> list[tuple[int, list[int], bool]]:
-    """For each line with a word: its words, features, whether it repeats."""
+def lines_of(text: str) -> list[tuple[int, list[int]]]:
+    """For each line with a word: the number of its words and its features."""
     seen: set[str] = set()
-    out = []
-    for line in text.split("\n"):
-        n = len(line.split())
-        if n:
-            repeats = line in seen
-            out.append((n, line_features(line, seen), repeats))
-    return out
+    return [(len(line.split()), line_features(line, seen)) for line in text.split("\n") if line.split()]
 
 
 class Field:
@@ -189,9 +183,9 @@ class Field:
     def content_share(self, text: str) -> float:
         """Share of the words that lie in content lines; 0 without words."""
         lines = lines_of(text)
-        states = self.viterbi([f for _, f, _ in lines])
-        total = sum(n for n, _, _ in lines)
-        return sum(n for (n, _, _), s in zip(lines, states, strict=True) if s) / total if total else 0.0
+        states = self.viterbi([f for _, f in lines])
+        total = sum(n for n, _ in lines)
+        return sum(n for (n, _), s in zip(lines, states, strict=True) if s) / total if total else 0.0
 
 
 def fit_field(sequences: list[tuple[list[list[int]], list[int]]], steps: int = 120, rate: float = 0.2, l2: float = 1e-3) -> Field:
@@ -262,8 +256,8 @@ def training_lines(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             out = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 flat = []
-                for _, features, repeats in lines_of(text)[:MAX_TRAIN_LINES]:
-                    flat += [*features, int(label == 1 and not repeats)]
+                for _, features in lines_of(text)[:MAX_TRAIN_LINES]:
+                    flat += [*features, label]
                 out.append(flat)
             yield rows_of([batch.column(2), out], ["doc_id", "flat"], [pa.int64(), pa.list_(pa.int32())])
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tracelake.llm import decontam, packing, quality, secrets, toxicity
+from tracelake.llm import decontam, neardup, packing, quality, secrets, toxicity
 from tracelake.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.digest(decontam.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
 
 
+def op8_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return neardup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents' pieces, packed shortest pack first."""
     return packing.pack(packing.pieces(table(spark, sf, "documents")))
@@ -49,6 +54,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op4_secrets": op4_secrets,
         "op7_decontamination": op7_decontamination,
+        "op8_neardup": op8_neardup,
         "op9_packing": op9_packing,
         "op10_quality": op10_quality,
         "pipeline": corpus_pipeline.run,

@@ -6,11 +6,12 @@ beginnings of 4, 5 and 6 letters, hashed.  For every identity term in a
 labelled document, copies are made with the term swapped for each other term
 of its group, and the loss adds ``swap_weight`` times the squared change of
 the score, so that a neutral mention of one group weighs what a mention of
-any other weighs.  An L1 term keeps the weights sparse: syllables and common
-words get none.
+any other weighs.  An L1 term keeps the weights sparse, and no weight is below
+zero: words are evidence of toxicity or none, so that a long text cannot talk
+an insult down.
 
-The classes are sampled evenly; the intercept is shifted back to their share
-in the sample's source, so scores are calibrated to it.
+Both classes weigh the same in the loss, however many documents the sample has
+of each: scores are probabilities at even odds.
 
 Scoring: sum of the weights of the distinct words, on the executors; only the
 non-zero weights (bounded by the sample) are shared.
@@ -117,7 +118,7 @@ class Model:
 
 
 def fit_rows(rows: list[tuple[list[int], list[int], int]], pairs: list[tuple[int, str, str]], toxic_share: float,
-             swap_weight: float = SWAP_WEIGHT, l1: float = 2e-4, steps: int = 150, rate: float = 0.3) -> Model:
+             swap_weight: float = SWAP_WEIGHT, l1: float = 5e-5, steps: int = 150, rate: float = 0.3) -> Model:
     """``rows``: (features, counts, label); ``pairs``: (row, term, other term).
     Proximal adaptive gradient steps over the whole sample."""
     import numpy as np
@@ -149,11 +150,12 @@ def fit_rows(rows: list[tuple[list[int], list[int], int]], pairs: list[tuple[int
                 swap_vals.append(sign)
     swap_at, swap_cols, swap_vals = np.array(swap_at, int), np.array(swap_cols, int), np.array(swap_vals)
     n, d = len(rows), len(names)
+    weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (n - labels.sum()))
     w, bias = np.zeros(d), 0.0
     power, bias_power = np.full(d, 1e-12), 1e-12
     for _ in range(steps):
         z = np.bincount(at, vals * w[cols], n) + bias
-        miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / n
+        miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * weight
         grad = np.bincount(cols, vals * miss[at], d)
         if len(pairs):
             change = np.bincount(swap_at, swap_vals * w[swap_cols], len(pairs))
@@ -161,14 +163,11 @@ def fit_rows(rows: list[tuple[list[int], list[int], int]], pairs: list[tuple[int
         power += grad**2
         step = rate / np.sqrt(power)
         w = w - step * grad
-        w = np.sign(w) * np.maximum(0, np.abs(w) - step * l1)
+        w = np.maximum(0, w - step * l1)
         bias_power += miss.sum() ** 2
         bias -= rate * miss.sum() / math.sqrt(bias_power)
-    share = min(1 - 1e-6, max(1e-6, toxic_share))
-    mean = labels.mean()
-    shift = math.log(share / (1 - share)) - math.log(mean / (1 - mean))
     used = np.flatnonzero(w)
-    return Model(dict(zip(names[used].tolist(), w[used].tolist(), strict=True)), bias + shift)
+    return Model(dict(zip(names[used].tolist(), w[used].tolist(), strict=True)), float(bias))
 
 
 def fit(docs: DataFrame, labels: DataFrame, use: Callable[[Column], Column] | None = None, sample: int = SAMPLE,
