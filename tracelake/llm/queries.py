@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tracelake.llm import decontam, neardup, packing, quality, secrets, toxicity
+from tracelake.llm import decontam, neardup, packing, quality, repeats, secrets, toxicity
 from tracelake.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf, "documents")))
 
 
+def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without repeated 200-byte strings."""
+    return repeats.digest(*repeats.remove_repeats(table(spark, sf, "documents")))
+
+
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     return decontam.digest(decontam.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
@@ -53,6 +58,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op4_secrets": op4_secrets,
+        "op6_repeats": op6_repeats,
         "op7_decontamination": op7_decontamination,
         "op8_neardup": op8_neardup,
         "op9_packing": op9_packing,
