@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tracelake.llm import decontam, neardup, packing, quality, repeats, secrets, toxicity
+from tracelake.llm import decontam, linededup, neardup, packing, quality, repeats, secrets, sharding, toxicity
 from tracelake.llm.common import table
 
 
@@ -20,11 +20,21 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out(found["doc_id"]).alias("held_out"), "score", "predicted")
 
 
+def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and slot of every document, by sampled splitters."""
+    return sharding.digest(sharding.shard(table(spark, sf, "documents")))
+
+
 def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Secret spans of every document, confirmed by structure."""
     return secrets.digest(secrets.scan(table(spark, sf, "documents")))
 
 
+def op5_linededup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of every document that an earlier line is alike."""
+    return linededup.dropped_lines(table(spark, sf, "documents"))
+
+
 def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without repeated 200-byte strings."""
     return repeats.digest(*repeats.remove_repeats(table(spark, sf, "documents")))
@@ -57,7 +67,9 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_sharding": op2_sharding,
         "op4_secrets": op4_secrets,
+        "op5_linededup": op5_linededup,
         "op6_repeats": op6_repeats,
         "op7_decontamination": op7_decontamination,
         "op8_neardup": op8_neardup,
