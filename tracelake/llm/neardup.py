@@ -242,6 +242,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One document of each class, with all its columns: the smallest id.  Rows
+    that share that id all stay; rows with a null id all stay."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
 def with_sketches(pairs: DataFrame, odd: DataFrame, a: str, b: str) -> DataFrame:
     """The pairs whose sketches are near, with ``x``, the bits that differ."""
     pairs = pairs.join(odd.select(F.col("rep").alias(a), F.col("odd").alias("_oa")), a)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tracelake.llm import decontam, linededup, neardup, packing, quality, repeats, secrets, sharding, toxicity
+from tracelake.llm import decontam, licenses, linededup, neardup, packing, quality, repeats, secrets, sharding, toxicity
 from tracelake.llm.common import table
 
 
@@ -25,6 +25,12 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.digest(sharding.shard(table(spark, sf, "documents")))
 
 
+def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence families named in every document, confirmed by template."""
+    docs = table(spark, sf, "documents")
+    return licenses.digest(licenses.scan(docs, licenses.fit(docs)))
+
+
 def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Secret spans of every document, confirmed by structure."""
     return secrets.digest(secrets.scan(table(spark, sf, "documents")))
@@ -68,6 +74,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_sharding": op2_sharding,
+        "op3_licenses": op3_licenses,
         "op4_secrets": op4_secrets,
         "op5_linededup": op5_linededup,
         "op6_repeats": op6_repeats,
