@@ -28,21 +28,28 @@ others; an empty table gives an empty result; other columns are ignored by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.common import cut, id_text
 
 MIN_WORDS = 8  # of both lines, for an edit to count
+BLOCK = 256  # words whose running hashes are built together
 _FIRST = -(1 << 63)
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id`` (null: smallest long), ``line`` (number), ``words`` of every
-    line with a word, from ``doc_id, text``."""
+def lines(docs: DataFrame, least: int) -> DataFrame:
+    """``doc_id`` (null: smallest long), ``line`` (number), ``m`` (words),
+    hashes and halves of every line with a word, from ``doc_id, text``; no text."""
     own = docs.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    words = F.array_remove(F.split(F.lower("t"), r"[ \t\x0b\f\r]+"), "")
-    return own.select("doc_id", "line", words.alias("words")).where(F.size("words") > 0)
+    own = own.select("doc_id", "line", _words("t").alias("words"))
+    size = F.size("words")
+    own = own.select("doc_id", "line", size.alias("m"), *_hashes(), *halves(size, F.col("words"), least))
+    return cut(own).where("m > 0")
+
+
+def _words(line: str) -> Column:
+    return F.array_remove(F.split(F.lower(line), r"[ \t\x0b\f\r]+"), "")
 
 
 def _pos() -> Column:
@@ -54,21 +61,32 @@ def _hashes() -> list[Column]:
     return [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]
 
 
+def _half(short: Column) -> Column:
+    """Words that count as the half of a line of ``short`` words: at most half
+    of them, and the same for most neighbouring lengths."""
+    return (F.floor(short / 4) * 2).cast("int")
+
+
 def halves(size: Column, words: Column, least: int) -> list[Column]:
     """Hashes of the halves that an edit may leave: of the line as the shorter
     (or equal) one of a pair, and as the longer one."""
     out = []
-    for name, short in (("own", size), ("long", size - 1)):
-        h = F.floor(short / 2).cast("int")
-        for side, part in (("p", F.slice(words, 1, h)), ("s", F.slice(words, size - h + 1, h))):
-            out.append(F.when(short >= least, F.xxhash64(F.lit(side), short, part)).alias(f"{name}_{side}"))
+    for side in ("p", "s"):
+
+        def part(h, side=side):
+            return F.xxhash64(F.slice(words, 1, h) if side == "p" else F.slice(words, size - h + 1, h))
+
+        own = part(_half(size))
+        longer = F.when(size % 4 == 0, part(_half(size - 1))).otherwise(own)
+        out.append(F.when(size >= least, F.xxhash64(F.lit(side), size, own)).alias(f"own_{side}"))
+        out.append(F.when(size - 1 >= least, F.xxhash64(F.lit(side), size - 1, longer)).alias(f"long_{side}"))
     return out
 
 
-def distinct_lines(own: DataFrame, least: int) -> DataFrame:
+def distinct_lines(own: DataFrame) -> DataFrame:
     """One row per distinct line: hashes, first position, count, halves."""
-    own = own.select(_pos(), *_hashes(), *halves(F.size("words"), F.col("words"), least))
     parts = [c for c in own.columns if c.endswith(("_p", "_s"))]
+    own = own.select(_pos(), "k1", "k2", *parts)
     return own.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.count("pos").alias("n"), *[F.min(c).alias(c) for c in parts])
 
 
@@ -86,27 +104,46 @@ def with_company(distinct: DataFrame) -> DataFrame:
     return found.groupBy("pos").agg(F.max("p").alias("p"), F.max(~F.col("p")).alias("s"))
 
 
+def _scan(xs: str | Column) -> Column:
+    """XORs of the elements before each place, and of all at the end."""
+    zero = F.array(F.lit(0).cast("long"))
+    return F.aggregate(xs, zero, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x))))
+
+
+def _with_running(own: DataFrame, name: str) -> DataFrame:
+    """Replaces an array of longs by its running XORs, in blocks so that the
+    copying stays in proportion to the length."""
+    count = F.floor((F.size(name) - 1) / BLOCK)
+    blocks = F.transform(F.sequence(F.lit(0), count.cast("int")), lambda b: _scan(F.slice(name, b * BLOCK + 1, BLOCK)))
+    own = own.withColumn(name, blocks)
+    own = own.withColumn("_starts", _scan(F.transform(name, lambda b: F.element_at(b, -1))))
+    whole = F.zip_with(
+        name, F.slice("_starts", 1, F.size(name)), lambda b, at: F.transform(F.slice(b, 1, F.size(b) - 1), lambda x: x.bitwiseXOR(at))
+    )
+    return own.withColumn(name, F.concat(F.flatten(whole), F.array(F.element_at("_starts", -1)))).drop("_starts")
+
+
 def variants(own: DataFrame) -> DataFrame:
-    """``pos, key`` of the deletion variants in the halves that may differ, from
-    ``doc_id, line, pos, p, s, words``; prefix hashes by a running XOR."""
-    size = F.size("words")
-    from_end = F.transform("words", lambda w, i: F.xxhash64(F.lit("e"), w, F.size("words") - i))
-    total = F.aggregate(from_end, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
-    each = own.select(
-        "doc_id", "line", "pos", "p", "s", size.alias("m"), total.alias("total"),
-        F.posexplode(F.concat("words", F.array(F.lit("")))).alias("i", "w"),  # the last place is no word
+    """``pos, key`` of the deletion variants in the half that may differ, from
+    ``pos, p, s, words``."""
+    m = F.size("words")
+    own = own.select(
+        "pos", "p", "s", m.alias("m"),
+        F.transform("words", lambda w, i: F.xxhash64(w, i)).alias("head"),
+        F.transform("words", lambda w, i: F.xxhash64(F.lit("e"), w, F.size("words") - i)).alias("tail"),
     )
-    before = Window.partitionBy("doc_id", "line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    is_word = F.col("i") < F.col("m")
-    head = F.coalesce(F.bit_xor(F.xxhash64("w", "i")).over(before), F.lit(0).cast("long"))
-    each = each.withColumn("end", F.xxhash64(F.lit("e"), "w", F.col("m") - F.col("i")))
-    tail = F.col("total").bitwiseXOR(F.coalesce(F.bit_xor("end").over(before), F.lit(0).cast("long")))
-    each = each.select("pos", "p", "s", "m", "i", "end", is_word.alias("word"), head.alias("head"), tail.alias("tail"))
-    h = F.floor((F.col("m") - 1) / 2)
-    each = each.where((F.col("p") & (F.col("i") >= h)) | (F.col("s") & (F.col("i") <= F.col("m") - h)))
-    deleted = F.when(F.col("word"), F.xxhash64("head", F.col("tail").bitwiseXOR(F.col("end")), "i", F.col("m") - 1))
-    missing = F.xxhash64("head", "tail", "i", "m")
-    return each.select("pos", F.explode(F.array(deleted, missing)).alias("key")).where("key is not null")
+    own = _with_running(_with_running(own, "head"), "tail")
+    h = _half(F.col("m") - 1)
+    places = F.sequence(F.when(F.col("s"), 0).otherwise(h), F.when(F.col("p"), F.col("m")).otherwise(F.col("m") - h))
+    own = own.withColumn("places", places).withColumn("all", F.element_at("tail", -1))
+
+    def after(i):  # hash of what stands from place i on
+        return F.col("all").bitwiseXOR(F.element_at("tail", i + 1))
+
+    missing = F.transform("places", lambda i: F.xxhash64(F.element_at("head", i + 1), after(i), i, "m"))
+    words = F.filter("places", lambda i: i < F.col("m"))
+    deleted = F.transform(words, lambda i: F.xxhash64(F.element_at("head", i + 1), after(i + 1), i, F.col("m") - 1))
+    return own.select("pos", F.explode(F.concat(missing, deleted)).alias("key"))
 
 
 def within_one_edit(a: str, b: str) -> Column:
@@ -125,19 +162,22 @@ def within_one_edit(a: str, b: str) -> Column:
 
 def alike_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """``pos`` of the distinct lines that have an earlier one within one edit."""
-    company = cut(with_company(distinct))
-    wanted = company.select(
-        F.floor(F.col("pos") / F.lit(1 << 32).cast("decimal(10,0)")).cast("long").alias("of"), "pos", "p", "s"
+    of = F.floor(F.col("pos") / F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
+    company = with_company(distinct).withColumn("of", of)
+    line = (F.col("pos") - F.col("of").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)")).cast("int")
+    company = company.select("of", "p", "s", line.alias("line"))
+    wanted = company.groupBy("of").agg(
+        F.collect_set("line").alias("wanted"),
+        F.collect_set(F.when(F.col("p"), F.col("line"))).alias("ps"),
+        F.collect_set(F.when(F.col("s"), F.col("line"))).alias("ss"),
     )
-    wanted = wanted.groupBy("of").agg(F.collect_list(F.struct("pos", "p", "s")).alias("wanted"))
     here = docs.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("of"))
-    own = here.select("doc_id", F.split("text", "\n").alias("t"), F.explode("wanted").alias("x")).select("doc_id", "t", "x.*")
-    line = (F.col("pos") - F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)")).cast("int")
-    own = own.withColumn("line", line).where(F.col("line") < F.size("t"))  # rows may share a doc_id
-    words = F.array_remove(F.split(F.lower(F.element_at("t", F.col("line") + 1)), r"[ \t\x0b\f\r]+"), "")
-    own = cut(own.select("doc_id", "line", "pos", "p", "s", words.alias("words")))
-    keys = variants(own)
-    keys = cut(keys)
+    each = F.transform(F.split("text", "\n"), lambda t, i: F.struct(t.alias("t"), i.alias("line")))
+    own = here.select("doc_id", "ps", "ss", F.explode(F.filter(each, lambda x: F.array_contains("wanted", x["line"]))).alias("x"))
+    own = own.select("doc_id", "ps", "ss", "x.line", _words("x.t").alias("words"))
+    flag = [F.array_contains(c, F.col("line")).alias(c[0]) for c in ("ps", "ss")]
+    own = cut(own.select(_pos(), *flag, "words"))
+    keys = cut(variants(own.where(F.size("words") > 0)))  # rows may share a doc_id: the other's line may be blank
     first = keys.groupBy("key").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).where("first < last")
     pairs = cut(keys.join(first, "key").where("pos > first").select("pos", "first").distinct())
     one = own.select("pos", F.col("words").alias("w1"))
@@ -149,13 +189,13 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per document with a line: ``doc_id, n_lines, n_dropped, dropped`` (line
     numbers from 0, ascending)."""
     texts = id_text(docs, id_col, text_col)
-    own = lines(texts)
-    distinct = cut(distinct_lines(own, least))
+    own = lines(texts, least)
+    distinct = cut(distinct_lines(own))
     alike = cut(alike_lines(distinct, texts))
     known = distinct.select("k1", "k2", "n", F.col("pos").alias("first"))
     known = known.join(alike.select(F.col("pos").alias("first"), F.lit(True).alias("alike")), "first", "left")
     known = cut(known.where("n > 1 or alike").select("k1", "k2", "first", "alike"))
-    each = own.select("doc_id", "line", _pos(), *_hashes()).join(known, ["k1", "k2"], "left")
+    each = own.select("doc_id", "line", _pos(), "k1", "k2").join(known, ["k1", "k2"], "left")
     gone = F.col("first").isNotNull() & ((F.col("pos") > F.col("first")) | F.coalesce("alike", F.lit(False)))
     each = each.select("doc_id", "line", F.when(gone, F.col("line")).alias("gone"))
     found = each.groupBy("doc_id").agg(F.count_distinct("line").alias("n_lines"), F.array_sort(F.collect_set("gone")).alias("dropped"))
