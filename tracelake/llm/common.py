@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracelake.session import shared_dir
 
-PARTITION_BYTES = 64 << 20
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def only(docs: DataFrame, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``docs`` on their way to a join with ``ids`` (one column): if the ids
+    are at most ``limit``, other documents are left out before the shuffle."""
+    if ids.count() > limit:
+        return docs
+    ids = ids.toDF("_id")
+    return docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+
+
 def rows_of(columns: list[list], names: list[str], types: list) -> "object":
     """An Arrow record batch from Python lists."""
     import pyarrow as pa

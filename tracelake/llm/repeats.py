@@ -15,7 +15,8 @@ else, in the same text or another.
    8-byte characters to ``SHALLOW`` bytes, then a blind trie for each group
    that still agrees.  Neighbours' common prefixes give, for every offset, the
    classes of contexts that agree left and right of the anchor; two contexts
-   in one class are a repeated window.  Equal contexts are sorted once.
+   in one class are a repeated window.  Equal contexts are combined before they
+   are dealt, and sorted once.
 4. A gram with more than ``HOT`` contexts (the edge of a passage that a third
    of all texts share) is not gathered in one task: its distinct contexts,
    combined map-side, are spread, each window is counted by a 128-bit hash,
@@ -33,13 +34,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, id_text
+from tracelake.llm.common import cut, id_text, only
 
 MATCH = 200
 GRAM = 32
 WINDOW = MATCH - GRAM + 1
 SHALLOW = 24  # bytes that multikey quicksort looks at
-HOT = 4096  # contexts of one gram that are sorted in one task
+HOT = 1 << 16  # contexts of one gram that are sorted in one task: 24 MB at most
 BLOCK_BYTES = 24 << 20  # contexts that a task sorts together
 CHUNK = 1 << 22  # window starts looked at together
 
@@ -242,36 +243,42 @@ def looked_at(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, FOUND)
 
 
-CONTEXTS = "gram long, md5 binary, lo long, off int, context binary"
+CONTEXTS = "gram long, off int, context binary, keys array<binary>, los array<long>"
 
 
 def contexts(texts: DataFrame) -> DataFrame:
-    """Contexts of the anchors whose numbers ``own`` lists, from ``md5, text, own``."""
+    """Contexts of the anchors whose numbers ``own`` lists, from ``md5, text,
+    own``; equal ones that a task meets are one row with their places."""
 
     def run(batches):
         import pyarrow as pa
 
+        def batch_of(places: dict[tuple, tuple[list, list]]):
+            types = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            columns = list(zip(*((*c, *at) for c, at in places.items()), strict=True)) or [[]] * 5
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["gram", "off", "context", "keys", "los"]
+            )
+
+        places: dict[tuple, tuple[list, list]] = {}
+        n = 0
         for batch in batches:
-            rows: list[tuple] = []
             for key, text, own in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 pos, lo, hi, grams = anchors(text)
-                rows += [(grams[i], key, lo[i], pos[i] - lo[i], text[lo[i] : hi[i] + MATCH]) for i in own if i < len(pos)]
-                if len(rows) >= 20_000:
-                    yield _contexts_batch(pa, rows)
-                    rows = []
-            yield _contexts_batch(pa, rows)
+                for i in own:
+                    if i < len(pos):
+                        at = places.setdefault((grams[i], pos[i] - lo[i], text[lo[i] : hi[i] + MATCH]), ([], []))
+                        at[0].append(key)
+                        at[1].append(lo[i])
+                        n += 1
+                if len(places) >= 60_000 or n >= 400_000:
+                    yield batch_of(places)
+                    places, n = {}, 0
+        yield batch_of(places)
 
     return texts.mapInArrow(run, CONTEXTS)
 
 
-def _contexts_batch(pa, rows: list[tuple]):
-    types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["gram", "md5", "lo", "off", "context"]
-    )
-
-
 def sorted_spans(found: DataFrame) -> DataFrame:
     """``md5, spans`` (flat, in the text) of the contexts that are repeated at
     least in part, each gram's contexts sorted in one task."""
@@ -281,8 +288,8 @@ def sorted_spans(found: DataFrame) -> DataFrame:
 
         def done(rows: list[tuple]):
             members: dict[int, dict[tuple, list]] = {}
-            for gram, md5, lo, off, context in rows:
-                members.setdefault(gram, {}).setdefault((off, context), []).append((md5, lo))
+            for gram, off, context, places, los in rows:
+                members.setdefault(gram, {}).setdefault((off, context), []).extend(zip(places, los, strict=True))
             groups = [[(off, c, len(m)) for (off, c), m in g.items()] for g in members.values()]
             keys, spans = [], []
             if groups:
@@ -302,7 +309,7 @@ def sorted_spans(found: DataFrame) -> DataFrame:
                     yield done(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[4])
+                size += len(row[2]) + 60 * len(row[3])
         yield done(rows)
 
     dealt = found.repartition("gram").sortWithinPartitions("gram")
@@ -313,7 +320,7 @@ def counted_spans(found: DataFrame) -> DataFrame:
     """The same for hot grams: windows are counted by hash, spread over tasks."""
     found = cut(found.withColumn("of", F.unhex(F.md5(F.concat(F.col("off").cast("string").cast("binary"), "context")))))
     distinct = cut(
-        found.groupBy("gram", "of").agg(F.first("off").alias("off"), F.first("context").alias("context"), F.count("lo").alias("n"))
+        found.groupBy("gram", "of").agg(F.first("off").alias("off"), F.first("context").alias("context"), F.sum(F.size("keys")).alias("n"))
     )
 
     def run(batches):
@@ -342,7 +349,8 @@ def counted_spans(found: DataFrame) -> DataFrame:
     hit = windows.join(often, "window").groupBy("gram", "of").agg(F.collect_list("start").alias("starts"))
     rel = F.flatten(F.transform("starts", lambda s: F.array(s, s + MATCH)))
     hit = cut(hit.select("gram", "of", rel.alias("rel")))
-    return found.join(hit, ["gram", "of"]).select("md5", F.transform("rel", lambda x: x + F.col("lo")).alias("spans"))
+    places = found.join(hit, ["gram", "of"]).select("rel", F.explode(F.arrays_zip("keys", "los")).alias("at"))
+    return places.select(F.col("at.keys").alias("md5"), F.transform("rel", lambda x: x + F.col("at.los")).alias("spans"))
 
 
 def taken_out(texts: DataFrame) -> DataFrame:
@@ -392,14 +400,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = cut(wanted.join(first.select("tid", "md5", "rep"), "tid").withColumnRenamed("md5", "key"))
 
     at = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("md5") == F.col("key"))
-    here = whole.join(wanted, at)
+    here = only(whole, wanted.select("rep")).join(wanted, at)
     spans = sorted_spans(contexts(here.where(F.size("cold") > 0).select("md5", "text", "cold")))
     if not often.where("hot").isEmpty():
         spans = spans.unionByName(counted_spans(contexts(here.where(F.size("hot") > 0).select("md5", "text", "hot"))))
     alone = same.where("copies = 1").select(F.col("md5").alias("key"), "rep")
     spans = spans.groupBy("md5").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = cut(spans.join(alone, spans["md5"] == alone["key"]).select("key", "rep", "spans"))
-    changed = taken_out(whole.join(spans, at).select("md5", "text", "spans"))
+    changed = taken_out(only(whole, spans.select("rep")).join(spans, at).select("md5", "text", "spans"))
     rows = found.select("doc_id", "md5", "n_bytes", "sha256").join(same.select("md5", "copies"), "md5")
     return rows, changed
 
