@@ -12,8 +12,10 @@ from tracelake.plans import sqlapi
 def test_clean_sql():
     assert sqlapi.clean_sql("  SELECT 1 ;  ") == "SELECT 1"
     assert sqlapi.clean_sql("SELECT 1;;") == "SELECT 1"
-    with pytest.raises(ValueError):
-        sqlapi.clean_sql("  ; ")
+    assert sqlapi.clean_sql("SELECT ';' AS a ; ;\n") == "SELECT ';' AS a"
+    for empty in ("  ; ", "; ;", ""):
+        with pytest.raises(ValueError):
+            sqlapi.clean_sql(empty)
     with pytest.raises(ValueError):
         sqlapi.clean_sql(None)
 
@@ -23,7 +25,17 @@ def test_run_sql_caps_rows(spark):
     res = sqlapi.run_sql(spark, "SELECT id FROM numbers ORDER BY id;", max_rows=2000)
     assert res.columns == ["id"] and res.count == 2000 and res.rows[-1] == [1999] and res.total_rows is None
     res = sqlapi.run_sql(spark, "SELECT id FROM numbers", max_rows=10, with_total=True)
-    assert res.count == 10 and res.total_rows == 5000 and res.elapsed_ms >= 0
+    assert res.count == 10 and res.total_rows == 5000 and res.elapsed_ms >= 0 and res.truncated
+    assert not sqlapi.run_sql(spark, "SELECT 1", max_rows=1).truncated
+    assert sqlapi.sql_frame(spark, "SELECT id FROM numbers").count() == 5000
+
+
+def test_run_sql_star_of_a_join(spark):
+    spark.sql("SELECT 1 AS id, named_struct('a', 1) AS s").createOrReplaceTempView("one")
+    spark.sql("SELECT 1 AS id, CAST(NULL AS struct<a:int>) AS s").createOrReplaceTempView("two")
+    res = sqlapi.run_sql(spark, "SELECT * FROM one JOIN two ON one.id = two.id", with_total=True)
+    assert res.columns == ["id", "s", "id", "s"]
+    assert res.rows == [[1, {"a": 1}, 1, None]] and res.total_rows == 1
 
 
 def test_register_views(spark):

@@ -41,7 +41,7 @@ def test_dedup_within_watermark(spark, scratch):
     spark.createDataFrame(rows, schema).write.parquet(f"{root}/in/a")
     spark.createDataFrame(rows[:1], schema).write.parquet(f"{root}/in/b")
     src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    jobs.run(jobs.write_stream(jobs.stream_dedup(src), f"{root}/out", f"{root}/ckpt"))
+    jobs.run(jobs.write_stream(jobs.stream_dedup(jobs.with_arrival(src)), f"{root}/out", f"{root}/ckpt"))
     assert sorted(r["part_id"] for r in spark.read.parquet(f"{root}/out").collect()) == ["p1", "p2"]
 
 

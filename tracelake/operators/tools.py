@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from tracelake.functions.scalars import blank_to, truncate
 from tracelake.operators.timeline import OUTPUT_CHARS
 
-# Characters of the title shown with a call; longest id list
-# filtered with IN before switching to a semi join.
+# Fixed value: characters of the title shown with a call.
 TITLE_CHARS = 50
-MAX_IN_LIST = 1000
 
 
 def tool_parts(parts: DataFrame) -> DataFrame:
@@ -29,19 +27,14 @@ def tool_names(parts: DataFrame) -> DataFrame:
 def _restrict(df: DataFrame, column: str, values: Sequence[str] | DataFrame) -> DataFrame:
     """Keep rows whose ``column`` is in ``values`` (drops NULL).
 
-    A short list is an IN filter (pushed to the scan); a long list or a
-    DataFrame of ids is a left semi join, whose strategy AQE picks from the
-    measured size of the id side.
+    A list is an IN filter (pushed to the scan); a DataFrame of ids is a left
+    semi join, whose strategy AQE picks from the measured size of the id side.
     """
     if isinstance(values, DataFrame):
         # Distinct ids first: partial aggregation shrinks the side before it moves.
         ids = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull()).distinct()
         return df.join(ids, column, "left_semi")
-    values = list(values)
-    if len(values) <= MAX_IN_LIST:
-        return df.where(F.col(column).isin(values))
-    ids = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` string")
-    return df.join(ids, column, "left_semi")
+    return df.where(F.col(column).isin(list(values)))
 
 
 def tool_calls(

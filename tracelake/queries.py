@@ -407,14 +407,15 @@ def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeated exports de-duplicated on a stream."""
+    """Repeated exports de-duplicated on a stream, one file a batch, the
+    newest rows first."""
     root = scratch_path(spark, "stream-dedup")
-    loads = _load_frames(spark, sf)
+    loads = _load_frames(spark, sf)[::-1]
     for n, frame in enumerate(loads):
         frame.withColumn("dt", epoch_ms("time_created")).write.parquet(f"{root}/in/load={n}")
     schema = spark.read.parquet(f"{root}/in/load=0").schema
-    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    deduped = streams.stream_dedup(src, "part_id", "dt", "1 day")
+    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    deduped = streams.stream_dedup(streams.with_arrival(src.parquet(f"{root}/in")), "part_id")
     streams.run(streams.write_stream(deduped, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out").select("part_id", "session_id", "part_type")
 

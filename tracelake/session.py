@@ -80,6 +80,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tracelake-shared-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -16,10 +16,12 @@ from tracelake.functions.scalars import epoch_ms
 from tracelake.schemas import PARTS
 
 
-def run(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; surface its failure."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run(query: StreamingQuery, timeout_s: int | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query, as long as it takes unless the
+    caller gives a limit; surface its failure."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
     if query.exception():
@@ -68,10 +70,18 @@ def stream_hourly(events: DataFrame, ts: str = "timestamp", delay: str = "10 min
     )
 
 
-def stream_dedup(parts: DataFrame, key: str = "part_id", ts: str = "dt", delay: str = "1 day") -> DataFrame:
-    """Drop repeated exports of the same part within the watermark."""
-    timed = parts.withColumn("_tl_ts", F.col(ts).cast("timestamp")).withWatermark("_tl_ts", delay)
-    return timed.dropDuplicatesWithinWatermark([key]).drop("_tl_ts")
+def with_arrival(files: DataFrame) -> DataFrame:
+    """A stream of files with ``arrived``, the time each file was written: it
+    only moves on, whatever times the rows hold."""
+    return files.withColumn("arrived", F.col("_metadata.file_modification_time"))
+
+
+def stream_dedup(parts: DataFrame, key: str = "part_id", arrived: str = "arrived", delay: str = "1 day") -> DataFrame:
+    """Drop repeated exports of the same part that arrive within ``delay``
+    of one another.  The watermark follows the time of arrival, so a part that
+    was never seen is kept however old it is."""
+    timed = parts.withColumn("_tl_ts", F.col(arrived).cast("timestamp")).withWatermark("_tl_ts", delay)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_tl_ts", arrived)
 
 
 def stream_changelog(
