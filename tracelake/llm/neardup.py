@@ -7,16 +7,20 @@ full sets, and a class is a connected component.
 1. Each whole text becomes a set, its ``BANDS * ROWS`` MinHash samples, the
    bands' keys, and an odd sketch: a bitmap in which every sample flips one
    bit.  The population count of two sketches' XOR estimates how many samples
-   differ.  The chance that a link shares no band is below 1e-7 at the limit.
+   differ; the sketch folds in more samples than the bands use.  The chance
+   that a link shares no band is below 1e-7 at the limit.
 2. Equal sets are one candidate (their smallest id).
 3. Star rounds: in every band bucket each member is a candidate with the
    bucket's smallest id; per member the most similar such partner (by sketch)
    is confirmed.  That is one pair a document, whatever the bucket's size.
+   As long as step 4 would look at more than ``CROSS`` pairs a member, up to
+   ``ROUNDS`` more rounds do so with leaders drawn by a hash, for members of
+   other components than the leader's.
 4. The rest: in buckets whose members lie in several components, members
    outside the leader's component are candidates with all members of other
-   components whose sketch is near enough.  Buckets that are still large there
-   (texts that share a passage, say) are split by each second band first, so
-   that pairs meet only if they share two bands, and so on.
+   components whose sketch is near enough, in the first bucket they share.
+   Buckets that are still large there (texts that share a passage, say) are
+   split by each second band, so that pairs meet only if they share two.
 5. Components by large-star and small-star rounds over the confirmed links.
 
 Sets travel only for documents in a candidate pair.  Hot ids (a leader of many
@@ -31,6 +35,9 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +46,13 @@ from tracelake.llm.common import cut, id_text
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 3
-SKETCH_WORDS = 8  # 64 bits each
-MAX_XOR = 88  # bits; at 75 % similarity the mean is 44 and the deviation 8
-LARGE = 1000  # members from which a mixed bucket is split by a second band
-CHUNK = 4096
+SAMPLES = 512  # of the odd sketch; the bands use the first ones
+SKETCH_WORDS = 16  # 64 bits each
+MAX_XOR = 290  # bits; at 75 % similarity the mean is 201 and the deviation 17
+ROUNDS = 2  # star rounds with drawn leaders
+CROSS = 100
+LARGE = 20_000  # members from which a mixed bucket is split by a second band
+CHUNK = 1024
 
 
 def _mix(x):
@@ -78,7 +88,7 @@ class Hasher:
     def __init__(self):
         import numpy as np
 
-        k = BANDS * ROWS
+        k = SAMPLES
         seed = _mix(np.arange(1, 2 * k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.flip = (seed[:k] >> np.uint64(32)).astype(np.uint32)[:, None]
         self.times = ((seed[k:] >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
@@ -98,7 +108,7 @@ class Hasher:
     def keys(self, samples):
         import numpy as np
 
-        rows = samples.astype(np.uint64).reshape(BANDS, ROWS)
+        rows = samples[: BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS)
         key = self.band.copy()
         for r in range(ROWS):
             key = _mix(key + rows[:, r])
@@ -149,7 +159,8 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _xor(a: str, b: str):
     """Bits in which two odd sketches differ."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    x, y = F.col(a), F.col(b)
+    return reduce(add, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH_WORDS)])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -192,10 +203,10 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        smallest = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(smallest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut(large.where("u > v").distinct())
-        smallest = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = cut(small.where("u > v").distinct())
         now = edges.agg(F.count("u").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -219,16 +230,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # members of buckets with company, and the bucket's leader
     members = cut(buckets.join(leaders.select("key", "leader"), "key"))
 
-    # star round: each member with its most similar leader
+    label, links = None, None
     stars = members.where("rep > leader").select("rep", "leader").distinct()
-    stars = with_sketches(stars, odd, "rep", "leader")
-    stars = stars.groupBy(F.col("rep").alias("a")).agg(F.min(F.struct("x", "leader"))["leader"].alias("b"))
-    links = confirmed(stars, texts)
-    label = cut(components(links))
+    for number in range(1, ROUNDS + 2):
+        stars = with_sketches(stars, odd, "rep", "leader")
+        stars = stars.groupBy(F.col("rep").alias("a")).agg(F.min(F.struct("x", "leader"))["leader"].alias("b"))
+        found_links = confirmed(stars, texts)
+        links = found_links if links is None else links.unionByName(found_links)
+        label = cut(components(links))
+        mixed = labelled(members, label)
+        outside = F.sum((F.col("mine") != F.col("theirs")).cast("long")).alias("s")
+        sizes = mixed.groupBy("key").agg(F.count("rep").alias("n"), outside)
+        size = sizes.agg(F.sum(F.col("n") * F.col("s")).alias("pairs"), F.sum("n").alias("n")).first()
+        if number > ROUNDS or (size["pairs"] or 0) <= CROSS * (size["n"] or 0):
+            break
+        stars = drawn_stars(mixed, number)
 
     # all pairs across components that share a bucket
-    mixed = labelled(members, label)
-    pairs = cross_pairs(mixed, reps, odd)
+    pairs = cross_pairs(mixed, reps)
     more = confirmed(pairs, texts)
     if not more.isEmpty():
         label = cut(components(links.union(more)))
@@ -256,6 +275,15 @@ def with_sketches(pairs: DataFrame, odd: DataFrame, a: str, b: str) -> DataFrame
     return pairs.withColumn("x", _xor("_oa", "_ob")).where(F.col("x") <= MAX_XOR).drop("_oa", "_ob")
 
 
+def drawn_stars(mixed: DataFrame, number: int) -> DataFrame:
+    """Pairs (rep, leader) of different components in buckets whose leader is
+    drawn by a hash that differs by bucket and round."""
+    drawn = F.struct(F.xxhash64(F.lit(number), "key", "rep").alias("h"), F.col("rep").alias("leader"), F.col("mine").alias("theirs"))
+    leaders = cut(mixed.groupBy("key").agg(F.min(drawn).alias("drawn")).select("key", "drawn.leader", "drawn.theirs"))
+    pairs = mixed.select("key", "rep", "mine").join(leaders, "key").where("mine <> theirs")
+    return pairs.select("rep", "leader").distinct()
+
+
 def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
     """Members (key, rep, leader) of buckets in several components, with the
     component of member (``mine``) and leader (``theirs``)."""
@@ -265,42 +293,43 @@ def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
     all_ = all_.join(theirs, "leader", "left").withColumn("theirs", F.coalesce("theirs", "leader"))
     all_ = cut(all_)
     several = all_.where("mine <> theirs").select("key").distinct()
-    return all_.join(several, "key")
+    return cut(all_.join(several, "key"))
 
 
-def cross_pairs(mixed: DataFrame, reps: DataFrame, odd: DataFrame) -> DataFrame:
+def cross_pairs(mixed: DataFrame, reps: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of different components that share a bucket and
     whose sketches are near."""
-    mixed = cut(mixed.select("key", "rep", "mine", "theirs"))
-    out = None
-    for _ in range(3):
-        sizes = mixed.groupBy("key").agg(F.count("rep").alias("n"))
-        large = cut(sizes.where(F.col("n") > LARGE))
-        here = mixed.join(large, "key", "left_anti")
-        found = _pairs_in(here, odd)
-        out = found if out is None else out.unionByName(found)
-        if large.isEmpty():
-            mixed = None
-            break
-        rest = mixed.join(large.select("key"), "key").join(reps.select("rep", "bands"), "rep")
-        again = rest.select("rep", "mine", "theirs", "key", F.explode("bands").alias("second")).where("key <> second")
-        again = again.withColumn("key", F.xxhash64(F.least("key", "second"), F.greatest("key", "second"))).drop("second")
-        mixed = cut(_several(again))
-    if mixed is not None:
-        out = out.unionByName(_pairs_in(mixed, odd))
-    return out.select("a", "b").distinct()
-
-
-def _several(members: DataFrame) -> DataFrame:
-    """Members of buckets that still hold more than one component."""
-    sizes = members.groupBy("key").agg(F.min("mine").alias("lo"), F.max("mine").alias("hi"))
-    return members.join(sizes.where("lo <> hi").select("key"), "key")
-
-
-def _pairs_in(members: DataFrame, odd: DataFrame) -> DataFrame:
-    known = cut(members.join(odd, "rep"))
-    outside = known.where("mine <> theirs").select("key", F.col("rep").alias("a"), F.col("mine").alias("ca"), F.col("odd").alias("oa"))
+    mixed = mixed.select("key", "rep", "mine", "theirs")
+    large = cut(mixed.groupBy("key").agg(F.count("rep").alias("n")).where(F.col("n") > LARGE).select("key"))
+    if large.isEmpty():
+        return _pairs_in(mixed, reps, _first_common).distinct()
+    here = _pairs_in(mixed.join(large, "key", "left_anti"), reps, _first_common)
+    rest = mixed.join(large, "key").join(reps.select("rep", "bands"), "rep")
+    again = rest.select("rep", "mine", "theirs", "key", F.explode("bands").alias("second")).where("key <> second")
+    again = cut(again.withColumn("key", _both("key", "second")).drop("second"))
+    sizes = again.groupBy("key").agg(F.min("mine").alias("lo"), F.max("mine").alias("hi")).where("lo <> hi")
+    split = _pairs_in(again.join(sizes.select("key"), "key"), reps, lambda c: _both(c[0], c[1]))
+    return here.unionByName(split).distinct()
+
+
+def _first_common(common):
+    return common[0]
+
+
+def _both(a, b):
+    """One key for two bands, whichever comes first."""
+    return F.xxhash64(F.least(a, b), F.greatest(a, b))
+
+
+def _pairs_in(members: DataFrame, reps: DataFrame, first) -> DataFrame:
+    """Near pairs of different components in a bucket; of the buckets that two
+    members share, the one whose key ``first`` names."""
+    known = cut(members.join(reps, "rep"))
+    outside = known.where("mine <> theirs")
+    outside = outside.select("key", F.col("rep").alias("a"), F.col("mine").alias("ca"), F.col("odd").alias("oa"), F.col("bands").alias("ba"))
     also = (F.col("mine") != F.col("theirs")).alias("also")
-    other = known.select("key", F.col("rep").alias("b"), F.col("mine").alias("cb"), also, F.col("odd").alias("ob"))
+    other = known.select("key", F.col("rep").alias("b"), F.col("mine").alias("cb"), also, F.col("odd").alias("ob"), F.col("bands").alias("bb"))
     near = (F.col("ca") != F.col("cb")) & (~F.col("also") | (F.col("a") < F.col("b"))) & (_xor("oa", "ob") <= MAX_XOR)
+    ordered = F.array_intersect(F.array_sort("ba"), "bb")  # the same for both members
+    near = near & (F.col("key") == first(ordered))
     return outside.join(other, "key").where(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

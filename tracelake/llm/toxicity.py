@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import id_text, rows_of
 
-SAMPLE = 4000  # documents per class that the classifier is fitted on
+SAMPLE = 2000  # documents per class that the classifier is fitted on
 THRESHOLD = 0.7
 SWAP_WEIGHT = 1.0
 SPACE = 1 << 22
@@ -173,7 +173,10 @@ def fit_rows(rows: list[tuple[list[int], list[int], int]], pairs: list[tuple[int
 def fit(docs: DataFrame, labels: DataFrame, use: Callable[[Column], Column] | None = None, sample: int = SAMPLE,
         swap_weight: float = SWAP_WEIGHT) -> Model:
     """Fit on at most ``sample`` labelled documents of each class.  ``use``:
-    which document ids labels may be learned from."""
+    which document ids labels may be learned from.  Hashed features reach the
+    driver, as bytes; no texts do."""
+    import numpy as np
+
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("doc_id is not null and toxic in (0, 1)")
     if use is not None:
@@ -185,24 +188,26 @@ def fit(docs: DataFrame, labels: DataFrame, use: Callable[[Column], Column] | No
     picked = picked.unionByName(known.where("toxic = 0").orderBy(order, "doc_id").limit(sample))
 
     def run(batches):
+        from array import array
+
         import pyarrow as pa
 
-        ints = pa.list_(pa.int32())
+        ints = pa.binary()
         for batch in batches:
             fs, ns, ps = [], [], []
             for text in batch.column(2).to_pylist():
                 own = distinct_words(text)
                 counts = document_features(own)
-                fs.append(list(counts))
-                ns.append(list(counts.values()))
+                fs.append(array("i", counts).tobytes())
+                ns.append(array("i", counts.values()).tobytes())
                 ps.append([f"{a} {b}" for a, b in swaps(own)])
             yield rows_of([batch.column(0), batch.column(1), fs, ns, ps], ["doc_id", "toxic", "f", "n", "p"],
                           [pa.int64(), pa.int32(), ints, ints, pa.list_(pa.string())])
 
     texts = id_text(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
-    found = texts.mapInArrow(run, "doc_id long, toxic int, f array<int>, n array<int>, p array<string>").collect()
+    found = texts.mapInArrow(run, "doc_id long, toxic int, f binary, n binary, p array<string>").collect()
     found.sort(key=lambda r: (r["doc_id"], r["f"]))
-    rows = [(r["f"], r["n"], r["toxic"]) for r in found]
+    rows = [(np.frombuffer(r["f"], np.int32), np.frombuffer(r["n"], np.int32), r["toxic"]) for r in found]
     pairs = [(i, *p.split(" ")) for i, r in enumerate(found) for p in r["p"]]
     return fit_rows(rows, pairs, share if share is not None else 0.5, swap_weight)
 
