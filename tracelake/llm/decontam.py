@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 from itertools import repeat
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NGRAM = 10
@@ -103,10 +103,15 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, block_bytes: int = BLOCK_BYTES,
-         id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", keep: list[str] | None = None) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """For every document: ``doc_id, n_words, spans`` (word spans that are hit,
-    end exclusive) and ``items`` (ids as text, sorted), with the columns named
-    in ``keep`` carried along under their own names."""
+    end exclusive) and ``items`` (ids as text, sorted)."""
+    found = _scanned(docs, benchmark, F.struct(docs[id_col].cast("long").alias("doc_id")), n, block_bytes, text_col, item_col)
+    return found.select("_row.doc_id", "n_words", "spans", "items")
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, row: Column, n: int, block_bytes: int, text_col: str, item_col: str) -> DataFrame:
+    """``_text, n_words, spans, items`` and ``_row``, which is carried along."""
     spark = docs.sparkSession
     items, count = blocks_of(benchmark, item_col, "text", block_bytes)
     base = docs.select(
@@ -114,14 +119,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, block_bytes: int
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<a:long,b:long>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
-        F.struct(docs[id_col].cast("long").alias("doc_id"), *[docs[c] for c in keep or []]).alias("_row"),
+        row.alias("_row"),
     )
     schema = base.schema
     for block in range(max(1, count)):
         rows = [] if not count else [tuple(r) for r in items.where(F.col("block") == block).select("item", "text").collect()]
         shared = spark.sparkContext.broadcast(rows)
         base = base.mapInArrow(_scanner(shared, n), schema)
-    return base.select("_row.*", "n_words", "spans", "items", F.col("_text").cast("string").alias("_text"))
+    return base
 
 
 def _scanner(shared, n: int):
@@ -156,16 +161,16 @@ def without_spans(text: bytes, spans: list) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: bool = True, **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: bool = True, n: int = NGRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with all their columns, without benchmark passages: whole
     documents go (``drop``), or only the spans that are hit."""
-    found = scan(docs, benchmark, keep=[c for c in docs.columns if c != "doc_id"], **options)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    found = _scanned(docs, benchmark, row, n, block_bytes, "text", "item_id")
     if drop:
-        return found.where(F.size("spans") == 0).select(*docs.columns)
-    clean = F.udf(lambda t, s: without_spans(t.encode(), s).decode(), "string")
-    return found.withColumn(
-        "text", F.when(F.size("spans") == 0, F.col("text")).otherwise(clean("_text", "spans"))
-    ).select(*docs.columns)
+        return found.where(F.size("spans") == 0).select("_row.*")
+    clean = F.udf(lambda t, s: without_spans(bytes(t), s).decode(), "string")
+    text = F.when(F.size("spans") == 0, F.col("_row.text")).otherwise(clean("_text", "spans"))
+    return found.select(*[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:
