@@ -35,7 +35,7 @@ from tracelake.llm.common import cut, id_text
 SIZE = 4096
 END_ID = 2
 SALTS = 64
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000  # of a worker process, about 80 MB
 BROADCAST_STEPS = 100_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -77,6 +77,15 @@ class Encoder:
         return np.append(ids, np.uint32(END_ID))
 
 
+_ENCODERS: dict[str, Encoder] = {}  # a worker process keeps its encoder from task to task
+
+
+def encoder_of(tokenizer: str) -> Encoder:
+    if tokenizer not in _ENCODERS:
+        _ENCODERS[tokenizer] = Encoder(tokenizer)
+    return _ENCODERS[tokenizer]
+
+
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, keep_ids: bool = False,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``, and
@@ -87,7 +96,7 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, keep_i
 
         import pyarrow as pa
 
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             rows: list[tuple] = []
             kept = []
