@@ -8,7 +8,10 @@ full sets, and a class is a connected component.
    bands' keys, and an odd sketch: a bitmap in which every sample flips one
    bit.  The population count of two sketches' XOR estimates how many samples
    differ; the sketch folds in more samples than the bands use.  The chance
-   that a link shares no band is below 1e-7 at the limit.
+   that a link shares no band is below 1e-7 at the limit.  A second bitmap
+   folds in the whole set: the XOR's population count is never above the
+   number of shingles that differ, so a pair whose count is too high for its
+   two set sizes is no link for certain.  Pairs must be near by both.
 2. Equal sets are one candidate (their smallest id).
 3. Star rounds: in every band bucket each member is a candidate with the
    bucket's smallest id; per member the most similar such partner (by sketch)
@@ -117,13 +120,20 @@ class Hasher:
     def sketch(self, samples):
         import numpy as np
 
-        bits = SKETCH_WORDS * 64
-        at = _mix(samples.astype(np.uint64) | self.number) % np.uint64(bits)
-        odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
-        return np.packbits(odd.astype(np.uint8)).view(np.int64)
+        return parities(_mix(samples.astype(np.uint64) | self.number))
 
 
-SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>"
+def parities(hashes):
+    """Odd sketch: every hash flips one bit."""
+    import numpy as np
+
+    bits = SKETCH_WORDS * 64
+    at = (hashes % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(at, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>, odd array<long>, whole array<long>"
 
 
 def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,7 +145,7 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
         hasher = Hasher()
         for batch in batches:
-            sizes, keys, bands, odds = [], [], [], []
+            sizes, keys, bands, odds, wholes = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text)
                 sizes.append(len(own))
@@ -144,14 +154,16 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     keys.append(md5(own.tobytes()).digest())
                     bands.append(hasher.keys(samples))
                     odds.append(hasher.sketch(samples))
+                    wholes.append(parities(own))
                 else:
                     keys.append(None)
                     bands.append(np.empty(0, np.int64))
                     odds.append(np.empty(0, np.int64))
-            long_list = pa.list_(pa.int64())
+                    wholes.append(np.empty(0, np.int64))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, odds, wholes)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, long_list), pa.array(odds, long_list)],
-                names=["doc_id", "n_shingles", "set_key", "bands", "odd"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *lists],
+                names=["doc_id", "n_shingles", "set_key", "bands", "odd", "whole"],
             )
 
     return id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary")).mapInArrow(run, SKETCHED)
@@ -163,6 +175,11 @@ def _xor(a: str, b: str):
     return reduce(add, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH_WORDS)])
 
 
+def _may_link(whole_a: str, whole_b: str, size_a: str, size_b: str):
+    """False only for pairs that differ in too many shingles for a link."""
+    return _xor(whole_a, whole_b) * (100 + PERCENT) <= (F.col(size_a) + F.col(size_b)) * (100 - PERCENT)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     pairs = cut(pairs)
@@ -222,9 +239,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = cut(sketched(texts))
     own = found.where("n_shingles > 0 and doc_id is not null")
     classes = cut(own.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    reps = own.join(classes, "set_key").where("doc_id = rep").select("rep", "bands", "odd")
+    reps = own.join(classes, "set_key").where("doc_id = rep").select("rep", "n_shingles", "bands", "odd", "whole")
     reps = cut(reps)
-    odd = reps.select("rep", "odd")
+    odd = reps.select("rep", "n_shingles", "odd", "whole")
     buckets = cut(reps.select("rep", F.explode("bands").alias("key")))
     leaders = buckets.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last")
     # members of buckets with company, and the bucket's leader
@@ -270,9 +287,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
 def with_sketches(pairs: DataFrame, odd: DataFrame, a: str, b: str) -> DataFrame:
     """The pairs whose sketches are near, with ``x``, the bits that differ."""
-    pairs = pairs.join(odd.select(F.col("rep").alias(a), F.col("odd").alias("_oa")), a)
-    pairs = pairs.join(odd.select(F.col("rep").alias(b), F.col("odd").alias("_ob")), b)
-    return pairs.withColumn("x", _xor("_oa", "_ob")).where(F.col("x") <= MAX_XOR).drop("_oa", "_ob")
+    pairs = pairs.join(odd.toDF(a, "_na", "_oa", "_wa"), a)
+    pairs = pairs.join(odd.toDF(b, "_nb", "_ob", "_wb"), b)
+    pairs = pairs.where(_may_link("_wa", "_wb", "_na", "_nb")).withColumn("x", _xor("_oa", "_ob"))
+    return pairs.where(F.col("x") <= MAX_XOR).select(a, b, "x")
 
 
 def drawn_stars(mixed: DataFrame, number: int) -> DataFrame:
@@ -326,10 +344,17 @@ def _pairs_in(members: DataFrame, reps: DataFrame, first) -> DataFrame:
     members share, the one whose key ``first`` names."""
     known = cut(members.join(reps, "rep"))
     outside = known.where("mine <> theirs")
-    outside = outside.select("key", F.col("rep").alias("a"), F.col("mine").alias("ca"), F.col("odd").alias("oa"), F.col("bands").alias("ba"))
+    outside = outside.select(
+        "key", F.col("rep").alias("a"), F.col("mine").alias("ca"), F.col("n_shingles").alias("na"),
+        F.col("odd").alias("oa"), F.col("whole").alias("wa"), F.col("bands").alias("ba"),
+    )
     also = (F.col("mine") != F.col("theirs")).alias("also")
-    other = known.select("key", F.col("rep").alias("b"), F.col("mine").alias("cb"), also, F.col("odd").alias("ob"), F.col("bands").alias("bb"))
-    near = (F.col("ca") != F.col("cb")) & (~F.col("also") | (F.col("a") < F.col("b"))) & (_xor("oa", "ob") <= MAX_XOR)
+    other = known.select(
+        "key", F.col("rep").alias("b"), F.col("mine").alias("cb"), also, F.col("n_shingles").alias("nb"),
+        F.col("odd").alias("ob"), F.col("whole").alias("wb"), F.col("bands").alias("bb"),
+    )
+    near = (F.col("ca") != F.col("cb")) & (~F.col("also") | (F.col("a") < F.col("b")))
+    near = near & _may_link("wa", "wb", "na", "nb") & (_xor("oa", "ob") <= MAX_XOR)
     ordered = F.array_intersect(F.array_sort("ba"), "bb")  # the same for both members
     near = near & (F.col("key") == first(ordered))
     return outside.join(other, "key").where(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
