@@ -44,7 +44,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, id_text
+from tracelake.llm.common import cut, id_text, only
 
 SHINGLE = 5
 PERCENT = 75
@@ -52,7 +52,7 @@ BANDS, ROWS = 32, 3
 SAMPLES = 512  # of the odd sketch; the bands use the first ones
 SKETCH_WORDS = 16  # 64 bits each
 MAX_XOR = 290  # bits; at 75 % similarity the mean is 201 and the deviation 17
-ROUNDS = 2  # star rounds with drawn leaders
+ROUNDS = 1  # star rounds with drawn leaders
 CROSS = 100
 LARGE = 20_000  # members from which a mixed bucket is split by a second band
 CHUNK = 1024
@@ -192,7 +192,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             found = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
-    own = docs.join(needed, "doc_id").select("doc_id", F.col("text").cast("binary"))
+    needed = cut(needed)
+    own = only(docs, needed).join(needed, "doc_id").select("doc_id", F.col("text").cast("binary"))
     own = cut(own.mapInArrow(sets, "id long, set binary"))
 
     def run(batches):
