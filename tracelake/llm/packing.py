@@ -24,7 +24,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+import re
+from bisect import insort
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -34,8 +35,15 @@ from tracelake.llm.common import cut, id_text
 
 SIZE = 4096
 END_ID = 2
+END = END_ID.to_bytes(4, "little")
 SALTS = 64
-CACHE_WORDS = 500_000  # of a worker process, about 80 MB
+CACHE_WORDS = 500_000  # in each store of a worker process, about 80 MB
+CALL_WORDS = 1000  # encoded in one call
+WORD_END = "</w>"
+SPECIAL = b"<|"  # special tokens start so
+# Letters (and all of non-ASCII), then ASCII punctuation but the apostrophe, at
+# which words like "it's" are split by other rules.
+WORD = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 BROADCAST_STEPS = 100_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -43,38 +51,103 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class Encoder:
-    """Ids of whole texts.  No token spans ASCII white space with this
-    vocabulary's splitting rule, so texts are cut there and each distinct
-    stretch is encoded once, as long as the bounded store holds it."""
+    """Ids of whole texts.
+
+    This vocabulary lower-cases, splits at white space and ends each word with
+    an id whose token ends in ``WORD_END``.  So texts are lower-cased and cut at
+    ASCII white space, and a stretch is encoded once, as long as the bounded
+    stores hold it.  Most stretches are one word of plain letters and a tail
+    of ASCII punctuation; such words are encoded many in one call, without the
+    steps that change nothing in them, and told apart by their last ids.
+    Other stretches are encoded one by one, and texts that may hold a special
+    token, or those of a vocabulary without ``WORD_END``, whole."""
 
     def __init__(self, tokenizer: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import numpy as np
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if "/" not in tokenizer:
             import public_tokenizers
 
             tokenizer = public_tokenizers.path(tokenizer)
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.by_words = getattr(self.tokenizer.model, "end_of_word_suffix", None) == WORD_END
+        self.bare = Tokenizer.from_file(tokenizer)
+        self.bare.normalizer = None
+        split = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(split)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # ids as bytes: joining them is cheap, and the collector skips them
+        self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, text: bytes):
         import numpy as np
-        from itertools import chain
 
-        own = text.split()
+        if not self.by_words or SPECIAL in text:
+            ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+            return np.array([*ids, END_ID], np.uint32)
+        own = text.lower().split()
         known = self.known
         new = list(set(own).difference(known))
         if new:
             if len(known) + len(new) > CACHE_WORDS:
                 known.clear()
                 new = list(set(own))
-            for word, got in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[word] = tuple(got.ids)
-        ids = np.fromiter(chain.from_iterable(map(known.__getitem__, own)), np.uint32)
-        return np.append(ids, np.uint32(END_ID))
+            self.learn(new)
+        return np.frombuffer(b"".join(map(known.__getitem__, own)) + END, "<u4")
+
+    def learn(self, stretches: list[bytes]) -> None:
+        """Puts the ids of lower-cased stretches into the store."""
+        words: dict[bytes, tuple[str, bytes]] = {}
+        rest = set()
+        for stretch in stretches:
+            match = WORD.fullmatch(stretch)
+            if match and plain(word := match[1].decode()):
+                words[stretch] = word.lower(), match[2]
+                rest.add(match[2])
+            else:
+                rest.add(stretch)
+        rest.discard(b"")
+        got = self.tokenizer.encode_batch_fast([x.decode() for x in rest], add_special_tokens=False)
+        others = {x: as_bytes(g.ids) for x, g in zip(rest, got, strict=True)} | {b"": b""}
+        if len(self.words) + len(words) > CACHE_WORDS:
+            self.words.clear()
+        new = list({word for word, _ in words.values()}.difference(self.words))
+        for i in range(0, len(new), CALL_WORDS):
+            self.learn_words(new[i : i + CALL_WORDS])
+        for stretch in stretches:
+            if stretch in words:
+                word, tail = words[stretch]
+                self.known[stretch] = self.words[word] + others[tail]
+            else:
+                self.known[stretch] = others[stretch]
+
+    def learn_words(self, new: list[str]) -> None:
+        import numpy as np
+
+        ids = self.bare.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        joined = as_bytes(ids)
+        for word, start, end in zip(new, [0, *ends[:-1]], ends, strict=True):
+            self.words[word] = joined[start:end]
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    import numpy as np
+
+    return np.array(ids, "<u4").tobytes()
+
+
+def plain(word: str) -> bool:
+    """Letters below U+0180 only, lower-cased to such letters: normalising
+    changes nothing else in them, and they are never split."""
+    return word.isalpha() and max(word) < "\u0180" and word.lower().isalpha()
 
 
 _ENCODERS: dict[str, Encoder] = {}  # a worker process keeps its encoder from task to task
