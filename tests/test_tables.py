@@ -33,7 +33,7 @@ def test_upsert_as_of_history(spark, scratch):
     assert then == {"a": "a1", "b": "b1"}
     hist = [(r["load_id"], r["operation"], r["rows"], r["inserts"], r["updates"])
             for r in tables.load_history(spark, d).collect()]
-    assert hist == [(0, "append", 2, 2, 0), (1, "overwrite", 2, 1, 1)]
+    assert hist == [(0, "append", 2, 2, 0), (1, "upsert", 2, 1, 1)]
     plan = tables.read_loads(spark, d).where(F.col("load_id") <= 0)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "load_id" in plan
     compacted = tables.compact(spark, d, scratch("compact"))

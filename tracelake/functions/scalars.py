@@ -50,6 +50,17 @@ def typed_decimal(c: ColumnOrName, dtype, precision: int = 38, scale: int = 10)
     return lenient_decimal(col, precision, scale)
 
 
+def epoch() -> Column:
+    """1970-01-01 as ``timestamp_ntz``."""
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def from_micros(c: ColumnOrName) -> Column:
+    """Microseconds since the epoch as a UTC wall clock (``timestamp_ntz``).
+    Plain arithmetic: the session's zone, with its summer time, has no part."""
+    return F.timestamp_add("MICROSECOND", _col(c), epoch())
+
+
 def to_ts(c: ColumnOrName) -> Column:
     """Lenient text → timestamp (UTC wall clock, ``timestamp_ntz``).
 
@@ -58,9 +69,7 @@ def to_ts(c: ColumnOrName) -> Column:
     """
     s = F.trim(_col(c).cast("string"))
     zoned = s.rlike(_ZONE_RE) & s.contains(":")
-    as_utc = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(s).try_cast("timestamp_ntz")
-    )
+    as_utc = from_micros(F.unix_micros(F.try_to_timestamp(s)))
     return F.when(zoned, as_utc).otherwise(s.try_cast("timestamp_ntz"))
 
 
@@ -76,7 +85,7 @@ def utc_wall_clock(c: ColumnOrName, dtype) -> Column:
     if isinstance(dtype, T.DateType):
         return col.cast("timestamp_ntz")  # midnight of that day
     if isinstance(dtype, T.TimestampType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
+        return from_micros(F.unix_micros(col))
     return to_ts(col)
 
 
@@ -91,14 +100,13 @@ def to_ts_strict(c: ColumnOrName) -> Column:
 
 def epoch_ms(c: ColumnOrName) -> Column:
     """Epoch milliseconds → UTC timestamp (``timestamp_ntz``)."""
-    return F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.timestamp_millis(_col(c)).cast("timestamp_ntz")
-    )
+    return F.timestamp_add("MILLISECOND", _col(c).cast("bigint"), epoch())
 
 
 def hour_floor(c: ColumnOrName) -> Column:
     """Floor a ``timestamp_ntz`` to the hour, result ``timestamp_ntz``."""
-    return F.date_trunc("hour", _col(c)).cast("timestamp_ntz")
+    day = _col(c).cast("date").cast("timestamp_ntz")
+    return F.timestamp_add("HOUR", F.hour(_col(c)), day)
 
 
 def fill_label(c: ColumnOrName, label: str) -> Column:
@@ -110,6 +118,21 @@ def blank_to(c: ColumnOrName, placeholder: str) -> Column:
     return F.coalesce(F.nullif(_col(c).cast("string"), F.lit("")), F.lit(placeholder))
 
 
+def number_text(c: ColumnOrName) -> Column:
+    """A double as Python prints it, with an exponent only below 1e-4 and from
+    1e16 on (Spark writes one below 1e-3 and from 1e7).  The digits are the
+    JVM's: before Java 19 a few values, such as 2.5e22, get more than needed."""
+    value = _col(c).cast("double")
+    text = value.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
+    digits = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    sign = F.when(power < 0, "e-").otherwise("e+")
+    size = F.abs(power).cast("string")
+    short = F.concat(digits, sign, F.when(F.length(size) < 2, F.lpad(size, 2, "0")).otherwise(size))
+    return F.when(~text.contains("E"), text).when((power >= -4) & (power < 16), plain).otherwise(short)
+
+
 def truncate(c: ColumnOrName, n: int) -> Column:
     """First ``n`` characters (code points)."""
     return F.substring(_col(c), 1, n)

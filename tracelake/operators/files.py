@@ -56,3 +56,9 @@ def hot_files(files: DataFrame, k: int | None = None, approx_distinct: bool = Fa
         .orderBy(F.desc("touches"), "file")
     )
     return out.limit(k) if k else out
+
+
+def files_total(files: DataFrame) -> DataFrame:
+    """One row with the number of files touched, repeats counted
+    (``files``) and not counted (``distinct_files``)."""
+    return files.agg(F.count("file").alias("files"), F.count_distinct("file").alias("distinct_files"))

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracelake.functions.scalars import fill_label, hour_floor, lenient_double, typed_decimal, utc_wall_clock
+from tracelake.functions.scalars import (
+    epoch, fill_label, from_micros, hour_floor, lenient_double, typed_decimal, utc_wall_clock,
+)
 from tracelake.plans.ordering import row_hash, running_total, values_at_positions
 
 SESSION = "`session.id`"
@@ -184,8 +186,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     column (one row per column, values as double).
 
     Percentiles are exact with linear interpolation, computed from global
-    positions, so no aggregation buffer ever holds a whole column.  One
-    scalar action counts the non-NULL values per column first.  With
+    positions, so no aggregation buffer ever holds a whole column.  With
     ``exact=False`` the quartiles come from a quantile sketch in one pass.
     Without numeric columns the time columns are described
     (``describe_time``), and without those the text columns
@@ -220,16 +221,18 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
 
 
 def describe_time(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A9 for time columns: count, mean, min, quartiles, max as timestamps."""
+    """A9 for time columns: count, mean, min, quartiles, max as UTC wall clocks."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     times = [f.name for f in fields if isinstance(f.dataType, _TIME)]
+    if not times:
+        raise ValueError("no time column to describe")
     parts = []
     for c in times:
-        micros = F.unix_micros(F.col(f"`{c}`").cast("timestamp"))
+        micros = F.timestamp_diff("MICROSECOND", epoch(), utc_wall_clock(F.col(f"`{c}`"), df.schema[c].dataType))
         stats = _exact_quantiles(df, c, micros)
 
         def back(x: str):
-            return F.timestamp_micros(F.round(F.col(x)).cast("bigint")).cast("timestamp_ntz").alias(x)
+            return from_micros(F.round(F.col(x)).cast("bigint")).alias(x)
 
         parts.append(stats.select("column", "count", *[back(x) for x in ("mean", "min", "p25", "p50", "p75", "max")]))
     out = parts[0]

@@ -86,7 +86,7 @@ def logs_by_session(logs: DataFrame, sessions: DataFrame, parts: DataFrame | Non
     Per session id: log event count (both sides pre-aggregated before the
     join, so a session with a huge log never meets its rows one by one),
     the session title, and its part count when ``parts`` is given.  Sessions
-    known to only one side are kept (full outer join on pre-aggregated keys).
+    known to one side only, ``parts`` included, are kept (full outer join on pre-aggregated keys).
     """
     log_counts = (
         logs.where(F.col("`session.id`").isNotNull())
@@ -96,6 +96,7 @@ def logs_by_session(logs: DataFrame, sessions: DataFrame, parts: DataFrame | Non
     s = sessions.select(F.col("id").alias("session_id"), "title")
     out = s.join(log_counts, "session_id", "full_outer")
     if parts is not None:
-        pc = parts.groupBy("session_id").agg(F.count("part_id").alias("nb_parts"))
-        out = out.join(pc, "session_id", "left")
+        known = parts.where(F.col("session_id").isNotNull())
+        pc = known.groupBy("session_id").agg(F.count("part_id").alias("nb_parts"))
+        out = out.join(pc, "session_id", "full_outer")
     return out

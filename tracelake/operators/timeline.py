@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.functions.scalars import blank_to, json_list, truncate
+from tracelake.functions.scalars import blank_to, json_list, number_text, truncate
 
 # Display limits (characters) and the default number of parts.
 REASONING_CHARS = 2000
@@ -26,12 +26,15 @@ def classify(parts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .when(pt == "step-start", "step-start")
     )
     text = F.coalesce(F.col("text"), F.lit(""))
-    dash = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    cost = F.col("cost").cast("string")
+    if parts.schema["cost"].dataType.typeName() == "double":
+        cost = number_text("cost")
+    dash = lambda c: F.coalesce(c, F.lit("-"))
     body: Column = (
         F.when(pt == "text", text)
         .when(pt == "reasoning", truncate(text, REASONING_CHARS))
         .when(pt == "tool", F.concat(blank_to("tool", "?"), F.lit(" · "), F.coalesce(F.col("tool_status"), F.lit(""))))
-        .when(pt == "step-finish", F.concat(dash("tokens_total"), F.lit(" tokens · "), dash("cost")))
+        .when(pt == "step-finish", F.concat(dash(F.col("tokens_total").cast("string")), F.lit(" tokens · "), dash(cost)))
         .when(pt == "patch", F.coalesce(F.array_join(json_list(F.col("files")), ", "), F.lit("")))
         .when(pt == "step-start", F.lit(""))
     )

@@ -171,6 +171,10 @@ FROM fx_session""",
   CASE WHEN part_type = 'tool' THEN left(coalesce(tool_output, ''), 4000) END AS tool_output
 FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
 WHERE seq <= 200""",
+    "q_timeline_first": _with(FX_SOURCE)
+    + """SELECT session_id, part_id, seq
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
+WHERE seq <= 3""",
     "q_tool_names": _with(FX_SOURCE)
     + "SELECT DISTINCT tool FROM parts WHERE part_type = 'tool' AND tool IS NOT NULL",
     "q_tool_calls": _with(FX_SOURCE)
@@ -180,6 +184,7 @@ FROM parts
 WHERE part_type = 'tool' AND tool IN ('bash', 'edit')
   AND session_id IN (SELECT session_id FROM parts WHERE part_type = 'patch')""",
     "q_files_touched": _with(FX_SOURCE) + "SELECT session_id, title, part_id, time_created, file FROM files",
+    "q_files_total": _with(FX_SOURCE) + "SELECT count(*) AS files, count(DISTINCT file) AS distinct_files FROM files",
     "q_files_per_title": _with(FX_SOURCE)
     + "SELECT title, count(*) AS count FROM files WHERE title IS NOT NULL GROUP BY 1",
     "q_files_per_session": _with(FX_SOURCE)
@@ -202,8 +207,13 @@ FROM parts GROUP BY 1, 2""",
 pc AS (SELECT session_id, count(part_id) AS nb_parts FROM parts GROUP BY 1),
 j AS (SELECT coalesce(s.id, lc.session_id) AS session_id, s.title, lc.log_events
       FROM fx_session s FULL OUTER JOIN lc ON s.id = lc.session_id)
-SELECT j.session_id, j.title, j.log_events, pc.nb_parts FROM j LEFT JOIN pc ON j.session_id = pc.session_id""",
+SELECT coalesce(j.session_id, pc.session_id) AS session_id, j.title, j.log_events, pc.nb_parts
+FROM j FULL OUTER JOIN pc ON j.session_id = pc.session_id""",
     # -------------------------------------------------- sources and sinks
+    "q_inventory": "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS \"table\", 'logs' AS kind, count(*) > 0 AS has_bytes, count(*) AS rows FROM {n}"
+        for n in ("events", "documents", "conversations", "lineitem", "orders", "customer")
+    ),
     "q_log_parse": LOG_LINES_EXPECTED,
     "q_union_by_name": """SELECT ts AS "timestamp", event_type AS level, 's' || CAST(user_id AS VARCHAR) AS session_id,
        CAST(NULL AS VARCHAR) AS cost, 'a' AS file FROM events WHERE event_id % 2 = 0
@@ -234,7 +244,7 @@ FROM events""",
     + """, firsts AS (SELECT load_id, count(*) AS inserts
                 FROM (SELECT part_id, min(load_id) AS load_id FROM loads GROUP BY 1) GROUP BY 1),
 per_load AS (SELECT load_id, count(*) AS rows FROM loads GROUP BY 1)
-SELECT p.load_id, CASE WHEN p.rows - coalesce(f.inserts, 0) = 0 THEN 'append' ELSE 'overwrite' END AS operation,
+SELECT p.load_id, CASE WHEN p.rows - coalesce(f.inserts, 0) = 0 THEN 'append' ELSE 'upsert' END AS operation,
        p.rows, coalesce(f.inserts, 0) AS inserts, p.rows - coalesce(f.inserts, 0) AS updates
 FROM per_load p LEFT JOIN firsts f ON p.load_id = f.load_id""",
     "q_partition_prune": _with(FX_SOURCE)
@@ -256,6 +266,9 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)
     + """SELECT coalesce(level, 'unknown') AS level, count(*) AS count FROM valid GROUP BY 1""",
     "q_lenient_numeric": _with(FX_LOGS)
     + """SELECT cost AS cost_text, TRY_CAST(cost AS DOUBLE) AS cost_value FROM fx_logs""",
+    "q_dst_times": """SELECT event_id, dt, dt AS text_dt, date_trunc('hour', dt) AS hour
+FROM (SELECT event_id, make_timestamp(CAST(CASE WHEN event_id % 2 = 0 THEN 1710054000000 ELSE 1730613600000 END
+             + (event_id * 61 % 720 - 360) * 60000 AS BIGINT) * 1000) AS dt FROM events)""",
     "q_tokens_long": _with(FX_LOGS)
     + """SELECT "session.id" AS session_id, 'tokens.input' AS type,
        sum(coalesce(TRY_CAST("tokens.input" AS DOUBLE), 0)) AS tokens

@@ -10,9 +10,10 @@ function signatures stay.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -87,13 +88,17 @@ def latest(df: DataFrame, key: str | Sequence[str] = "part_id", order: Sequence[
     partial aggregation: each task keeps one row per key before the shuffle,
     so a key with millions of versions never lands whole in one task.
     Versions equal in ``order`` are interchangeable; one of them is kept.
+    Rows with a NULL in the key are versions of nothing: all are kept.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    nameless = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    rows, df = df, df.where(~nameless)
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(f"`{c}`") for c in order]))
-    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best.alias("_tl_row")).select(
+    newest = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best.alias("_tl_row")).select(
         *[F.col(f"`{k}`") for k in keys], *[F.col("_tl_row")[c].alias(c) for c in rest]
-    ).select(*df.columns)
+    )
+    return newest.select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(rows.where(nameless))
 
 
 # ------------------------------------------------------------ X2 / X3
@@ -116,7 +121,9 @@ def upsert(table_dir: str, new_rows: DataFrame, load_id: int) -> str:
 
 
 def read_loads(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read
+    """All loads of a table.  Without a ``schema`` the files' schemas are
+    merged, so a column that only some loads have is read (NULL elsewhere)."""
+    reader = spark.read.option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(
             T.StructType(
@@ -173,13 +180,13 @@ def load_history(spark: SparkSession, table_dir: str, key: str = "part_id") -> D
         F.min("loaded_at").alias("committed_at"), F.count(F.lit(1)).alias("rows")
     )
     firsts = (
-        rows.groupBy(key).agg(F.min(LOAD).alias(LOAD))
+        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(LOAD).alias(LOAD))
         .groupBy(LOAD).agg(F.count(F.lit(1)).alias("inserts"))
     )
     hist = per_load.join(firsts, LOAD, "left").select(
         LOAD, "committed_at", "rows", F.coalesce(F.col("inserts"), F.lit(0).cast("bigint")).alias("inserts")
     ).withColumn("updates", F.col("rows") - F.col("inserts"))
-    op = F.when(F.col("updates") == 0, "append").otherwise("overwrite")
+    op = F.when(F.col("updates") == 0, "append").otherwise("upsert")
     return hist.select(LOAD, "committed_at", op.alias("operation"), "rows", "inserts", "updates").orderBy(LOAD)
 
 
@@ -196,7 +203,7 @@ def compact(spark: SparkSession, table_dir: str, new_dir: str, key: str = "part_
 
 def month_of(ms: Column | str) -> Column:
     """``yyyy-MM`` of an epoch-milliseconds column, in UTC."""
-    return F.date_format(epoch_ms(ms), "yyyy-MM")
+    return F.substring(epoch_ms(ms).cast("string"), 1, 7)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "month", time_col: str = "time_created") -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import fixtures as fx
-from tracelake.functions.scalars import epoch_ms, lenient_double
+from tracelake.functions.scalars import epoch_ms, hour_floor, lenient_double, to_ts
 from tracelake.operators import counts, files, tools
 from tracelake.operators import overview as ov
 from tracelake.operators import parts as parts_ops
@@ -52,6 +52,22 @@ def q_lenient_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return logs.select(F.col("cost").alias("cost_text"), lenient_double("cost").alias("cost_value"))
 
 
+def q_dst_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Epoch times, zoned text and hours around both changes of
+    summer time, in a session whose zone has it."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        eid = F.col("event_id")
+        change = F.when(eid % 2 == 0, 1710054000000).otherwise(1730613600000)
+        ms = (change + (eid * 61 % 720 - 360) * 60000).cast("bigint")
+        out = fx.table(spark, sf, "events").select("event_id", epoch_ms(ms).alias("dt"))
+        out = out.withColumn("text_dt", to_ts(F.concat(F.replace(F.col("dt").cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))))
+        return out.withColumn("hour", hour_floor("text_dt"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def q_tokens_long(spark: SparkSession, sf: str) -> DataFrame:
     """Token sums per session, melted to long form."""
     return ov.tokens_long(ov.tokens_per_session(_valid(spark, sf)))
@@ -138,6 +154,11 @@ def q_timeline(spark: SparkSession, sf: str) -> DataFrame:
     return tl.timelines(_parts(spark, sf), n=tl.DEFAULT_N)
 
 
+def q_timeline_first(spark: SparkSession, sf: str) -> DataFrame:
+    """O2: the first three parts of every session (the limit binds)."""
+    return tl.timelines(_parts(spark, sf), n=3).select("session_id", "part_id", "seq")
+
+
 def q_tool_names(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct tool names."""
     return tools.tool_names(_parts(spark, sf))
@@ -155,6 +176,11 @@ def q_files_touched(spark: SparkSession, sf: str) -> DataFrame:
     return files.files_touched(_parts(spark, sf))
 
 
+def q_files_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The number of files touched."""
+    return files.files_total(files.files_touched(_parts(spark, sf)))
+
+
 def q_files_per_title(spark: SparkSession, sf: str) -> DataFrame:
     """Modified files per session title."""
     return files.files_per_title(files.files_touched(_parts(spark, sf)))
@@ -228,8 +254,17 @@ def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """S3: the Parquet file catalogue of a folder."""
-    return tbl_src.list_parquet(spark, sf).select("key", "length", "kind")
+    """S3: the Parquet file catalogue of a folder, with the rows that the
+    files of each table hold."""
+    found = tbl_src.list_parquet(spark, sf)
+    name = F.regexp_extract("key", r"^([a-z]+)\.parquet(/|$)", 1)
+    listed = found.groupBy(name.alias("table"), "kind").agg((F.sum("length") > 0).alias("has_bytes"))
+    names = ("events", "documents", "conversations", "lineitem", "orders", "customer")
+    rows = None
+    for n in names:
+        one = fx.table(spark, sf, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+        rows = one if rows is None else rows.unionByName(one)
+    return listed.join(rows, "table")
 
 
 def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
