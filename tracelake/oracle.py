@@ -222,6 +222,7 @@ SELECT ts, NULL, 's' || CAST(user_id AS VARCHAR), CAST(value AS VARCHAR), 'b' FR
     "q_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_source_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_session_export": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
+    "q_session_export_one": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts WHERE session_id = 's1'",
     "q_ctas_idempotent": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     # ---------------------------------------------------------------- SQL
     "q_sql_explorer": _with(FX_SOURCE) + "SELECT part_type, count(*) AS n FROM parts GROUP BY part_type",
@@ -251,6 +252,9 @@ FROM per_load p LEFT JOIN firsts f ON p.load_id = f.load_id""",
     + """SELECT strftime(make_timestamp(time_created * 1000), '%Y-%m') AS month, count(*) AS parts,
        count(DISTINCT session_id) AS sessions
 FROM parts GROUP BY 1""",
+    "q_partition_month": _with(FX_SOURCE)
+    + """SELECT part_id, session_id, '2024-02' AS month FROM parts
+WHERE strftime(make_timestamp(time_created * 1000), '%Y-%m') = '2024-02'""",
     "q_schema_evolution": _with(FX_SOURCE)
     + f"SELECT {_part_cols(files='CASE WHEN turn % 2 = 0 THEN NULL ELSE files END')} FROM parts",
     # --------------------------------------------------------- streaming

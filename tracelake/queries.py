@@ -288,6 +288,18 @@ def q_session_export(spark: SparkSession, sf: str) -> DataFrame:
     return tbl_src.read_parts(spark, path, merge=False)  # written here with one schema
 
 
+def q_session_export_one(spark: SparkSession, sf: str) -> DataFrame:
+    """One session's parts in their own location; a session without
+    parts is an error."""
+    parts = _parts(spark, sf)
+    path = sinks.export_session(parts, "s1", scratch_path(spark, "one-session"))
+    try:
+        sinks.export_session(parts, "s-empty-0", scratch_path(spark, "no-session"))
+    except sinks.EmptyExport:
+        return tbl_src.read_parts(spark, path, merge=False)
+    raise AssertionError("the export of a session without parts did not fail")
+
+
 def q_ctas_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Create-once table, second run a no-op."""
     db = "tl_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
@@ -399,6 +411,13 @@ def q_partition_prune(spark: SparkSession, sf: str) -> DataFrame:
     return back.groupBy("month").agg(F.count(F.lit(1)).alias("parts"), F.count_distinct("session_id").alias("sessions"))
 
 
+def q_partition_month(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts of one month, read from that month's directory alone."""
+    path = tables.write_partitioned(_parts(spark, sf), scratch_path(spark, "by-month"), by="month")
+    one = spark.read.parquet(path).where(F.col("month") == "2024-02")
+    return one.select("part_id", "session_id", "month")
+
+
 def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     """Old and new files read with today's schema."""
     root = scratch_path(spark, "evolved")
