@@ -34,3 +34,14 @@ def test_full_stores_are_emptied(monkeypatch):
         text = f"alpha beta{'x' * n}. gamma{'y' * n}, delta epsilon zeta{n} eta!"
         assert encoder.encode(text.encode()).tolist() == whole(text)
     assert len(encoder.known) <= 7 and len(encoder.words) <= 7
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("HJTWYAehjtwy.'\u0331\u030c\u0308\u030a\u0323\u00c9\u00e9 "), max_size=12))
+def test_capitals_before_combining_marks(text):
+    assert ENCODER.encode(text.encode()).tolist() == whole(text)
+
+
+def test_marks_that_compose_only_with_small_letters():
+    for stretch in ("H\u0331ava", "J\u030c", "T\u0308", "W\u030a", "xH\u0331", "Y\u030a.", "\u00c9T\u0308"):
+        assert ENCODER.encode(f"a {stretch} Bc {stretch.lower()}".encode()).tolist() == whole(f"a {stretch} Bc {stretch.lower()}")

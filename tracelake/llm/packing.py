@@ -44,6 +44,9 @@ SPECIAL = b"<|"  # special tokens start so
 # Letters (and all of non-ASCII), then ASCII punctuation but the apostrophe, at
 # which words like "it's" are split by other rules.
 WORD = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+# A capital before a letter outside ASCII: a combining mark composes with some
+# capitals and not with their small letters, or the other way round.
+CAPITAL = re.compile(rb"[A-Z][\x80-\xff]")
 BROADCAST_STEPS = 100_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -54,9 +57,10 @@ class Encoder:
     """Ids of whole texts.
 
     This vocabulary lower-cases, splits at white space and ends each word with
-    an id whose token ends in ``WORD_END``.  So texts are lower-cased and cut at
-    ASCII white space, and a stretch is encoded once, as long as the bounded
-    stores hold it.  Most stretches are one word of plain letters and a tail
+    an id whose token ends in ``WORD_END``.  So texts are cut at ASCII white
+    space and lower-cased, except the stretches with a capital that normalising
+    may compose with a mark first, and a stretch is encoded once, as long as the
+    bounded stores hold it.  Most stretches are one word of plain letters and a tail
     of ASCII punctuation; such words are encoded many in one call, without the
     steps that change nothing in them, and told apart by their last ids.
     Other stretches are encoded one by one, and texts that may hold a special
@@ -92,7 +96,10 @@ class Encoder:
         if not self.by_words or SPECIAL in text:
             ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
             return np.array([*ids, END_ID], np.uint32)
-        own = text.lower().split()
+        if CAPITAL.search(text):
+            own = [x if CAPITAL.search(x) else x.lower() for x in text.split()]
+        else:
+            own = text.lower().split()
         known = self.known
         new = list(set(own).difference(known))
         if new:
@@ -103,7 +110,7 @@ class Encoder:
         return np.frombuffer(b"".join(map(known.__getitem__, own)) + END, "<u4")
 
     def learn(self, stretches: list[bytes]) -> None:
-        """Puts the ids of lower-cased stretches into the store."""
+        """Puts the ids of stretches, lower-cased or as they stand, into the store."""
         words: dict[bytes, tuple[str, bytes]] = {}
         rest = set()
         for stretch in stretches:
