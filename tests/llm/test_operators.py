@@ -319,3 +319,34 @@ def test_licenses(spark, docs):
     got = _by_id(licenses.digest(licenses.scan(rows, model)))
     assert {i: r["places"] for i, r in got.items()} == {1000: "1:mit", 1001: "0:apache", 1004: "0:proprietary", 1005: ""}
     assert licenses.scan(rows.limit(0), model).count() == 0
+
+
+@pytest.fixture(scope="module")
+def license_model(docs):
+    return licenses.fit(docs.select("doc_id", "text"), sample=200)
+
+
+WRAPPED = {
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n"
+    "# it under the terms of the GNU General Public License as published by\n"
+    "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "lgpl": " * This library is free software; you can redistribute it and/or\n"
+    " * modify it under the terms of the GNU Lesser General Public\n"
+    " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.",
+    "bsd": "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions are met:",
+}
+
+
+def test_wrapped_licenses(spark, license_model):
+    texts = [f"plain words\nand more\n\n{t}\n\nimport os" for t in WRAPPED.values()]
+    texts += ["\n".join(re.sub("[#*]", "", t).split()) for t in WRAPPED.values()]  # a word a line
+    texts += [f"{t}\n\nplain\n\n{t}" for t in WRAPPED.values()]
+    texts += ["\n\n".join(WRAPPED["bsd"].split("\n"))]  # a blank line ends a paragraph
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = _by_id(licenses.digest(licenses.scan(rows, license_model)))
+    assert [got[i]["places"] for i in range(3)] == [f"3:{f}" for f in WRAPPED]
+    assert [got[i]["families"] for i in range(3, 6)] == list(WRAPPED)
+    again = [t.count("\n") + 4 for t in WRAPPED.values()]
+    assert [got[i]["places"] for i in range(6, 9)] == [f"0:{f},{n}:{f}" for f, n in zip(WRAPPED, again, strict=True)]
+    assert got[9]["places"] == ""
