@@ -350,3 +350,14 @@ def test_wrapped_licenses(spark, license_model):
     again = [t.count("\n") + 4 for t in WRAPPED.values()]
     assert [got[i]["places"] for i in range(6, 9)] == [f"0:{f},{n}:{f}" for f, n in zip(WRAPPED, again, strict=True)]
     assert got[9]["places"] == ""
+
+
+def test_licenses_judges_each_row_by_itself(spark, license_model):
+    mit, apache, plain = "Released under the MIT License.", "x y\nLicensed under the Apache License, Version 2.0.", "a few plain words"
+    rows = [(None, mit), (None, mit), (None, apache), (None, plain), (5, mit), (5, mit), (5, apache), (5, plain), (6, mit), (7, None), (8, "")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_model).collect()
+    alone = {t: licenses.scan(spark.createDataFrame([(1, t)], "doc_id long, text string"), license_model).first() for t in (mit, apache, plain)}
+    want = Counter((i, *map(str, alone[t][1:])) for i, t in rows if t)
+    assert Counter((r["doc_id"], *map(str, r[1:])) for r in got) == want
+    assert [x["family"] for x in alone[mit]["licenses"]] == ["mit"] and [x["line"] for x in alone[apache]["licenses"]] == [1]
+    assert alone[plain]["licenses"] == [] and alone[mit]["n_predicted"] == 1
