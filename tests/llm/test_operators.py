@@ -352,6 +352,41 @@ def test_wrapped_licenses(spark, license_model):
     assert got[9]["places"] == ""
 
 
+def _wrap(text, width, end="\n"):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def test_secrets_over_line_ends():
+    import base64
+    import json
+
+    number = b"\x02\x81\x81" + bytes(range(1, 130))
+    body = b"\x02\x01\x00" + 8 * number
+    data = b"\x30\x82" + len(body).to_bytes(2, "big") + body
+    key = base64.b64encode(data).decode()
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b""))
+    ssh += (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (b"p" * 90, b"s" * 200))
+    ssh = base64.b64encode(ssh).decode()
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{_wrap(key, 64)}\n-----END RSA PRIVATE KEY-----\n"
+
+    def found(text):
+        return [(secrets.KINDS[k], text[a:b]) for a, k, b in secrets.confirmed_spans(text)]
+
+    for text in (json.dumps({"key": pem}), json.dumps(json.dumps({"key": pem.replace("\n", "\r\n")})), json.dumps(pem).replace("/", "\\/")):
+        [(kind, span)] = found(text)
+        assert kind == "der_key" and span.startswith("-----BEGIN") and span.endswith("-----")
+    twice = base64.b64encode(key.encode()).decode()
+    for kind, body in (("der_key", key), ("der_key", data.hex()), ("der_key", data.hex().upper()), ("openssh_key", ssh), ("der_key", twice)):
+        for width in (16, 64, 76):
+            for end in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n", '",\n  "', "\n# "):
+                wrapped = _wrap(body, width, end)
+                for text in (wrapped, f"the key:\n{wrapped}\nend of it", f'{{"k": "{wrapped}"}}', f"K={wrapped}\\n", f"a\\n{wrapped}\\nend"):
+                    assert found(text) == [(kind, wrapped)], (width, end, text[:40])
+    assert found(_wrap(key[:-80], 64)) == [] and found(_wrap(key[4:], 64)) == []
+    assert found(f"a\\n{key}\\nb") == [("der_key", key)]
+    assert found(f"{_wrap(key, 64)}\n{_wrap(ssh, 64)}")[0] == ("der_key", _wrap(key, 64))
+
+
 def test_licenses_judges_each_row_by_itself(spark, license_model):
     mit, apache, plain = "Released under the MIT License.", "x y\nLicensed under the Apache License, Version 2.0.", "a few plain words"
     rows = [(None, mit), (None, mit), (None, apache), (None, plain), (5, mit), (5, mit), (5, apache), (5, plain), (6, mit), (7, None), (8, "")]

@@ -5,7 +5,8 @@ alone cannot tell from chance: base64 or hex runs are decoded, and reported
 only if the bytes parse as a key (DER with consistent nested lengths and the
 shape of a private key, or the OpenSSH container with its counted fields), and
 dotted tokens only if their first part decodes to a JSON header that names an
-algorithm and the second to a JSON object.
+algorithm and the second to a JSON object.  Encoded runs broken into lines, by
+line ends or by their escapes (a backslash and n or r), are decoded joined.
 
 Kinds: ``assign, access, hex, jwt, der_key, openssh_key``.  Spans count code
 points, end exclusive.
@@ -43,7 +44,15 @@ ENCODED_MIN = 40
 HEX_ANY = re.compile(r"[0-9A-Fa-f]+")
 # "{" in base64 is "e" and one of the last sixteen letters of the alphabet.
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[w-z0-9_-][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])+)-----END \1-----")
+ESCAPE = re.compile(r"\\+[nrt]|\\+(?=/)|\s+")
+LINE_MIN = 8  # characters of a first line, from which a start of a key is told
+RUN = re.compile(r"[A-Za-z0-9+/_-]++(?:={0,2})")
+# A line end between two runs, with what else stands at its sides (indents, quotes, commas, comment marks).
+_SIDE = r"(?:[^\w+/=\r\n\\-]|\\+t)*+"
+JOIN = re.compile(rf"{_SIDE}(?:(?:\\+[nr]|[\r\n]){_SIDE})++(?=[A-Za-z0-9+/_-])")
+FIRST = re.compile(r"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\)(?![nrt])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{%d,}+" % LINE_MIN)
+OPENSSH = b"openssh-key-v1\0"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -123,10 +132,9 @@ def is_der_key(data: bytes) -> bool:
 
 def is_openssh_key(data: bytes) -> bool:
     """``openssh-key-v1``: counted cipher, kdf, options, keys, private part."""
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    if not data.startswith(OPENSSH):
         return False
-    at = len(magic)
+    at = len(OPENSSH)
 
     def field() -> bytes | None:
         nonlocal at
@@ -169,14 +177,76 @@ def key_kind(run: str) -> int | None:
     return None
 
 
+def key_starts(run: str) -> list[tuple[int, int, int] | None]:
+    """What a run whose first characters are given may begin: for a DER key
+    (characters, the bytes they stand for, bytes in all), None for what only
+    decoding the whole can tell; nothing if it begins no key."""
+    out = []
+    for per, n, data in ((2, 1, decoded_hex(run)), (4, 3, decoded_base64(run))):
+        if data is None:
+            continue
+        if len(data) < 6:
+            out.append(None)
+        elif data[0] == 0x30:
+            size = data[1] & 0x7F if data[1] & 0x80 else 0
+            if size <= 4:
+                total = int.from_bytes(data[2 : 2 + size], "big") if size else data[1]
+                out.append((per, n, 2 + size + total))
+        elif data[: len(OPENSSH)] == OPENSSH[: len(data)]:
+            out.append(None)
+        elif re.fullmatch(rb"[A-Za-z0-9+/_-]+={0,2}", data) and key_starts(data.decode()):
+            out.append(None)
+    return out
+
+
+def decoded_hex(run: str) -> bytes | None:
+    return bytes.fromhex(run[: len(run) // 2 * 2]) if HEX_ANY.fullmatch(run) else None
+
+
+def decoded_base64(run: str) -> bytes | None:
+    run = run.rstrip("=")
+    return base64.b64decode(run[: len(run) // 4 * 4].replace("-", "+").replace("_", "/"))
+
+
+def wrapped_key(text: str, start: int) -> tuple[int, int] | None:
+    """``(kind number, end)`` of the key that starts at ``start`` and goes on
+    over line ends."""
+    run = RUN.match(text, start)
+    starts = key_starts(run[0][:64])
+    if not starts:
+        return None
+    lines, length = [], 0
+    while run:
+        lines.append(run[0])
+        end, length = run.end(), length + len(run[0].rstrip("="))
+        if any(x is None or length * x[1] // x[0] == x[2] for x in starts) and length >= ENCODED_MIN:
+            kind = key_kind("".join(lines))
+            if kind is not None:
+                return kind, end
+        if run[0].endswith("="):
+            break
+        join = JOIN.match(text, end)
+        run = join and RUN.match(text, join.end())
+    return None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of what decodes and parses."""
     out = []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
-            kind = key_kind("".join(m[2].split()))
+            kind = key_kind(ESCAPE.sub("", m[2]))
             if kind is not None:
                 out.append((m.start(), kind, m.end()))
+    seen = [(a, b) for a, _, b in out]
+    at = 0
+    for m in FIRST.finditer(text):
+        escaped = text[m.start() - 1 : m.start()] in ("n", "r", "t") and text[m.start() - 2 : m.start() - 1] == "\\"
+        if m.start() >= at and (escaped or JOIN.match(text, RUN.match(text, m.start()).end())):
+            found = None if any(a <= m.start() < b for a, b in seen) else wrapped_key(text, m.start())
+            if found:
+                kind, at = found
+                out.append((m.start(), kind, at))
     if any(len(w) >= LONG_RUN for w in text.split()):
         seen = [(a, b) for a, _, b in out]
         for m in ENCODED.finditer(text):
