@@ -396,3 +396,16 @@ def test_licenses_judges_each_row_by_itself(spark, license_model):
     assert Counter((r["doc_id"], *map(str, r[1:])) for r in got) == want
     assert [x["family"] for x in alone[mit]["licenses"]] == ["mit"] and [x["line"] for x in alone[apache]["licenses"]] == [1]
     assert alone[plain]["licenses"] == [] and alone[mit]["n_predicted"] == 1
+
+
+def test_line_dedup_of_rows_that_share_an_id(spark):
+    rows = [(None, f"same head\nunique line {i}\nlast one {i}") for i in range(4)] + [(None, "same head\nsame head"), (None, None), (None, None)]
+    rows += [(3, "alone three\nsame head"), (3, "other three\nown text"), (4, "twice here"), (4, "twice here")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    kept = {r["n"]: r["text"] for r in linededup.drop_lines(docs).collect()}
+    assert kept[5] is None and kept[6] is None and kept[7] == "alone three" and kept[8] == rows[8][1]
+    assert sorted(set(kept) & {9, 10}) in ([9], [10])
+    assert all(f"unique line {i}\nlast one {i}" in kept[i] for i in range(4))
+    assert sum((t or "").count("same head") for t in kept.values()) == 1
+    got = linededup.dropped_lines(docs).collect()
+    assert len(got) == 9 and sum(r["n_lines"] for r in got) == 20 and sum(r["n_dropped"] for r in got) == 7

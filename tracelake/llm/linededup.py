@@ -3,7 +3,7 @@
 A line is its words: lower case, split at white space.  Two lines are alike if
 they are equal, or if both have at least ``MIN_WORDS`` words and one word
 inserted, deleted or replaced makes them equal (edit distance in words).  A
-line is dropped if a line alike it comes earlier, by (doc_id, line number).
+line is dropped if a line alike it comes earlier, by (doc_id, row, line number).
 
 1. Equal lines are one by two 64-bit hashes, with their first position.
 2. One edit leaves the first or the last half of the shorter line's words as
@@ -21,7 +21,8 @@ join is between two written or scanned tables, which Spark splits when skewed.
 
 Defined results: blank lines are no lines (they stay); a null or empty text has
 none; ties (equal lines) go to the smaller position; rows that share a doc_id
-are one document, whose lines share positions; a null doc_id comes before all
+are documents of their own, in the order of their texts' hashes, and of rows
+with the same text all but one lose their lines; a null doc_id comes before all
 others; an empty table gives an empty result; other columns are ignored by
 ``dropped_lines`` and kept by ``drop_lines``.
 """
@@ -31,20 +32,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, id_text
+from tracelake.llm.common import BROADCAST_IDS, cut, id_text
 
 MIN_WORDS = 8  # of both lines, for an edit to count
 BLOCK = 256  # words whose running hashes are built together
 _FIRST = -(1 << 63)
+_ROW = 31  # bits of a line number, and of a row number
+
+
+def row_numbers(texts: DataFrame) -> DataFrame | None:
+    """``_id, _h1, _h2, _n``: a number for each distinct text of the ids that
+    several rows share; None if there is no such id."""
+    ids = cut(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    n = ids.count()
+    if not n:
+        return None
+    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
+    own = texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), *_text_hashes("text"))
+    own = cut(own.distinct().orderBy("_id", "_h1", "_h2"))
+    # the checkpoint's partitions are fixed, and so are the numbers within them
+    own = own.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_n"))
+    counts = sorted(own.groupBy("_p").count().collect())
+    before, starts = 0, [0] * (counts[-1]["_p"] + 1)
+    for r in counts:
+        starts[r["_p"]] = before
+        before += r["count"]
+    return cut(own.withColumn("_n", F.col("_n") + F.element_at(F.lit(starts).cast("array<long>"), F.col("_p") + 1)).drop("_p"))
+
+
+def _text_hashes(text: str | Column) -> list[Column]:
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+
+
+def numbered(docs: DataFrame, numbers: DataFrame | None, id_col: Column, text: Column) -> DataFrame:
+    """Adds ``_row``, the number of a row among those that share its id, or 0."""
+    if numbers is None:
+        return docs.withColumn("_row", F.lit(0).cast("long"))
+    numbers = F.broadcast(numbers) if numbers.count() <= BROADCAST_IDS else numbers
+    h1, h2 = _text_hashes(text)
+    at = (F.coalesce(id_col.cast("long"), F.lit(_FIRST)) == numbers["_id"]) & (h1 == numbers["_h1"]) & (h2 == numbers["_h2"])
+    return docs.join(numbers, at, "left").select(*[docs[c] for c in docs.columns], F.coalesce("_n", F.lit(0).cast("long")).alias("_row"))
 
 
 def lines(docs: DataFrame, least: int) -> DataFrame:
-    """``doc_id`` (null: smallest long), ``line`` (number), ``m`` (words),
-    hashes and halves of every line with a word, from ``doc_id, text``; no text."""
-    own = docs.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    own = own.select("doc_id", "line", _words("t").alias("words"))
+    """``doc_id, _row, line`` (number), ``m`` (words), hashes and halves of
+    every line with a word, from ``doc_id, _row, text``; no text."""
+    own = docs.select("doc_id", "_row", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    own = own.select("doc_id", "_row", "line", _words("t").alias("words"))
     size = F.size("words")
-    own = own.select("doc_id", "line", size.alias("m"), *_hashes(), *halves(size, F.col("words"), least))
+    own = own.select("doc_id", "_row", "line", size.alias("m"), *_hashes(), *halves(size, F.col("words"), least))
     return cut(own).where("m > 0")
 
 
@@ -54,7 +90,8 @@ def _words(line: str) -> Column:
 
 def _pos() -> Column:
     """Position of a line as one ordered number."""
-    return (F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line")).alias("pos")
+    rest = F.shiftleft("_row", _ROW) + F.col("line")
+    return (F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 2 * _ROW).cast("decimal(19,0)") + rest.cast("decimal(19,0)")).alias("pos")
 
 
 def _hashes() -> list[Column]:
@@ -160,24 +197,27 @@ def within_one_edit(a: str, b: str) -> Column:
     return (F.abs(F.size(x) - F.size(y)) <= 1) & (kept >= longest - 1)
 
 
-def alike_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pos`` of the distinct lines that have an earlier one within one edit."""
-    of = F.floor(F.col("pos") / F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
-    company = with_company(distinct).withColumn("of", of)
-    line = (F.col("pos") - F.col("of").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)")).cast("int")
-    company = company.select("of", "p", "s", line.alias("line"))
-    wanted = company.groupBy("of").agg(
+def alike_lines(distinct: DataFrame, docs: DataFrame, copies: bool) -> DataFrame:
+    """``pos`` of the distinct lines that have an earlier one within one edit;
+    ``copies``: whether rows may be equal."""
+    ids = F.lit(1 << 2 * _ROW).cast("decimal(19,0)")
+    company = with_company(distinct).withColumn("of", F.floor(F.col("pos") / ids).cast("long"))
+    rest = (F.col("pos") - F.col("of").cast("decimal(19,0)") * ids).cast("long")
+    line = rest.bitwiseAND((1 << _ROW) - 1).cast("int")
+    company = company.select("of", F.shiftright(rest, _ROW).alias("of_row"), "p", "s", line.alias("line"))
+    wanted = company.groupBy("of", "of_row").agg(
         F.collect_set("line").alias("wanted"),
         F.collect_set(F.when(F.col("p"), F.col("line"))).alias("ps"),
         F.collect_set(F.when(F.col("s"), F.col("line"))).alias("ss"),
     )
-    here = docs.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("of"))
+    here = docs.join(wanted, (F.col("doc_id") == F.col("of")) & (F.col("_row") == F.col("of_row")))
     each = F.transform(F.split("text", "\n"), lambda t, i: F.struct(t.alias("t"), i.alias("line")))
-    own = here.select("doc_id", "ps", "ss", F.explode(F.filter(each, lambda x: F.array_contains("wanted", x["line"]))).alias("x"))
-    own = own.select("doc_id", "ps", "ss", "x.line", _words("x.t").alias("words"))
+    own = here.select("doc_id", "_row", "ps", "ss", F.explode(F.filter(each, lambda x: F.array_contains("wanted", x["line"]))).alias("x"))
+    own = own.select("doc_id", "_row", "ps", "ss", "x.line", _words("x.t").alias("words"))
     flag = [F.array_contains(c, F.col("line")).alias(c[0]) for c in ("ps", "ss")]
-    own = cut(own.select(_pos(), *flag, "words"))
-    keys = cut(variants(own.where(F.size("words") > 0)))  # rows may share a doc_id: the other's line may be blank
+    own = own.select(_pos(), *flag, "words")
+    own = cut(own.dropDuplicates(["pos"]) if copies else own)  # equal rows share positions
+    keys = cut(variants(own))
     first = keys.groupBy("key").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).where("first < last")
     pairs = cut(keys.join(first, "key").where("pos > first").select("pos", "first").distinct())
     one = own.select("pos", F.col("words").alias("w1"))
@@ -185,33 +225,74 @@ def alike_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(one, "pos").join(two, "first").where(within_one_edit("w1", "w2")).select("pos").distinct()
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
-    """Per document with a line: ``doc_id, n_lines, n_dropped, dropped`` (line
-    numbers from 0, ascending)."""
-    texts = id_text(docs, id_col, text_col)
+def _found(texts: DataFrame, numbers: DataFrame | None, least: int) -> DataFrame:
+    """``doc_id, _row, copies`` (equal rows), ``all`` lines with a word and
+    ``dropped`` ones of the first copy (numbers from 0, ascending)."""
+    texts = numbered(texts, numbers, texts["doc_id"], texts["text"])
     own = lines(texts, least)
     distinct = cut(distinct_lines(own))
-    alike = cut(alike_lines(distinct, texts))
+    alike = cut(alike_lines(distinct, texts, numbers is not None))
     known = distinct.select("k1", "k2", "n", F.col("pos").alias("first"))
     known = known.join(alike.select(F.col("pos").alias("first"), F.lit(True).alias("alike")), "first", "left")
     known = cut(known.where("n > 1 or alike").select("k1", "k2", "first", "alike"))
-    each = own.select("doc_id", "line", _pos(), "k1", "k2").join(known, ["k1", "k2"], "left")
+    each = own.select("doc_id", "_row", "line", _pos(), "k1", "k2").join(known, ["k1", "k2"], "left")
     gone = F.col("first").isNotNull() & ((F.col("pos") > F.col("first")) | F.coalesce("alike", F.lit(False)))
-    each = each.select("doc_id", "line", F.when(gone, F.col("line")).alias("gone"))
-    found = each.groupBy("doc_id").agg(F.count_distinct("line").alias("n_lines"), F.array_sort(F.collect_set("gone")).alias("dropped"))
+    each = each.select("doc_id", "_row", "line", F.when(gone, F.col("line")).alias("gone"))
+    found = each.groupBy("doc_id", "_row").agg(
+        F.count("line").alias("n"), F.array_sort(F.collect_set("line")).alias("all"), F.array_sort(F.collect_set("gone")).alias("dropped")
+    )
+    return found.withColumn("copies", F.expr("n div size(all)"))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return id_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc_id"), "text")
+
+
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
+    """Per row with a line: ``doc_id, n_lines, n_dropped, dropped`` (line
+    numbers from 0, ascending)."""
+    texts = _texts(docs, id_col, text_col)
+    found = _found(texts, row_numbers(texts), least)
+    found = found.select("doc_id", "all", "dropped", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    found = found.withColumn("dropped", F.when(F.col("copy") == 1, F.col("dropped")).otherwise(F.col("all")))
     return found.select(
-        F.nullif("doc_id", F.lit(_FIRST)).alias("doc_id"), "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped"
+        F.nullif("doc_id", F.lit(_FIRST)).alias("doc_id"), F.size("all").cast("long").alias("n_lines"),
+        F.size("dropped").cast("long").alias("n_dropped"), "dropped",
     )
 
 
-def drop_lines(docs: DataFrame, **options) -> DataFrame:
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, without the dropped lines;
     documents that had words and have none left go."""
-    found = dropped_lines(docs, **options).where("n_dropped > 0")
+    texts = _texts(docs, id_col, text_col)
+    numbers = row_numbers(texts)
+    found = _found(texts, numbers, least).where(F.size("dropped") > 0)
     found = found.select(
-        F.col("doc_id").alias("_of"), (F.col("n_lines") == F.col("n_dropped")).alias("_all"), F.col("dropped").alias("_dropped")
+        F.col("doc_id").alias("_of"), F.col("_row").alias("_of_row"),
+        (F.size("all") == F.size("dropped")).alias("_all"), F.col("dropped").alias("_dropped"),
     )
-    own = docs.join(found, docs["doc_id"].eqNullSafe(found["_of"]), "left").where("not coalesce(_all, false)")
-    kept = F.filter(F.split(docs["text"], "\n"), lambda t, i: ~F.array_contains("_dropped", i))
-    text = F.when(F.col("_dropped").isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
-    return own.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    own = numbered(docs, numbers, docs[id_col], text)
+    if numbers is not None:
+        own = _one_of_copies(own, id_col, text_col)
+    at = (F.coalesce(own[id_col].cast("long"), F.lit(_FIRST)) == found["_of"]) & (own["_row"] == found["_of_row"])
+    own = own.join(found, at, "left").where("not coalesce(_all, false)")
+    kept = F.filter(F.split(F.col(text_col), "\n"), lambda t, i: ~F.array_contains("_dropped", i))
+    text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    return own.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+
+
+def _one_of_copies(own: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``own`` with one of the rows that share an id and a text with a word: the
+    others' lines all repeat its lines.  Combined before the shuffle."""
+    key = [F.col(id_col).alias("_k"), F.col("_row").alias("_r"), *_text_hashes(text_col)]
+    wordless = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^ \t\x0b\f\r\n]")
+    copies = own.where(~wordless).groupBy(*key).count().where("count > 1")
+    copies = cut(copies.drop("count"))
+    if copies.isEmpty():
+        return own
+    same = F.col(id_col).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r"))
+    same = same & (F.xxhash64(text_col) == F.col("_h1")) & (F.xxhash64(F.lit(1), text_col) == F.col("_h2"))
+    row = F.struct(*own.columns)
+    kept = own.join(copies, same, "left_semi").groupBy(*key).agg(F.min_by(row, F.to_json(row)).alias("x")).select("x.*")
+    return own.join(copies, same, "left_anti").unionByName(kept)
