@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tracelake.llm import decontam, licenses, linededup, neardup, packing, quality, repeats, secrets, sharding, toxicity
+from tracelake.llm import (
+    decontam,
+    licenses,
+    linededup,
+    neardup,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    toxicity,
+    whitening,
+    wordpieces,
+)
 from tracelake.llm.common import table
 
 
@@ -70,6 +83,19 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings projected on their 32 leading components, whitened."""
+    vectors = table(spark, sf, "embeddings")
+    model = whitening.fit(vectors)
+    whitened = whitening.whiten(vectors, model)
+    return whitening.digest(whitened, model, whitening.identity_error(whitened, model))
+
+
+def op13_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every whole text, and what they decode to."""
+    return wordpieces.digest(wordpieces.decode(wordpieces.encode(table(spark, sf, "documents"))))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -82,6 +108,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neardup": op8_neardup,
         "op9_packing": op9_packing,
         "op10_quality": op10_quality,
+        "op11_whitening": op11_whitening,
+        "op13_sentencepiece": op13_sentencepiece,
         "pipeline": corpus_pipeline.run,
     }
 
