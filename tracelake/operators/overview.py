@@ -82,14 +82,14 @@ def cumulative_cost(
 
     Costs are parsed leniently and summed as exact decimals; rows without a
     time or cost are dropped.  The running sum is computed bucket by bucket
-    (see ``plans.ordering``), never in one task.
+    (see ``plans.ordering``), never in one task; rows equal in both are one
+    weighted row on the way.
     """
     base = df.select(
         F.col(f"`{ts}`").alias("timestamp"),
         typed_decimal(F.col(f"`{cost}`"), df.schema[cost].dataType).alias("cost"),
-        row_hash(df).alias("_tl_row"),  # ties on (time, cost) spread by the rest of the row
     ).na.drop(subset=["timestamp", "cost"])
-    return running_total(base, ["timestamp", "cost"], "cost", out, tiebreak=F.col("_tl_row")).drop("_tl_row")
+    return running_total(base, ["timestamp", "cost"], "cost", out)
 
 
 def load_metrics(logs: DataFrame, filename: str = "filename") -> DataFrame:

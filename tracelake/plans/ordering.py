@@ -1,28 +1,31 @@
-"""Running totals and global positions without a single-task window.
-
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
-The pattern below keeps the work spread out:
-
-1. tag each row with a tiebreaker: a hash of the whole row.  It depends on
-   the row's content only, never on its position, so a task retried after a
-   lost executor sends every row to the same bucket again.  Rows equal in the
-   order keys are interchangeable, so any consistent order among them is
-   right; rows equal in *every* column are indistinguishable anyway;
-2. ``repartitionByRange`` on (order keys, tiebreaker): rows that tie on the
-   order keys but differ elsewhere spread over many buckets, so even a key
-   holding a third of all rows is split;
+"""Running totals and positions, global or per group, without a single-task
+window.
+
+``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task, and
+with one it moves every group into one task.  The pattern below keeps the work
+spread out:
+
+1. equal rows become one row with their number as a weight (a map-side combined
+   aggregate): a row that a third of the table repeats leaves each task once;
+2. ``repartitionByRange`` on (group, order keys, a hash of the row): rows that tie
+   on the order keys but differ elsewhere spread over many buckets, so a key, or
+   a group, that holds a third of all rows is split.  The hash depends on the
+   row's content only, never on its position, so a task retried after a lost
+   executor sends every row to the same bucket again;
 3. materialise the bucketed rows once with ``checkpoint()`` in the shared
-   checkpoint folder.  Both consumers below must see the *same* buckets: two
+   checkpoint folder.  All consumers below must see the *same* buckets: two
    independently planned range exchanges sample separately and may cut at
    different bounds.  The checkpoint also cuts the lineage, so a lost
    executor does not re-run the sampling and the range shuffle;
-4. a running sum *inside* each bucket (``partitionBy(bucket)``);
-5. per-bucket totals -> running offset over the bucket table, whose size is
-   bounded by the bucket count, so broadcasting it is safe;
-6. add the offset back.
-
-Two shuffles of narrow rows plus one write of them; no task ever holds more
-than one bucket.  The checkpoint makes the function run one job eagerly.
+4. a running sum of the weighted values *inside* each bucket (and group);
+5. totals per bucket -> running offset.  Without groups there is one total per
+   bucket; with groups only the first and the last group of a bucket can reach
+   over its edge, so there are at most two.  Broadcasting them is safe;
+6. add the offset, and expand the weights with ``sequence``; rows that more than
+   a fraction of a bucket repeats are first cut into parts that are dealt out.
+
+Narrow rows are shuffled twice (equal rows, ranges) and written once; no task ever
+holds more than one bucket.  The checkpoint makes the functions run one job eagerly.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from pyspark.sql import types as T
 from tracelake.session import shared_dir, shuffle_partitions
 
 _UID, _BUCKET, _LOCAL, _TOTAL, _OFFSET = "_tl_uid", "_tl_bucket", "_tl_local", "_tl_total", "_tl_offset"
+_VAL, _W, _SUM, _START = "_tl_val", "_tl_n", "_tl_sum", "_tl_start"
 
 
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
@@ -58,6 +62,53 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
 
 
+def _groupable(t: T.DataType) -> bool:
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _groupable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_groupable(f.dataType) for f in t.fields)
+    return True
+
+
+def _times(value: Column, t: T.DataType, n: Column) -> Column:
+    """``value * n`` in the type that a sum of values has."""
+    if isinstance(t, T.DecimalType):
+        # room for 12 digits of n: Spark rounds decimal products that may exceed 38 digits
+        wide = T.DecimalType(min(t.precision, 25), t.scale)
+        return (value.cast(wide) * n.cast("decimal(12,0)")).cast(T.DecimalType(37, t.scale))
+    return value * n
+
+
+def _collapsed(df: DataFrame, val: Column, tiebreak: Column | None) -> DataFrame:
+    """Equal rows as one row: ``_W`` of them, whose values sum up to ``_SUM``."""
+    tagged = df.withColumn(_UID, tiebreak if tiebreak is not None else row_hash(df)).withColumn(_VAL, val)
+    total = F.sum(_VAL)
+    if all(_groupable(f.dataType) for f in df.schema.fields):
+        cols = [F.col(f"`{c}`") for c in [*df.columns, _UID, _VAL]]
+        return tagged.groupBy(*cols).agg(F.count(F.lit(1)).alias(_W), total.alias(_SUM))
+    # maps and variants cannot be compared: such rows stay single
+    kind = tagged.limit(0).agg(total.alias("s")).schema["s"].dataType
+    return tagged.withColumn(_W, F.lit(1).cast("bigint")).withColumn(_SUM, F.col(_VAL).cast(kind))
+
+
+def _offsets(ranged: DataFrame, group: list[str]) -> DataFrame:
+    """What lies before each bucket: at most one row per bucket, or with groups
+    two, of the groups that a bucket shares with the one before."""
+    before = Window.orderBy(_BUCKET)
+    if group:
+        key = F.struct(*[F.col(f"`{g}`") for g in group])
+        edges = ranged.groupBy(_BUCKET).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        edges = edges.select(F.explode(F.array("lo", "hi")).alias("_tl_edge")).distinct()
+        ranged = ranged.join(F.broadcast(edges), key.eqNullSafe(F.col("_tl_edge")), "left_semi")
+        before = Window.partitionBy(*[F.col(f"`{g}`") for g in group]).orderBy(_BUCKET)
+    totals = ranged.groupBy(_BUCKET, *[F.col(f"`{g}`") for g in group]).agg(F.sum(_SUM).alias(_TOTAL))
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    names = [F.col(f"`{g}`").alias(f"_tl_group{i}") for i, g in enumerate(group)]
+    return totals.select(F.col(_BUCKET).alias("_tl_at"), *names, F.sum(_TOTAL).over(before).alias(_OFFSET))
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[Column | str],
@@ -65,34 +116,61 @@ def running_total(
     out: str,
     buckets: int | None = None,
     tiebreak: Column | None = None,
+    group: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows up to and including the
-    current one, in ``order`` (ascending sort expressions allowed).
+    current one, in ``order`` (ascending sort expressions allowed), with
+    ``group`` within the rows equal in these columns (NULLs are one group).
 
     ``tiebreak`` orders rows equal in ``order``; by default a hash of the
-    whole row.  Pass one computed on a wider row when ``df`` is a narrow
-    projection, so that ties are still spread."""
+    whole row.  NULL values count as 0.  Decimal values keep 25 digits."""
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
+    group = list(group)
     val = F.col(value) if isinstance(value, str) else value
-    keys = [*_order_exprs(order), F.col(_UID)]
+    by = [F.col(f"`{g}`") for g in group]
+    keys = [*by, *_order_exprs(order), F.col(_UID)]
     shared_dir(spark)  # make sure a checkpoint folder is set (tests, local runs)
     ranged = (
-        df.withColumn(_UID, tiebreak if tiebreak is not None else row_hash(df))
-        .withColumn("_tl_val", val)
+        _collapsed(df, val, tiebreak)
         .repartitionByRange(n, *keys)
         .withColumn(_BUCKET, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    inside = Window.partitionBy(_BUCKET).orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn(_LOCAL, F.sum("_tl_val").over(inside))
-    totals = ranged.groupBy(_BUCKET).agg(F.sum("_tl_val").alias(_TOTAL))
-    # At most ``n`` rows: the global window and the broadcast are bounded.
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(_BUCKET, F.sum(_TOTAL).over(before).alias(_OFFSET))
-    joined = local.join(F.broadcast(offsets), _BUCKET)
-    result = F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0).cast(joined.schema[_LOCAL].dataType))
-    return joined.withColumn(out, result).drop(_UID, _BUCKET, _LOCAL, _OFFSET, "_tl_val")
+    rows, most = ranged.agg(F.sum(_W), F.max(_W)).first()
+    kind = ranged.schema[_SUM].dataType
+    if isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(37, kind.scale)  # the sum of two such is not rounded
+    inside = Window.partitionBy(_BUCKET, *by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn(_LOCAL, F.sum(_SUM).over(inside))
+    offsets = _offsets(ranged, group)
+    at = F.col(_BUCKET) == F.col("_tl_at")
+    for i, c in enumerate(by):
+        at = at & c.eqNullSafe(F.col(f"_tl_group{i}"))
+    joined = local.join(F.broadcast(offsets), at, "left")
+    zero = F.lit(0).cast(kind)
+    here, before = (F.coalesce(F.col(c).cast(kind), zero) for c in (_LOCAL, _OFFSET))
+    joined = joined.withColumn(_START, (here + before).cast(kind))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+
+    def expanded(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        """One row for each copy ``first .. last`` of a weighted row."""
+        each = rows.select(*cols, _VAL, _START, F.explode(F.sequence(first, last)).alias("_tl_copy"))
+        sofar = F.col(_START) + F.coalesce(_times(F.col(_VAL), each.schema[_VAL].dataType, F.col("_tl_copy")).cast(kind), zero)
+        return each.select(*cols, sofar.alias(out))
+
+    one = F.lit(1).cast("bigint")
+    if (most or 0) <= 1:
+        return joined.select(*cols, (F.col(_START) + F.coalesce(F.col(_VAL).cast(kind), zero)).alias(out))
+    part = max(1, (rows or 0) // (8 * n))
+    if most <= part:
+        return expanded(joined, one, F.col(_W))
+    # Rows with more copies than a part (at most 8 n of them): part by part, dealt out.
+    few = expanded(joined.where(F.col(_W) <= part), one, F.col(_W))
+    parts = joined.where(F.col(_W) > part).withColumn("_tl_part", F.explode(F.sequence(F.lit(0), F.floor((F.col(_W) - 1) / part))))
+    parts = parts.repartition(n, F.col(_UID), F.col("_tl_part"))
+    first = F.col("_tl_part") * part + 1
+    return few.unionByName(expanded(parts, first, F.least(first + (part - 1), F.col(_W))))
 
 
 def with_position(
@@ -101,9 +179,11 @@ def with_position(
     out: str = "pos",
     buckets: int | None = None,
     tiebreak: Column | None = None,
+    group: Sequence[str] = (),
 ) -> DataFrame:
-    """Add a 1-based global position in ``order`` (a distributed row_number)."""
-    return running_total(df, order, F.lit(1).cast("bigint"), out, buckets, tiebreak)
+    """Add a 1-based position in ``order``, global or within ``group`` (a
+    distributed row_number)."""
+    return running_total(df, order, F.lit(1).cast("bigint"), out, buckets, tiebreak, group)
 
 
 def values_at_positions(
