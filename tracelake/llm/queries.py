@@ -19,6 +19,7 @@ from tracelake.llm import (
     secrets,
     sharding,
     toxicity,
+    trie,
     whitening,
     wordpieces,
 )
@@ -91,6 +92,11 @@ def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.digest(whitened, model, whitening.identity_error(whitened, model))
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.build(table(spark, sf, "conversations"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every whole text, and what they decode to."""
     return wordpieces.digest(wordpieces.decode(wordpieces.encode(table(spark, sf, "documents"))))
@@ -109,6 +115,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_quality": op10_quality,
         "op11_whitening": op11_whitening,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_sentencepiece": op13_sentencepiece,
         "pipeline": corpus_pipeline.run,
     }
