@@ -54,6 +54,29 @@ def fx_logs(spark: SparkSession, sf_dir: str, with_filename: bool = False) -> Da
     )
 
 
+def fx_session_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log events during the conversations: a third of them in session ``s1``,
+    a few before its first part, some without a session or a time."""
+    eid = F.col("event_id")
+    conv = F.when(eid % 3 == 0, F.lit(1)).otherwise(eid % 131)
+    ms = F.lit(BASE_MS) + (conv * 1000 + eid % 13 - 2) * 60000 + eid % 5 * 1000
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(eid % 101 != 0, F.timestamp_add("MILLISECOND", ms.cast("bigint"), F.lit("1970-01-01").cast("timestamp_ntz"))).alias("timestamp"),
+        F.col("event_type").alias("level"),
+        F.when(eid % 97 != 0, F.concat(F.lit("s"), _s(conv))).alias("session.id"),
+    )
+
+
+def fx_equal_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log costs of which a third are one and the same row."""
+    same = F.col("event_id") % 3 == 0
+    return table(spark, sf_dir, "events").select(
+        F.when(same, F.lit("2024-01-15T12:00:00")).otherwise(_s(F.col("ts"))).alias("timestamp"),
+        F.when(same, F.lit("0.25")).otherwise(_s(F.col("value"))).alias("cost"),
+    )
+
+
 def fx_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ``key=value`` log lines, one per event, in a ``value`` column."""
     e = table(spark, sf_dir, "events")
@@ -220,3 +243,12 @@ def fx_loads(parts: DataFrame) -> list[DataFrame]:
             fresh = fresh.unionByName(again)
         loads.append(fresh)
     return loads
+
+
+def fx_insert_loads(parts: DataFrame) -> list[DataFrame]:
+    """The loads of ``fx_loads`` with every row twice, and without a key where
+    ``turn % 4 = 3``."""
+    key = F.when(turn_of("part_id") % 4 != 3, F.col("part_id")).alias("part_id")
+    return [
+        (loose := f.select(*[key if c == "part_id" else F.col(c) for c in f.columns])).unionByName(loose) for f in fx_loads(parts)
+    ]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.functions.scalars import epoch_ms, session_label, typed_decimal
+from tracelake.functions.scalars import epoch_ms, session_label, typed_decimal, utc_wall_clock
+from tracelake.plans.asof import as_of_join
 
 MONEY = "decimal(38,10)"
 
@@ -100,3 +101,20 @@ def logs_by_session(logs: DataFrame, sessions: DataFrame, parts: DataFrame | Non
         pc = known.groupBy("session_id").agg(F.count("part_id").alias("nb_parts"))
         out = out.join(pc, "session_id", "full_outer")
     return out
+
+
+def logs_in_progress(logs: DataFrame, parts: DataFrame, time: str = "timestamp", session: str = "session.id") -> DataFrame:
+    """X8 by event: every log event with the part, and its message, that its
+    session was at: the newest one created at or before the event (``part_id,
+    message_id, part_type, part_created``; NULL before the first part, and for
+    events without a session or time).  Of parts created at the same moment the one
+    with the greatest id.  A session of any size is split (``plans.asof``)."""
+    at = utc_wall_clock(F.col(f"`{time}`"), logs.schema[time].dataType)
+    states = parts.select(
+        F.col("session_id").alias("_tl_session"), epoch_ms("time_created").alias("part_created"),
+        "part_id", "message_id", "part_type",
+    )
+    return as_of_join(
+        logs, states, F.col(f"`{session}`"), at, "_tl_session", "part_created",
+        ["part_id", "message_id", "part_type", "part_created"],
+    )

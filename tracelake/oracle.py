@@ -209,6 +209,16 @@ j AS (SELECT coalesce(s.id, lc.session_id) AS session_id, s.title, lc.log_events
       FROM fx_session s FULL OUTER JOIN lc ON s.id = lc.session_id)
 SELECT coalesce(j.session_id, pc.session_id) AS session_id, j.title, j.log_events, pc.nb_parts
 FROM j FULL OUTER JOIN pc ON j.session_id = pc.session_id""",
+    "q_logs_in_progress": _with(FX_SOURCE)
+    + """, e AS (
+  SELECT event_id, event_type AS level,
+         CASE WHEN event_id % 97 <> 0 THEN 's' || CAST(conv AS VARCHAR) END AS session_id,
+         CASE WHEN event_id % 101 <> 0 THEN make_timestamp(CAST(1704067200000
+              + (conv * 1000 + event_id % 13 - 2) * 60000 + event_id % 5 * 1000 AS BIGINT) * 1000) END AS "timestamp"
+  FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 ELSE event_id % 131 END AS conv FROM events)),
+p AS (SELECT session_id, make_timestamp(time_created * 1000) AS part_created, part_id, message_id, part_type FROM parts)
+SELECT e.event_id, e."timestamp", e.level, e.session_id, p.part_id, p.message_id, p.part_type, p.part_created
+FROM e ASOF LEFT JOIN p ON e.session_id = p.session_id AND e."timestamp" >= p.part_created""",
     # -------------------------------------------------- sources and sinks
     "q_inventory": "\nUNION ALL\n".join(
         f"SELECT '{n}' AS \"table\", 'logs' AS kind, count(*) > 0 AS has_bytes, count(*) AS rows FROM {n}"
@@ -240,6 +250,13 @@ FROM events""",
     # -------------------------------------------------- versioned tables
     "q_dedup_latest": _with(FX_SOURCE, LOADS) + _newest(),
     "q_upsert": _with(FX_SOURCE, LOADS) + _newest(),
+    "q_insert_only": _with(FX_SOURCE, LOADS)
+    + f"""SELECT CAST(load_id AS BIGINT) AS load_id, {PART_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY load_id) AS rn FROM loads
+  WHERE CAST(regexp_extract(part_id, '-(\\d+)$', 1) AS BIGINT) % 4 <> 3) WHERE rn = 1
+UNION ALL
+SELECT min(load_id), {_part_cols(part_id="NULL")} FROM loads
+WHERE CAST(regexp_extract(part_id, '-(\\d+)$', 1) AS BIGINT) % 4 = 3 GROUP BY {PART_COLS}""",
     "q_as_of": _with(FX_SOURCE, LOADS) + _newest("WHERE load_id <= 1"),
     "q_load_history": _with(FX_SOURCE, LOADS)
     + """, firsts AS (SELECT load_id, count(*) AS inserts
@@ -290,6 +307,11 @@ FROM valid GROUP BY 1 ORDER BY count DESC, session LIMIT 10""",
          AS cumulative
 FROM (SELECT "timestamp", TRY_CAST(TRY_CAST(cost AS DOUBLE) AS DECIMAL(38, 10)) AS c FROM valid)
 WHERE c IS NOT NULL""",
+    "q_cumulative_ties": """SELECT ts AS "timestamp", CAST(c AS DOUBLE) AS cost,
+  CAST(sum(c) OVER (ORDER BY ts, c ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative
+FROM (SELECT CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15 12:00:00' ELSE ts END AS ts,
+             CAST(CASE WHEN event_id % 3 = 0 THEN 0.25 ELSE value END AS DECIMAL(38, 10)) AS c FROM events)
+WHERE c IS NOT NULL AND ts IS NOT NULL""",
     "q_load_metrics": _with(FX_LOGS)
     + """SELECT count(*) AS rows, CAST(8 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS files FROM fx_logs""",
     "q_describe": "\nUNION ALL\n".join(_describe_numeric(c) for c in ("event_id", "user_id", "value")),

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from tracelake.session import shared_dir, shuffle_partitions
 
 _UID, _BUCKET, _LOCAL, _TOTAL, _OFFSET = "_tl_uid", "_tl_bucket", "_tl_local", "_tl_total", "_tl_offset"
-_VAL, _W, _SUM, _START = "_tl_val", "_tl_n", "_tl_sum", "_tl_start"
+_VAL, _W, _SUM, _START, COPY = "_tl_val", "_tl_n", "_tl_sum", "_tl_start", "_tl_copy"
 
 
 def _order_exprs(order: Sequence[Column | str]) -> list[Column]:
@@ -153,24 +153,28 @@ def running_total(
     joined = joined.withColumn(_START, (here + before).cast(kind))
     cols = [F.col(f"`{c}`") for c in df.columns]
 
-    def expanded(rows: DataFrame, first: Column, last: Column) -> DataFrame:
-        """One row for each copy ``first .. last`` of a weighted row."""
-        each = rows.select(*cols, _VAL, _START, F.explode(F.sequence(first, last)).alias("_tl_copy"))
-        sofar = F.col(_START) + F.coalesce(_times(F.col(_VAL), each.schema[_VAL].dataType, F.col("_tl_copy")).cast(kind), zero)
-        return each.select(*cols, sofar.alias(out))
-
-    one = F.lit(1).cast("bigint")
     if (most or 0) <= 1:
         return joined.select(*cols, (F.col(_START) + F.coalesce(F.col(_VAL).cast(kind), zero)).alias(out))
-    part = max(1, (rows or 0) // (8 * n))
+    each = each_copy(joined, rows, most, n)
+    own = _times(F.col(_VAL), each.schema[_VAL].dataType, F.col(COPY)).cast(kind)
+    return each.select(*cols, (F.col(_START) + F.coalesce(own, zero)).alias(out))
+
+
+def each_copy(weighted: DataFrame, rows: int, most: int, n: int) -> DataFrame:
+    """Rows of weight ``_W`` as so many rows, numbered from 1 in ``COPY``.
+    ``rows`` is the sum and ``most`` the largest of the weights; rows of more than
+    an eighth of a partition's copies (at most 8 n of them) are expanded part by
+    part, the parts dealt out over the tasks."""
+    one = F.lit(1).cast("bigint")
+    part = max(1, rows // (8 * n))
     if most <= part:
-        return expanded(joined, one, F.col(_W))
-    # Rows with more copies than a part (at most 8 n of them): part by part, dealt out.
-    few = expanded(joined.where(F.col(_W) <= part), one, F.col(_W))
-    parts = joined.where(F.col(_W) > part).withColumn("_tl_part", F.explode(F.sequence(F.lit(0), F.floor((F.col(_W) - 1) / part))))
+        return weighted.withColumn(COPY, F.explode(F.sequence(one, F.col(_W))))
+    few = weighted.where(F.col(_W) <= part).withColumn(COPY, F.explode(F.sequence(one, F.col(_W))))
+    parts = weighted.where(F.col(_W) > part).withColumn("_tl_part", F.explode(F.sequence(F.lit(0), F.floor((F.col(_W) - 1) / part))))
     parts = parts.repartition(n, F.col(_UID), F.col("_tl_part"))
     first = F.col("_tl_part") * part + 1
-    return few.unionByName(expanded(parts, first, F.least(first + (part - 1), F.col(_W))))
+    last = F.least(first + (part - 1), F.col(_W))
+    return few.unionByName(parts.withColumn(COPY, F.explode(F.sequence(first, last))).drop("_tl_part"))
 
 
 def with_position(

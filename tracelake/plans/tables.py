@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -120,6 +120,58 @@ def upsert(table_dir: str, new_rows: DataFrame, load_id: int) -> str:
     return table_dir
 
 
+def unseen(stored: DataFrame, rows: DataFrame, key: str = "part_id", order: Sequence[str] = ("time_updated",)) -> DataFrame:
+    """The rows of ``rows`` that ``stored`` lacks: by key, the newest of a repeated
+    one; rows without a key by their whole content, each once.
+
+    The stored side is read for its keys alone.  They are first reduced to the keys
+    of ``rows`` by a semi join, into which Spark can push a runtime Bloom filter of
+    the new keys, so that most stored keys go before the shuffle; the anti join
+    then meets keys that are known to be repeated.  ``rows`` is evaluated more than
+    once: pass a stored or checkpointed frame."""
+    k = F.col(f"`{key}`")
+    named = latest(rows.where(k.isNotNull()), key, order)
+    new = rows.where(k.isNotNull()).select(k).distinct()
+    seen = stored.where(k.isNotNull()).select(k).join(new, key, "left_semi").distinct()
+    fresh = named.join(seen, key, "left_anti")
+    nameless = rows.where(k.isNull()).distinct().alias("n")
+    names = [c for c in rows.columns if c in stored.columns]
+    held = stored.where(k.isNull()).select(*[F.col(f"`{c}`") for c in names]).alias("s")
+    same = reduce(and_, [F.col(f"n.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in names])
+    for c in rows.columns:
+        if c not in names:  # a column that no stored row has: only NULL is equal
+            same = same & F.col(f"n.`{c}`").isNull()
+    return fresh.unionByName(nameless.join(held, same, "left_anti"))
+
+
+def insert_only(
+    table_dir: str,
+    new_rows: DataFrame,
+    load_id: int,
+    key: str = "part_id",
+    order: Sequence[str] = ("time_updated",),
+    schema: T.StructType | None = None,
+) -> int:
+    """X2, insert-only: add one load with the rows that no other load holds
+    (``unseen``); stored rows are never given a new version.  Returns the number of
+    rows added.
+
+    A rerun under the same number replaces the load, under another one adds nothing:
+    keys are looked up in all loads but this one, whose folder is left out by its
+    partition value.  Rows without a key count as held when an equal row is."""
+    spark = new_rows.sparkSession
+    try:
+        others = read_loads(spark, table_dir, schema).where(F.col(LOAD) != int(load_id))
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        others = new_rows.limit(0)  # the first load
+    added = Observation(f"tl_insert_{uuid.uuid4().hex}")
+    rows = unseen(others, new_rows, key, order).observe(added, F.count(F.lit(1)).alias("rows"))
+    upsert(table_dir, rows, load_id)
+    return int(added.get["rows"])
+
+
 def read_loads(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame:
     """All loads of a table.  Without a ``schema`` the files' schemas are
     merged, so a column that only some loads have is read (NULL elsewhere)."""

@@ -85,6 +85,13 @@ def q_cumulative_cost(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("cumulative").cast("double").alias("cumulative"))
 
 
+def q_cumulative_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Running cost where a third of the rows are equal."""
+    out = ov.cumulative_cost(fx.fx_equal_costs(spark, sf).withColumn("timestamp", to_ts("timestamp")))
+    return out.select("timestamp", F.col("cost").cast("double").alias("cost"),
+                      F.col("cumulative").cast("double").alias("cumulative"))
+
+
 def q_load_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Rows, columns and files of a loaded log table."""
     return ov.load_metrics(fx.fx_logs(spark, sf, with_filename=True))
@@ -222,6 +229,12 @@ def q_logs_x_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return sess.logs_by_session(fx.fx_logs(spark, sf), fx.fx_sessions(spark, sf), _parts(spark, sf))
 
 
+def q_logs_in_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Every log event with the part its session was at."""
+    found = sess.logs_in_progress(fx.fx_session_logs(spark, sf), _parts(spark, sf))
+    return found.withColumnRenamed("session.id", "session_id")
+
+
 # ------------------------------------------------------- sources and sinks
 
 
@@ -394,6 +407,19 @@ def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return tables.as_of(spark, _upserted(spark, sf), None)
 
 
+def q_insert_only(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads, each adding only what no load holds; two reruns, one
+    under its own number and one under a new one, change nothing."""
+    table_dir = scratch_path(spark, "inserts")
+    loads = fx.fx_insert_loads(_parts(spark, sf).checkpoint(eager=True))
+    for n, frame in enumerate([*loads, loads[1]]):
+        added = tables.insert_only(table_dir, frame, n)
+        if (added == 0) != (n == 3):
+            raise AssertionError(f"load {n} added {added} rows")
+    tables.insert_only(table_dir, loads[1], 1)
+    return tables.read_loads(spark, table_dir).drop("loaded_at").withColumn(tables.LOAD, F.col(tables.LOAD).cast("bigint"))
+
+
 def q_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """The table as of load 1."""
     return tables.as_of(spark, _upserted(spark, sf), 1)
