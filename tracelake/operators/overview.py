@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from tracelake.functions.scalars import (
     epoch, fill_label, from_micros, hour_floor, lenient_double, typed_decimal, utc_wall_clock,
 )
-from tracelake.plans.ordering import row_hash, running_total, values_at_positions
+from tracelake.plans.ordering import running_total
+from tracelake.plans.selection import interpolated, order_statistics
 
 SESSION = "`session.id`"
 
@@ -115,48 +116,39 @@ _TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _exact_quantiles(df: DataFrame, name: str, value) -> DataFrame:
-    """One row: count/mean/std/min/max and the linear-interpolated quartiles
-    of ``value``.  The quartiles read the few order statistics they need
-    (``values_at_positions``); everything else is one aggregate, taken over
-    the values plus those few tagged rows (a union, so no join is needed)."""
-    vals = df.select(value.alias("v")).where(F.col("v").isNotNull())
-
-    def plan(n: int) -> dict:
-        targets = {}
-        for q in QUANTILES:
-            h = (n - 1) * q
-            lo = int(h // 1)
-            targets[q] = (lo + 1, lo + 2 if h > lo else lo + 1, h - lo)
-        return targets
-
-    # The count comes from the bucketing pass; positions follow from it.
-    picked, n = values_at_positions(
-        df, value, lambda total: sorted({p for t in plan(total).values() for p in t[:2]}), tiebreak=row_hash(df)
-    )
-    targets = plan(n)
-    wanted = sorted({p for t in targets.values() for p in t[:2]}) if n else []
-    rows = vals.select("v", F.lit(None).cast("bigint").alias("pos")).unionByName(picked.select("v", "pos"))
-    data = F.when(F.col("pos").isNull(), F.col("v"))
-    integral = isinstance(vals.schema["v"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    # Integral values are averaged exactly (a double sum drifts on large values).
-    mean = F.sum(data.cast("decimal(38,0)")).cast("double") / F.count(data) if integral else F.avg(data)
-    stats = rows.agg(
-        F.count(data).alias("count"),
-        mean.alias("mean"),
-        F.stddev_samp(data).alias("std"),
-        F.min(data).alias("min"),
-        F.max(data).alias("max"),
-        *[F.max(F.when(F.col("pos") == p, F.col("v"))).alias(f"_p{p}") for p in wanted],
-    )
-    cols = []
-    for q, (lo, hi, frac) in targets.items():
-        name_q = {0.25: "p25", 0.5: "p50", 0.75: "p75"}[q]
-        if not n:
-            cols.append(F.lit(None).cast("double").alias(name_q))
-        else:
-            cols.append((F.col(f"_p{lo}") + (F.col(f"_p{hi}") - F.col(f"_p{lo}")) * F.lit(frac)).alias(name_q))
-    return stats.select(F.lit(name).alias("column"), "count", "mean", "std", "min", *cols, "max")
+STATS = ("mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _described(df: DataFrame, values: dict) -> dict[str, tuple]:
+    """``count`` and ``STATS`` of each column of numbers: exact, all columns in the
+    same few passes (``plans.selection``), nothing sorted."""
+    kinds = [f.dataType for f in df.select(*values.values()).schema.fields]
+    aggs = []
+    for i, (v, t) in enumerate(zip(values.values(), kinds, strict=True)):
+        integral = isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        # Integral values are averaged exactly (a double sum drifts on large values).
+        mean = F.sum(v.cast("decimal(38,0)")).cast("double") / F.count(v) if integral else F.avg(v).cast("double")
+        mean = F.when(F.count(v) > 0, mean)
+        aggs += [a.cast("double").alias(f"{n}{i}") for n, a in zip("asnx", (mean, F.stddev_samp(v), F.min(v), F.max(v)), strict=True)]
+    counts, found, extra = order_statistics(df, values, QUANTILES, also=aggs)
+    out = {}
+    for i, c in enumerate(values):
+        mean, std, low, high = extra[4 * i : 4 * i + 4]
+        quartiles = [interpolated(*found[c, q]) if counts[c] else None for q in QUANTILES]
+        out[c] = counts[c], mean, std, low, *quartiles, high
+    return out
+
+
+def _present(df: DataFrame, c: str):
+    """NaN counts as missing, as in pandas."""
+    col = F.col(f"`{c}`")
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(col), col)
+    return col
+
+
+def _micros(df: DataFrame, c: str):
+    return F.timestamp_diff("MICROSECOND", epoch(), utc_wall_clock(F.col(f"`{c}`"), df.schema[c].dataType))
 
 
 def describe_approx(df: DataFrame, numeric: Sequence[str], accuracy: int = 10000) -> DataFrame:
@@ -185,39 +177,33 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     """Count, mean, std, min, exact 25/50/75 % and max of each numeric
     column (one row per column, values as double).
 
-    Percentiles are exact with linear interpolation, computed from global
-    positions, so no aggregation buffer ever holds a whole column.  With
+    Percentiles are exact with linear interpolation, selected in a few passes over
+    all columns together, so no aggregation buffer ever holds a whole column and
+    nothing is sorted; the passes run when the function is called.  With
     ``exact=False`` the quartiles come from a quantile sketch in one pass.
-    Without numeric columns the time columns are described
-    (``describe_time``), and without those the text columns
-    (``describe_text``).
+    Time columns beside numbers are described with them (``describe_mixed``);
+    without numeric columns the time columns alone (``describe_time``), and
+    without those the text columns (``describe_text``).
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     numeric = [f.name for f in fields if isinstance(f.dataType, _NUMERIC)]
+    times = [f.name for f in fields if isinstance(f.dataType, _TIME)]
     if not numeric:
         # As pandas: time columns when there is no number, else text statistics.
-        if any(isinstance(f.dataType, _TIME) for f in fields):
-            return describe_time(df, [f.name for f in fields])
+        if times:
+            return describe_time(df, times)
         return describe_text(df, [f.name for f in fields])
     if not exact:
         return describe_approx(df, numeric)
-    def present(c: str):
-        """NaN counts as missing, as in pandas."""
-        col = F.col(f"`{c}`")
-        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            return F.when(~F.isnan(col), col)
-        return col
-
-    parts = [
-        _exact_quantiles(df, c, present(c)).select(
-            "column", "count", *[F.col(x).cast("double").alias(x) for x in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-        )
-        for c in numeric
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if times:
+        return describe_mixed(df, [f.name for f in fields])
+    stats = _described(df, {c: _present(df, c) for c in numeric})
+    schema = "column string, count bigint, " + ", ".join(f"{x} double" for x in STATS)
+    return df.sparkSession.createDataFrame([(c, *stats[c]) for c in numeric], schema)
+
+
+def _back(x: str):
+    return from_micros(F.round(F.col(x)).cast("bigint"))
 
 
 def describe_time(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -226,19 +212,27 @@ def describe_time(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     times = [f.name for f in fields if isinstance(f.dataType, _TIME)]
     if not times:
         raise ValueError("no time column to describe")
-    parts = []
-    for c in times:
-        micros = F.timestamp_diff("MICROSECOND", epoch(), utc_wall_clock(F.col(f"`{c}`"), df.schema[c].dataType))
-        stats = _exact_quantiles(df, c, micros)
-
-        def back(x: str):
-            return from_micros(F.round(F.col(x)).cast("bigint")).alias(x)
-
-        parts.append(stats.select("column", "count", *[back(x) for x in ("mean", "min", "p25", "p50", "p75", "max")]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stats = _described(df, {c: _micros(df, c) for c in times})
+    schema = "column string, count bigint, " + ", ".join(f"{x} double" for x in STATS)
+    rows = df.sparkSession.createDataFrame([(c, *stats[c]) for c in times], schema)
+    return rows.select("column", "count", *[_back(x).alias(x) for x in STATS if x != "std"])
+
+
+def describe_mixed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A9 for frames with numbers and times, in the frame's order of columns, as
+    pandas lists both: ``column, kind`` (``number`` or ``time``), ``count``, the
+    statistics of numbers as doubles, and those of times as UTC wall clocks in columns
+    that end in ``_at`` (times have no ``std``).  All columns share the same passes."""
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    kinds = {f.name: "time" if isinstance(f.dataType, _TIME) else "number" for f in fields if isinstance(f.dataType, _NUMERIC + _TIME)}
+    stats = _described(df, {c: _micros(df, c) if k == "time" else _present(df, c) for c, k in kinds.items()})
+    schema = "column string, kind string, count bigint, " + ", ".join(f"{x} double" for x in STATS)
+    rows = df.sparkSession.createDataFrame([(c, k, *stats[c]) for c, k in kinds.items()], schema)
+    number = F.col("kind") == "number"
+    return rows.select(
+        "column", "kind", "count", *[F.when(number, F.col(x)).alias(x) for x in STATS],
+        *[F.when(~number, _back(x)).alias(f"{x}_at") for x in STATS if x != "std"],
+    )
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

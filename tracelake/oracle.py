@@ -139,6 +139,16 @@ def _describe_text(col: str) -> str:
 FROM (SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM events WHERE {col} IS NOT NULL GROUP BY 1)"""
 
 
+_DESCRIBE_TIME = """SELECT 'ts' AS "column", count(ts) AS count,
+  make_timestamp(CAST(round(avg(epoch_us(ts))) AS BIGINT)) AS mean,
+  min(ts) AS min,
+  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.25)) AS BIGINT)) AS p25,
+  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.5)) AS BIGINT)) AS p50,
+  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.75)) AS BIGINT)) AS p75,
+  max(ts) AS max
+FROM events"""
+
+
 ORACLE: dict[str, str] = {
     # ------------------------------------------------------ conversations
     "q_parts_join": _with(FX_SOURCE) + "SELECT part_id, message_id, session_id, title FROM parts",
@@ -315,13 +325,16 @@ WHERE c IS NOT NULL AND ts IS NOT NULL""",
     "q_load_metrics": _with(FX_LOGS)
     + """SELECT count(*) AS rows, CAST(8 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS files FROM fx_logs""",
     "q_describe": "\nUNION ALL\n".join(_describe_numeric(c) for c in ("event_id", "user_id", "value")),
-    "q_describe_time": """SELECT 'ts' AS "column", count(ts) AS count,
-  make_timestamp(CAST(round(avg(epoch_us(ts))) AS BIGINT)) AS mean,
-  min(ts) AS min,
-  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.25)) AS BIGINT)) AS p25,
-  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.5)) AS BIGINT)) AS p50,
-  make_timestamp(CAST(round(quantile_cont(epoch_us(ts), 0.75)) AS BIGINT)) AS p75,
-  max(ts) AS max
-FROM events""",
+    "q_describe_time": _DESCRIBE_TIME,
+    "q_describe_mixed": "\nUNION ALL\n".join(
+        f"""SELECT "column", 'number' AS kind, count, mean, std, min, p25, p50, p75, max, NULL::TIMESTAMP AS mean_at,
+  NULL::TIMESTAMP AS min_at, NULL::TIMESTAMP AS p25_at, NULL::TIMESTAMP AS p50_at, NULL::TIMESTAMP AS p75_at,
+  NULL::TIMESTAMP AS max_at FROM ({_describe_numeric(c)})"""
+        for c in ("event_id", "user_id", "value")
+    )
+    + f"""
+UNION ALL
+SELECT "column", 'time', count, NULL, NULL, NULL, NULL, NULL, NULL, NULL, mean, min, p25, p50, p75, max
+FROM ({_DESCRIBE_TIME})""",
     "q_describe_text": "\nUNION ALL\n".join(_describe_text(c) for c in ("event_type", "props")),
 }

@@ -113,6 +113,12 @@ def q_describe_time(spark: SparkSession, sf: str) -> DataFrame:
     return ov.describe_time(fx.table(spark, sf, "events"), ["ts"])
 
 
+def q_describe_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers and times of one frame, described together."""
+    out = ov.describe(fx.table(spark, sf, "events"))
+    return _round6(out, {"mean", "std", "min", "p25", "p50", "p75", "max"})
+
+
 def q_describe_text(spark: SparkSession, sf: str) -> DataFrame:
     """Count, unique, top and frequency of text columns."""
     return ov.describe_text(fx.table(spark, sf, "events"), ["event_type", "props"])
