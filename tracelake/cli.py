@@ -146,7 +146,7 @@ def build_parser() -> argparse.ArgumentParser:
     p = sub.add_parser("sql")
     p.add_argument("--query", required=True)
     p.add_argument("--max-rows", type=int, default=2000)
-    p.add_argument("--total", action="store_true", help="also count all rows (runs the query twice)")
+    p.add_argument("--total", action="store_true", help="also count all rows (computes the whole result)")
     p.set_defaults(func=sql)
     return ap
 

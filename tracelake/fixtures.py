@@ -95,8 +95,9 @@ def fx_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------ conversation store
 
 
-def _part_json() -> F.Column:
+def _part_json(whole: bool = False) -> F.Column:
     """JSON document of a part, by ``(conv_id + turn) % 6``."""
+    output = F.array_join(F.array_repeat("text", 3), "\n") if whole else F.substring(F.col("text"), 1, 100)
     conv, turn = F.col("conv_id"), F.col("turn")
     kind = (conv + turn) % 6
     tool = F.element_at(F.array(*[F.lit(t) for t in TOOLS]), (conv % 3 + 1).cast("int"))
@@ -115,7 +116,7 @@ def _part_json() -> F.Column:
             F.struct(
                 F.lit("completed").alias("status"),
                 F.struct(turn.alias("n")).alias("input"),
-                F.substring(F.col("text"), 1, 100).alias("output"),
+                output.alias("output"),
             ).alias("state"),
         )
     )
@@ -149,7 +150,10 @@ def _part_json() -> F.Column:
     )
 
 
-def fx_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_part(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """One part per turn; tool outputs are the first 100 characters of the text
+    or, with ``whole``, the whole text three times, so that some are longer than a
+    display row shows."""
     c = table(spark, sf_dir, "conversations")
     created = F.lit(BASE_MS) + (F.col("conv_id") * 1000 + F.col("turn")) * 60000
     return c.select(
@@ -160,13 +164,16 @@ def fx_part(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), _s(F.col("conv_id"))).alias("session_id"),
         created.cast("bigint").alias("time_created"),
         (created + 1000).cast("bigint").alias("time_updated"),
-        _part_json().alias("data"),
+        _part_json(whole).alias("data"),
     )
 
 
-def fx_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per message; messages of ``conv_id % 31 = 0`` are absent."""
-    c = table(spark, sf_dir, "conversations").where(F.col("conv_id") % 31 != 0)
+def fx_message(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """One row per message; unless ``whole``, messages of ``conv_id % 31 = 0`` are
+    absent (parts without a message, for the joins)."""
+    c = table(spark, sf_dir, "conversations")
+    if not whole:
+        c = c.where(F.col("conv_id") % 31 != 0)
     mid = F.concat(F.lit("m"), _s(F.col("conv_id")), F.lit("-"), _s(F.floor(F.col("turn") / 2).cast("bigint")))
     return (
         c.groupBy(mid.alias("id"))
@@ -209,15 +216,15 @@ def fx_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.unionByName(empty)
 
 
-def fx_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return fx_part(spark, sf_dir), fx_message(spark, sf_dir), fx_sessions(spark, sf_dir)
+def fx_source(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx_part(spark, sf_dir, whole), fx_message(spark, sf_dir, whole), fx_sessions(spark, sf_dir)
 
 
-def fx_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_parts(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """The exported ``parts`` table (J1 + F8-F10 over ``fx_source``)."""
     from tracelake.operators.parts import export_parts
 
-    return export_parts(*fx_source(spark, sf_dir))
+    return export_parts(*fx_source(spark, sf_dir, whole))
 
 
 # ----------------------------------------------------------------- loads

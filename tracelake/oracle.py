@@ -83,6 +83,12 @@ files AS (
   FROM parts WHERE part_type = 'patch'
 )"""
 
+# The same source without the cuts: all messages, tool texts whole, three times.
+FX_WHOLE = (
+    FX_SOURCE.replace(" WHERE conv_id % 31 <> 0", "")
+    .replace("substring(p.text, 1, 100)", "p.text || chr(10) || p.text || chr(10) || p.text")
+)
+
 PART_COLS = """part_id, message_id, session_id, time_created, time_updated, role, title, part_type, text,
   reasoning_time, tool, tool_status, tool_input, tool_output, reason, tokens_input, tokens_output, tokens_total,
   cost, files"""
@@ -139,6 +145,21 @@ def _describe_text(col: str) -> str:
 FROM (SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM events WHERE {col} IS NOT NULL GROUP BY 1)"""
 
 
+_TIMELINE = """SELECT session_id, part_id, seq, time_created,
+  CASE WHEN part_type = 'text' AND role = 'user' THEN 'user' WHEN part_type = 'text' THEN 'assistant'
+       ELSE part_type END AS kind,
+  CASE part_type WHEN 'text' THEN coalesce(text, '')
+    WHEN 'reasoning' THEN left(coalesce(text, ''), 2000)
+    WHEN 'tool' THEN coalesce(nullif(tool, ''), '?') || ' · ' || coalesce(tool_status, '')
+    WHEN 'step-finish' THEN coalesce(CAST(tokens_total AS VARCHAR), '-') || ' tokens · ' || coalesce(CAST(cost AS VARCHAR), '-')
+    WHEN 'patch' THEN 'src/f' || CAST(conv_id % 7 AS VARCHAR) || '.py, src/g' || CAST(turn AS VARCHAR) || '.py'
+    ELSE '' END AS body,
+  CASE WHEN part_type = 'tool' THEN tool_input END AS tool_input,
+  CASE WHEN part_type = 'tool' THEN left(coalesce(tool_output, ''), 4000) END AS tool_output
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
+WHERE seq <= 200"""
+
+
 _DESCRIBE_TIME = """SELECT 'ts' AS "column", count(ts) AS count,
   make_timestamp(CAST(round(avg(epoch_us(ts))) AS BIGINT)) AS mean,
   min(ts) AS min,
@@ -163,24 +184,27 @@ ORACLE: dict[str, str] = {
 SELECT s.id, s.title, make_timestamp(s.time_created * 1000) AS dt, s.summary_additions, s.summary_deletions,
        a.nb_parts, a.nb_tools, a.nb_messages, a.cost, a.tokens
 FROM fx_session s LEFT JOIN agg a ON s.id = a.session_id""",
+    "q_whole_parts": _with(FX_WHOLE) + f"SELECT {PART_COLS} FROM parts",
+    "q_whole_timeline": _with(FX_WHOLE) + _TIMELINE,
+    "q_tool_calls_ranked": _with(FX_WHOLE)
+    + """SELECT part_id, session_id, time_created, coalesce(nullif(tool, ''), '?') AS tool, left(coalesce(title, ''), 50) AS title,
+       coalesce(tool_status, '') AS tool_status, tool_input, left(coalesce(tool_output, ''), 4000) AS tool_output,
+       row_number() OVER (ORDER BY time_created, part_id) AS pos
+FROM parts WHERE part_type = 'tool'""",
+    "q_session_summary_ranked": _with(FX_WHOLE)
+    + """, agg AS (
+  SELECT session_id, count(part_id) AS nb_parts, count(DISTINCT message_id) AS nb_messages,
+         CAST(coalesce(sum(CAST(cost AS DECIMAL(38, 10))), 0) AS DOUBLE) AS cost
+  FROM parts WHERE session_id IS NOT NULL GROUP BY 1)
+SELECT s.id, make_timestamp(s.time_created * 1000) AS dt, a.nb_parts, a.nb_messages, a.cost,
+       row_number() OVER (ORDER BY s.time_created DESC NULLS LAST, s.id) AS pos
+FROM fx_session s LEFT JOIN agg a ON s.id = a.session_id""",
+    "q_export_filtered": _with(FX_WHOLE) + f"SELECT {PART_COLS} FROM parts WHERE session_id = 's7'",
     "q_session_list": _with(FX_SOURCE)
     + """SELECT id, left(title, 60) || ' (' || id || ')' AS label, make_timestamp(time_created * 1000) AS dt,
        row_number() OVER (ORDER BY time_created DESC, id) AS pos
 FROM fx_session""",
-    "q_timeline": _with(FX_SOURCE)
-    + """SELECT session_id, part_id, seq, time_created,
-  CASE WHEN part_type = 'text' AND role = 'user' THEN 'user' WHEN part_type = 'text' THEN 'assistant'
-       ELSE part_type END AS kind,
-  CASE part_type WHEN 'text' THEN coalesce(text, '')
-    WHEN 'reasoning' THEN left(coalesce(text, ''), 2000)
-    WHEN 'tool' THEN coalesce(nullif(tool, ''), '?') || ' · ' || coalesce(tool_status, '')
-    WHEN 'step-finish' THEN coalesce(CAST(tokens_total AS VARCHAR), '-') || ' tokens · ' || coalesce(CAST(cost AS VARCHAR), '-')
-    WHEN 'patch' THEN 'src/f' || CAST(conv_id % 7 AS VARCHAR) || '.py, src/g' || CAST(turn AS VARCHAR) || '.py'
-    ELSE '' END AS body,
-  CASE WHEN part_type = 'tool' THEN tool_input END AS tool_input,
-  CASE WHEN part_type = 'tool' THEN left(coalesce(tool_output, ''), 4000) END AS tool_output
-FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
-WHERE seq <= 200""",
+    "q_timeline": _with(FX_SOURCE) + _TIMELINE,
     "q_timeline_first": _with(FX_SOURCE)
     + """SELECT session_id, part_id, seq
 FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY time_created, part_id) AS seq FROM parts)
@@ -234,7 +258,19 @@ FROM e ASOF LEFT JOIN p ON e.session_id = p.session_id AND e."timestamp" >= p.pa
         f"SELECT '{n}' AS \"table\", 'logs' AS kind, count(*) > 0 AS has_bytes, count(*) AS rows FROM {n}"
         for n in ("events", "documents", "conversations", "lineitem", "orders", "customer")
     ),
+    "q_inventory_rows": "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {n}"
+        for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                  "embeddings", "pages", "benchmark", "labels", "conversations")
+    ),
     "q_log_parse": LOG_LINES_EXPECTED,
+    "q_log_parse_session": """SELECT ts AS "timestamp", event_type AS level, 's7' AS session_id, CAST(value AS VARCHAR) AS cost
+FROM events WHERE user_id = 7""",
+    "q_log_schema": _with(FX_LOGS)
+    + "\nUNION ALL\n".join(
+        f"""SELECT CAST({i} AS BIGINT) AS position, '{c}' AS "column", 'string' AS type, count("{c}") AS filled FROM fx_logs"""
+        for i, c in enumerate(("timestamp", "level", "type", "session.id", "tokens.input", "tokens.output", "cost"))
+    ),
     "q_union_by_name": """SELECT ts AS "timestamp", event_type AS level, 's' || CAST(user_id AS VARCHAR) AS session_id,
        CAST(NULL AS VARCHAR) AS cost, 'a' AS file FROM events WHERE event_id % 2 = 0
 UNION ALL
@@ -243,11 +279,28 @@ SELECT ts, NULL, 's' || CAST(user_id AS VARCHAR), CAST(value AS VARCHAR), 'b' FR
     "q_source_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_session_export": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_session_export_one": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts WHERE session_id = 's1'",
+    "q_session_buckets": _with(FX_WHOLE) + f"SELECT {PART_COLS} FROM parts",
+    "q_session_from_bucket": _with(FX_WHOLE) + f"SELECT {PART_COLS} FROM parts WHERE session_id = 's1'",
     "q_ctas_idempotent": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     # ---------------------------------------------------------------- SQL
     "q_sql_explorer": _with(FX_SOURCE) + "SELECT part_type, count(*) AS n FROM parts GROUP BY part_type",
     "q_sql_result_cap": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 ORDER BY l_orderkey, l_linenumber LIMIT 2000""",
+    "q_sql_total": """SELECT row_number() OVER (ORDER BY n DESC, l_orderkey) AS pos, l_orderkey, n, count(*) OVER () AS total
+FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ORDER BY n DESC, l_orderkey LIMIT 100""",
+    "q_sql_functions": _with(FX_LOGS)
+    + """SELECT date_trunc('hour', "timestamp") AS hour, count(*) AS count, sum(TRY_CAST("tokens.input" AS DOUBLE)) AS tokens
+FROM valid GROUP BY 1""",
+    "q_sql_timelines": _with(FX_WHOLE) + _TIMELINE,
+    "q_sql_summaries": _with(FX_WHOLE)
+    + """, agg AS (
+  SELECT session_id, count(part_id) AS nb_parts, count(tool) AS nb_tools, count(DISTINCT message_id) AS nb_messages,
+         CAST(coalesce(sum(CAST(cost AS DECIMAL(38, 10))), 0) AS DOUBLE) AS cost,
+         CAST(coalesce(sum(tokens_total), 0) AS BIGINT) AS tokens
+  FROM parts WHERE session_id IS NOT NULL GROUP BY 1)
+SELECT left(s.title, 60) || ' (' || s.id || ')' AS label, s.id, s.title, make_timestamp(s.time_created * 1000) AS dt,
+       s.summary_additions, s.summary_deletions, a.nb_parts, a.nb_tools, a.nb_messages, a.cost, a.tokens
+FROM fx_session s LEFT JOIN agg a ON s.id = a.session_id""",
     "q_json_safe": """SELECT event_id,
   CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
        ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts,

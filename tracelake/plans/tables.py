@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.functions.scalars import epoch_ms
-from tracelake.sources.sinks import cluster_by_group
+from tracelake.sources.sinks import rebalanced
 
 LOAD = "load_id"
 
@@ -261,12 +261,13 @@ def month_of(ms: Column | str) -> Column:
 def write_partitioned(df: DataFrame, path: str, by: str = "month", time_col: str = "time_created") -> str:
     """Write with one directory per month (or any column ``by``).
 
-    Rows are clustered on the partition value first, a large month split
-    over several tasks (``cluster_by_group``), so each task writes few files;
-    readers filtering on ``by`` read only the matching directories.
+    Rows are put side by side by the partition value first, a large month split
+    over several tasks (``rebalanced``), so each task writes few files; the input
+    is evaluated once.  Readers filtering on ``by`` read only the matching
+    directories.
     """
     out = df if by in df.columns else df.withColumn(by, month_of(time_col))
-    cluster_by_group(out, by).write.mode("overwrite").partitionBy(by).parquet(path)
+    rebalanced(out, by).write.mode("overwrite").partitionBy(by).parquet(path)
     return path
 
 

@@ -19,7 +19,7 @@ from tracelake.operators import overview as ov
 from tracelake.operators import parts as parts_ops
 from tracelake.operators import sessions as sess
 from tracelake.operators import timeline as tl
-from tracelake.plans import sqlapi, tables
+from tracelake.plans import sqlapi, sqlfuncs, tables
 from tracelake.plans.ordering import with_position
 from tracelake.schemas import PARTS
 from tracelake.session import scratch_path, shared_dir
@@ -131,6 +131,39 @@ def _parts(spark: SparkSession, sf: str) -> DataFrame:
     return fx.fx_parts(spark, sf)
 
 
+def _whole_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of all messages, with whole tool texts."""
+    return fx.fx_parts(spark, sf, whole=True)
+
+
+def q_whole_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed parts of all messages, texts whole."""
+    return _whole_parts(spark, sf)
+
+
+def q_whole_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Display rows whose tool outputs are cut at 4,000 characters."""
+    return tl.timelines(_whole_parts(spark, sf), n=tl.DEFAULT_N)
+
+
+def q_tool_calls_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """O3 P5: all tool calls, with their place in the order."""
+    calls = tools.tool_calls(_whole_parts(spark, sf))
+    return with_position(calls, ["time_created", "part_id"], "pos")
+
+
+def q_session_summary_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """The session summary over all messages, with each session's place."""
+    out = sess.session_summary(fx.fx_sessions(spark, sf), _whole_parts(spark, sf))
+    ranked = with_position(out, [F.desc_nulls_last("dt"), "id"], "pos")
+    return ranked.select("id", "dt", "nb_parts", "nb_messages", F.col("cost").cast("double").alias("cost"), "pos")
+
+
+def q_export_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """One session's parts, filtered before any JSON is parsed."""
+    return parts_ops.export_parts(*fx.fx_source(spark, sf, whole=True), session_id="s7")
+
+
 def q_parts_join(spark: SparkSession, sf: str) -> DataFrame:
     """Part -> message -> session inner joins."""
     joined = parts_ops.join_source(*fx.fx_source(spark, sf))
@@ -256,6 +289,23 @@ def q_log_parse(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_log_parse_session(spark: SparkSession, sf: str) -> DataFrame:
+    """Text log lines of one session, the others left out before parsing."""
+    src = scratch_path(spark, "log-lines")
+    fx.fx_log_lines(spark, sf).write.text(src)
+    logs = log_src.read_text_logs(spark, src, session_id="s7", strict=True)
+    return logs.select("timestamp", "level", F.col("`session.id`").alias("session_id"), "cost")
+
+
+def q_log_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Names and types of the columns of a loaded log table, with the
+    number of values that each holds."""
+    logs = fx.fx_logs(spark, sf).drop("filename")
+    filled = logs.select(*[F.count(f"`{c}`").alias(c) for c in logs.columns])
+    values = filled.unpivot([], [f"`{c}`" for c in logs.columns], "column", "filled")
+    return ov.schema_of(logs).join(values, "column").select(F.col("position").cast("bigint").alias("position"), "column", "type", "filled")
+
+
 def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Two Parquet files with different columns, unioned by name."""
     root = scratch_path(spark, "union")
@@ -286,6 +336,13 @@ def q_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return listed.join(rows, "table")
 
 
+def q_inventory_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: every table found in a folder, whatever its name, with its rows."""
+    found = tbl_src.count_parquet(spark, sf)
+    name = F.regexp_extract("key", r"^([^/]+)\.parquet(/|$)", 1)
+    return found.groupBy(name.alias("table")).agg(F.sum("rows").alias("rows"))
+
+
 def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Parts written and read back."""
     path = sinks.write_table(_parts(spark, sf), scratch_path(spark, "parts"))
@@ -319,6 +376,18 @@ def q_session_export_one(spark: SparkSession, sf: str) -> DataFrame:
     raise AssertionError("the export of a session without parts did not fail")
 
 
+def q_session_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """All sessions in a fixed number of bucket folders, read back."""
+    path = sinks.export_session_buckets(_whole_parts(spark, sf), scratch_path(spark, "buckets"), buckets=16)
+    return tbl_src.read_parts(spark, path, merge=False)
+
+
+def q_session_from_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """One session, read from its bucket alone."""
+    path = sinks.export_session_buckets(_whole_parts(spark, sf), scratch_path(spark, "buckets"), buckets=16)
+    return tbl_src.read_session(spark, path, "s1")
+
+
 def q_ctas_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Create-once table, second run a no-op."""
     db = "tl_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
@@ -366,6 +435,41 @@ def q_sql_result_cap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_sql_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of a result and the number of all, from one run."""
+    sqlapi.register_views(spark, {"line_items": fx.table(spark, sf, "lineitem")})
+    res = sqlapi.run_sql(
+        spark, "SELECT l_orderkey, count(*) AS n FROM line_items GROUP BY 1 ORDER BY n DESC, l_orderkey;", max_rows=100, with_total=True
+    )
+    rows = [(i + 1, *row, res.total_rows) for i, row in enumerate(res.rows)]
+    return spark.createDataFrame(rows, "pos bigint, l_orderkey bigint, n bigint, total bigint")
+
+
+def _sql_with_functions(spark: SparkSession, sf: str, query: str) -> DataFrame:
+    sqlapi.register_views(spark, {
+        "parts": _whole_parts(spark, sf), "sessions": fx.fx_sessions(spark, sf), "logs": fx.fx_logs(spark, sf),
+    })
+    sqlfuncs.register_functions(spark)
+    return sqlapi.sql_frame(spark, query)
+
+
+def q_sql_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """Lenient times and numbers in SQL text alone."""
+    return _sql_with_functions(spark, sf, """
+        SELECT hour_of(lenient_time(`timestamp`)) AS hour, count(*) AS count, sum(lenient_number(`tokens.input`)) AS tokens
+        FROM logs WHERE lenient_time(`timestamp`) IS NOT NULL GROUP BY 1;""")
+
+
+def q_sql_timelines(spark: SparkSession, sf: str) -> DataFrame:
+    """The timelines as a table function."""
+    return _sql_with_functions(spark, sf, "SELECT * FROM timelines(200)")
+
+
+def q_sql_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """The session summary as a table function, with labels."""
+    return _sql_with_functions(spark, sf, "SELECT session_label(title, id) AS label, * FROM session_summaries()")
+
+
 def q_json_safe(spark: SparkSession, sf: str) -> DataFrame:
     """JSON-safe conversion of typed columns."""
     ev = fx.table(spark, sf, "events").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.plans.ordering import row_hash
@@ -38,6 +38,35 @@ def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFr
     return salted.repartition(n, key, F.col("_tl_salt")).drop("_tl_group", "_tl_k", "_tl_salt")
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that are equal in ``columns`` side by side, for a ``partitionBy`` write,
+    with the input evaluated once: Spark's rebalance hint shuffles on the columns,
+    and AQE, which then knows the sizes, splits large partitions at the advisory
+    size and joins small ones.  Without AQE it is a plain shuffle on the columns."""
+    return df.hint("rebalance", *columns)
+
+
+def export_session_buckets(df: DataFrame, path: str, buckets: int = 64, column: str = "session_id") -> str:
+    """S7 for millions of sessions: ``of=<buckets>/bucket=<k>/`` folders by a hash of
+    the session, each file sorted by session.
+
+    The number of folders does not depend on the sessions, a bucket that grows large
+    (one hot session, or the rows without one) becomes several files, and a reader
+    of one session (``sources.tables.read_session``) opens its bucket alone, where
+    the footers' ranges of sessions rule out most row groups.  One evaluation of
+    the input, one shuffle."""
+    key = F.col(f"`{column}`")
+    out = df.withColumn("of", F.lit(int(buckets))).withColumn("bucket", session_bucket(key, F.lit(int(buckets))))
+    out = rebalanced(out, "of", "bucket").sortWithinPartitions("bucket", key)
+    out.write.mode("overwrite").partitionBy("of", "bucket").parquet(path)
+    return path
+
+
+def session_bucket(session: Column, buckets: Column) -> Column:
+    """The bucket of a session: both sides of ``export_session_buckets`` use it."""
+    return F.pmod(F.xxhash64(session), buckets).cast("int")
+
+
 class EmptyExport(ValueError):
     """Raised when a per-session export would write nothing."""
 

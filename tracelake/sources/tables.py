@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tracelake.schemas import PARTS, SESSIONS, SOURCE_MESSAGE, SOURCE_PART, conform
+from tracelake.sources.sinks import session_bucket
 
 
 def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> DataFrame:
@@ -19,8 +22,9 @@ def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> Data
     if merge:
         try:
             raw = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
-        except Exception:
-            raw = None
+        except SparkException as e:
+            if "CANNOT_MERGE_SCHEMA" not in f"{e.getCondition()} {e}":
+                raise  # a missing path or a lost permission is no reason to try again
     if raw is None:
         raw = spark.read.schema(schema).option("basePath", path).parquet(path)
     return conform(raw, schema)
@@ -36,6 +40,16 @@ def read_sessions(spark: SparkSession, path: str, merge: bool = True) -> DataFra
     return _read_conformed(spark, path, SESSIONS, merge)
 
 
+def read_session(spark: SparkSession, path: str, session_id: str, schema=PARTS, column: str = "session_id") -> DataFrame:
+    """One session of a table written by ``sinks.export_session_buckets``: only the
+    folders of its bucket are listed and read (also where exports with several
+    numbers of buckets lie side by side)."""
+    stored = StructType([*schema.fields, StructField("of", IntegerType()), StructField("bucket", IntegerType())])
+    rows = spark.read.schema(stored).parquet(path)
+    own = F.col("bucket") == session_bucket(F.lit(session_id), F.col("of"))
+    return rows.where(own & (F.col(f"`{column}`") == F.lit(session_id))).drop("of", "bucket")
+
+
 def read_source(
     spark: SparkSession, root: str | None = None, jdbc_url: str | None = None, jdbc_props: dict | None = None,
     partitions: int = 16,
@@ -97,3 +111,17 @@ def list_parquet(spark: SparkSession, root: str) -> DataFrame:
         F.col("modificationTime").alias("modified"), kind.alias("kind"),
     ).orderBy("key")
 
+
+
+def count_parquet(spark: SparkSession, root: str) -> DataFrame:
+    """S3 with rows: the listing of ``list_parquet`` and the number of rows in each
+    file.  One scan over all files, whatever their schemas: it asks for a column that
+    no file has, so only footers are read."""
+    files = spark.read.schema("_tl_none int").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    rows = files.parquet(root.rstrip("/")).select(F.col("_metadata.file_path").alias("_tl_path"))
+    rows = rows.groupBy("_tl_path").agg(F.count(F.lit(1)).alias("rows"))
+    listed = list_parquet(spark, root)
+    return (
+        listed.join(rows, F.url_decode(listed["path"]) == F.url_decode(rows["_tl_path"]), "left")
+        .withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint"))).drop("_tl_path")
+    )
