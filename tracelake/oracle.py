@@ -328,6 +328,18 @@ per_load AS (SELECT load_id, count(*) AS rows FROM loads GROUP BY 1)
 SELECT p.load_id, CASE WHEN p.rows - coalesce(f.inserts, 0) = 0 THEN 'append' ELSE 'upsert' END AS operation,
        p.rows, coalesce(f.inserts, 0) AS inserts, p.rows - coalesce(f.inserts, 0) AS updates
 FROM per_load p LEFT JOIN firsts f ON p.load_id = f.load_id""",
+    "q_sketch_distinct": _with(FX_SOURCE, LOADS)
+    + "\nUNION ALL\n".join(
+        f"""SELECT CAST({a} AS BIGINT) AS first, CAST({b} AS BIGINT) AS last, '{c}' AS "column", count(DISTINCT {c}) AS exact, TRUE AS within
+FROM loads WHERE load_id BETWEEN {a} AND {b}"""
+        for a, b in ((0, 0), (0, 1), (1, 2), (0, 2)) for c in ("session_id", "message_id", "part_id")
+    ),
+    "q_sketch_quartiles": _with(FX_SOURCE, LOADS)
+    + "\nUNION ALL\n".join(
+        f"""SELECT CAST({a} AS BIGINT) AS first, CAST({b} AS BIGINT) AS last, '{c}' AS "column", CAST({q} AS DOUBLE) AS fraction,
+  count({c}) AS n, TRUE AS within FROM loads WHERE load_id BETWEEN {a} AND {b}"""
+        for a, b in ((0, 0), (0, 1), (1, 2), (0, 2)) for c in ("tokens_total", "time_created") for q in (0.25, 0.5, 0.75)
+    ),
     "q_partition_prune": _with(FX_SOURCE)
     + """SELECT strftime(make_timestamp(time_created * 1000), '%Y-%m') AS month, count(*) AS parts,
        count(DISTINCT session_id) AS sessions
@@ -341,6 +353,9 @@ WHERE strftime(make_timestamp(time_created * 1000), '%Y-%m') = '2024-02'""",
     "q_stream_ingest": LOG_LINES_EXPECTED,
     "q_stream_hourly": """SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM events GROUP BY 1
 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "q_stream_late": """SELECT date_trunc('hour', ts) AS hour, count(*) AS count,
+  (SELECT max(date_trunc('hour', ts)) FROM events) >= date_trunc('hour', ts) + INTERVAL 70 MINUTE AS settled
+FROM events GROUP BY 1""",
     "q_stream_dedup": _with(FX_SOURCE, LOADS) + "SELECT DISTINCT part_id, session_id, part_type FROM loads",
     "q_stream_upsert": _with(FX_SOURCE, LOADS) + _newest(),
     # ----------------------------------------------------------- overview

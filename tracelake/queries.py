@@ -19,7 +19,7 @@ from tracelake.operators import overview as ov
 from tracelake.operators import parts as parts_ops
 from tracelake.operators import sessions as sess
 from tracelake.operators import timeline as tl
-from tracelake.plans import sqlapi, sqlfuncs, tables
+from tracelake.plans import sketches, sqlapi, sqlfuncs, tables
 from tracelake.plans.ordering import with_position
 from tracelake.schemas import PARTS
 from tracelake.session import scratch_path, shared_dir
@@ -540,6 +540,59 @@ def q_load_history(spark: SparkSession, sf: str) -> DataFrame:
     return tables.load_history(spark, _upserted(spark, sf)).drop("committed_at")
 
 
+def _sketched(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Three loads and their sketches."""
+    table_dir, sketch_dir = _upserted(spark, sf), scratch_path(spark, "sketches")
+    for n in range(3):
+        sketches.write_sketches(spark, table_dir, sketch_dir, n, ["session_id", "message_id", "part_id"], ["tokens_total", "time_created"])
+    return table_dir, sketch_dir
+
+
+LOAD_RANGES = [(0, 0), (0, 1), (1, 2), (0, 2)]
+
+
+def q_sketch_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct sessions, messages and parts of ranges of loads, from
+    sketches alone, against the exact counts."""
+    table_dir, sketch_dir = _sketched(spark, sf)
+    loads, out = tables.read_loads(spark, table_dir), None
+    columns = ["session_id", "message_id", "part_id"]
+    for a, b in LOAD_RANGES:
+        rows = loads.where(F.col(tables.LOAD).between(a, b)).agg(*[F.count_distinct(c).alias(c) for c in columns])
+        exact = rows.unpivot([], columns, "column", "exact")
+        one = sketches.distinct_in_loads(spark, sketch_dir, columns, a, b).join(exact, "column")
+        near = F.abs(F.col("estimate") - F.col("exact")) <= F.col("bound") * F.col("exact")
+        one = one.select(F.lit(a).cast("bigint").alias("first"), F.lit(b).cast("bigint").alias("last"), "column", "exact", near.alias("within"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_sketch_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles of ranges of loads from sketches alone; the error in rank
+    is measured against all rows."""
+    table_dir, sketch_dir = _sketched(spark, sf)
+    loads, out = tables.read_loads(spark, table_dir), None
+    for a, b in LOAD_RANGES:
+        guess = sketches.quartiles_in_loads(spark, sketch_dir, ["tokens_total", "time_created"], a, b)
+        rows = loads.where(F.col(tables.LOAD).between(a, b))
+        values = rows.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in ("tokens_total", "time_created")
+        ])).alias("x")).select("x.*").where(F.col("v").isNotNull())
+        # the rows at or below and below the estimate: its rank lies between them
+        ranks = guess.join(values, "column").groupBy("column", "fraction", "n", "bound").agg(
+            F.count_if(F.col("v") <= F.col("estimate")).alias("upto"), F.count_if(F.col("v") < F.col("estimate")).alias("below"),
+            F.count(F.lit(1)).alias("exact"),
+        )
+        want, slack = F.col("fraction") * F.col("n"), F.col("bound") * F.col("n") + 1
+        near = (F.col("below") <= want + slack) & (F.col("upto") >= want - slack)
+        one = ranks.select(
+            F.lit(a).cast("bigint").alias("first"), F.lit(b).cast("bigint").alias("last"), "column", "fraction",
+            F.col("exact").alias("n"), (near & (F.col("n") == F.col("exact"))).alias("within"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_partition_prune(spark: SparkSession, sf: str) -> DataFrame:
     """Parts partitioned by month, per-month counts."""
     path = tables.write_partitioned(_parts(spark, sf), scratch_path(spark, "by-month"), by="month")
@@ -596,6 +649,19 @@ def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def q_stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts on a stream, with files that come long after their
+    hours: none of their rows is lost."""
+    root = scratch_path(spark, "stream-late")
+    ev = fx.table(spark, sf, "events").select(F.col("ts").alias("timestamp"), "event_id")
+    late = F.col("event_id") % 4 == 0
+    for n, part in enumerate((ev.where(~late), ev.where(late))):
+        part.write.parquet(f"{root}/in/{n}")
+        src = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        streams.run(streams.write_stream(streams.stream_hourly_partial(src), f"{root}/out", f"{root}/ckpt"))
+    return streams.read_hourly(spark, f"{root}/out")
+
+
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Repeated exports de-duplicated on a stream, one file a batch, the
     newest rows first."""
