@@ -46,7 +46,9 @@ HEX_ANY = re.compile(r"[0-9A-Fa-f]+")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[w-z0-9_-][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])+)-----END \1-----")
 ESCAPE = re.compile(r"\\+[nrt]|\\+(?=/)|\s+")
-LINE_MIN = 8  # characters of a first line, from which a start of a key is told
+LINE_MIN = 8  # characters of a first line
+HEAD = 64  # characters of a run, over its lines, from which the start of a key is told
+NESTED = re.compile(rb"[A-Za-z0-9+/_=-]+")
 RUN = re.compile(r"[A-Za-z0-9+/_-]++(?:={0,2})")
 # A line end between two runs, with what else stands at its sides (indents, quotes, commas, comment marks).
 _SIDE = r"(?:[^\w+/=\r\n\\-]|\\+t)*+"
@@ -177,57 +179,114 @@ def key_kind(run: str) -> int | None:
     return None
 
 
-def key_starts(run: str) -> list[tuple[int, int, int] | None]:
-    """What a run whose first characters are given may begin: for a DER key
-    (characters, the bytes they stand for, bytes in all), None for what only
-    decoding the whole can tell; nothing if it begins no key."""
-    out = []
-    for per, n, data in ((2, 1, decoded_hex(run)), (4, 3, decoded_base64(run))):
-        if data is None:
+class Chain:
+    """Encoded runs that follow each other over line ends: their characters
+    joined, without padding, and where in them each run starts and ends."""
+
+    def __init__(self, text: str, start: int):
+        runs, self.starts, self.ends = [], {}, {}
+        at = 0
+        run = RUN.match(text, start)
+        while run:
+            body = run[0].rstrip("=")
+            self.starts[run.start()] = at
+            at += len(body)
+            self.ends[at] = run.end()
+            runs.append(body)
+            if len(body) < len(run[0]):
+                break
+            join = JOIN.match(text, run.end())
+            run = join and RUN.match(text, join.end())
+        self.joined = "".join(runs)
+
+    def key(self, start: int) -> tuple[int, int] | None:
+        """``(kind number, end)`` of the key that starts at ``start`` in the text."""
+        at = self.starts[start]
+        for n in sorted(key_sizes(lambda n: self.joined[at : at + n], len(self.joined) - at)):
+            if n >= ENCODED_MIN and at + n in self.ends:
+                kind = key_kind(self.joined[at : at + n])
+                if kind is not None:
+                    return kind, self.ends[at + n]
+        return None
+
+
+def key_sizes(first, limit: int) -> set[int]:
+    """How many of ``limit`` characters the key takes that a run starts with, as
+    its own lengths say.  ``first(n)`` gives the run's first n characters: its head is
+    decoded, and more only as far as counted fields go."""
+    out = set()
+    head = first(HEAD)
+    for decode, per, n in ((decoded_hex, 2, 1), (decoded_base64, 4, 3)):
+        data, room = decode(head), limit * n // per
+        if not data or len(data) < 6 or room < 16:
             continue
-        if len(data) < 6:
-            out.append(None)
-        elif data[0] == 0x30:
+
+        def data_of(size: int, decode=decode, per=per, n=n) -> bytes:
+            return decode(first(-(-size // n) * per)) or b""
+
+        if data[0] == 0x30:
             size = data[1] & 0x7F if data[1] & 0x80 else 0
-            if size <= 4:
-                total = int.from_bytes(data[2 : 2 + size], "big") if size else data[1]
-                out.append((per, n, 2 + size + total))
+            if size <= 4 and data[2 + size : 3 + size] in (b"\2", b""):  # every private key starts with its version
+                total = 2 + size + (int.from_bytes(data[2 : 2 + size], "big") if size else data[1])
+                out.add(-(-total * per // n))
         elif data[: len(OPENSSH)] == OPENSSH[: len(data)]:
-            out.append(None)
-        elif re.fullmatch(rb"[A-Za-z0-9+/_-]+={0,2}", data) and key_starts(data.decode()):
-            out.append(None)
+            total = openssh_size(data_of, room)
+            if total:
+                out.add(-(-total * per // n))
+        elif NESTED.fullmatch(data):
+            for size in key_sizes(lambda size, data_of=data_of: NESTED.match(data_of(size) + b"=")[0].decode("ascii")[:size], room):
+                # with the inner padding and a line end after it
+                out |= {-(-(size + more) * per // n) for more in range(5)}
     return out
 
 
+def openssh_size(data_of, limit: int) -> int | None:
+    """The bytes of an OpenSSH key by its counted fields, if there are so many;
+    ``data_of(n)`` gives at least the first n of ``limit`` bytes."""
+    data, at = data_of(256), len(OPENSSH)
+
+    def number() -> int | None:
+        nonlocal data, at
+        if at + 4 > limit:
+            return None
+        if at + 4 > len(data):
+            data = data_of(max(at + 4, 2 * len(data)))
+            if data is None or at + 4 > len(data):
+                return None
+        at += 4
+        return int.from_bytes(data[at - 4 : at], "big")
+
+    fields = 3
+    while fields:
+        n = number()
+        if n is None:
+            return None
+        at += n
+        fields -= 1
+    keys = number()
+    if keys is None or not 1 <= keys <= 16:
+        return None
+    for _ in range(keys + 1):
+        n = number()
+        if n is None:
+            return None
+        at += n
+    return at if at <= limit else None
+
+
 def decoded_hex(run: str) -> bytes | None:
     return bytes.fromhex(run[: len(run) // 2 * 2]) if HEX_ANY.fullmatch(run) else None
 
 
 def decoded_base64(run: str) -> bytes | None:
     run = run.rstrip("=")
-    return base64.b64decode(run[: len(run) // 4 * 4].replace("-", "+").replace("_", "/"))
-
-
-def wrapped_key(text: str, start: int) -> tuple[int, int] | None:
-    """``(kind number, end)`` of the key that starts at ``start`` and goes on
-    over line ends."""
-    run = RUN.match(text, start)
-    starts = key_starts(run[0][:64])
-    if not starts:
+    whole = run[: len(run) // 4 * 4]
+    if len(run) % 4 > 1:
+        whole = run + "=" * (-len(run) % 4)
+    try:
+        return base64.b64decode(whole.replace("-", "+").replace("_", "/"))
+    except (binascii.Error, ValueError):
         return None
-    lines, length = [], 0
-    while run:
-        lines.append(run[0])
-        end, length = run.end(), length + len(run[0].rstrip("="))
-        if any(x is None or length * x[1] // x[0] == x[2] for x in starts) and length >= ENCODED_MIN:
-            kind = key_kind("".join(lines))
-            if kind is not None:
-                return kind, end
-        if run[0].endswith("="):
-            break
-        join = JOIN.match(text, end)
-        run = join and RUN.match(text, join.end())
-    return None
 
 
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
@@ -239,11 +298,13 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
             if kind is not None:
                 out.append((m.start(), kind, m.end()))
     seen = [(a, b) for a, _, b in out]
-    at = 0
+    at, chain = 0, None
     for m in FIRST.finditer(text):
         escaped = text[m.start() - 1 : m.start()] in ("n", "r", "t") and text[m.start() - 2 : m.start() - 1] == "\\"
         if m.start() >= at and (escaped or JOIN.match(text, RUN.match(text, m.start()).end())):
-            found = None if any(a <= m.start() < b for a, b in seen) else wrapped_key(text, m.start())
+            if chain is None or m.start() not in chain.starts:
+                chain = Chain(text, m.start())
+            found = None if any(a <= m.start() < b for a, b in seen) else chain.key(m.start())
             if found:
                 kind, at = found
                 out.append((m.start(), kind, at))
