@@ -37,7 +37,8 @@ SIZE = 4096
 END_ID = 2
 END = END_ID.to_bytes(4, "little")
 SALTS = 64
-CACHE_WORDS = 500_000  # in each store of a worker process, about 80 MB
+CACHE_WORDS = 150_000  # in each half of a store of a worker process, about 20 MB
+ROWS = 500  # documents whose pieces are held at a time
 CALL_WORDS = 1000  # encoded in one call
 WORD_END = "</w>"
 SPECIAL = b"<|"  # special tokens start so
@@ -53,6 +54,30 @@ TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class Store:
+    """Ids by word, in two halves: when ``now`` is full it becomes the old one,
+    whose words come back as they are met again."""
+
+    def __init__(self):
+        self.now: dict = {}
+        self.old: dict = {}
+
+    def __len__(self) -> int:
+        return len(self.now)
+
+    def missing(self, words: list) -> list:
+        """The words that are in neither half; afterwards all others are in ``now``."""
+        new = set(words).difference(self.now)
+        if len(self.now) + len(new) > CACHE_WORDS:
+            self.now, self.old = {}, self.now
+            new = set(words)
+        if new and self.old:
+            found = {w: self.old[w] for w in new if w in self.old}
+            self.now.update(found)
+            new.difference_update(found)
+        return list(new)
+
+
 class Encoder:
     """Ids of whole texts.
 
@@ -79,16 +104,15 @@ class Encoder:
             tokenizer = public_tokenizers.path(tokenizer)
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.by_words = getattr(self.tokenizer.model, "end_of_word_suffix", None) == WORD_END
-        self.bare = Tokenizer.from_file(tokenizer)
-        self.bare.normalizer = None
+        self.bare = Tokenizer(self.tokenizer.model)  # the same tables, no second copy of them
         split = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         self.bare.pre_tokenizer = pre_tokenizers.Sequence(split)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         # ids as bytes: joining them is cheap, and the collector skips them
-        self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known = Store()
+        self.words = Store()
 
     def encode(self, text: bytes):
         import numpy as np
@@ -100,14 +124,10 @@ class Encoder:
             own = [x if CAPITAL.search(x) else x.lower() for x in text.split()]
         else:
             own = text.lower().split()
-        known = self.known
-        new = list(set(own).difference(known))
+        new = self.known.missing(own)
         if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(own))
             self.learn(new)
-        return np.frombuffer(b"".join(map(known.__getitem__, own)) + END, "<u4")
+        return np.frombuffer(b"".join(map(self.known.now.__getitem__, own)) + END, "<u4")
 
     def learn(self, stretches: list[bytes]) -> None:
         """Puts the ids of stretches, lower-cased or as they stand, into the store."""
@@ -123,17 +143,15 @@ class Encoder:
         rest.discard(b"")
         got = self.tokenizer.encode_batch_fast([x.decode() for x in rest], add_special_tokens=False)
         others = {x: as_bytes(g.ids) for x, g in zip(rest, got, strict=True)} | {b"": b""}
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        new = list({word for word, _ in words.values()}.difference(self.words))
+        new = self.words.missing([word for word, _ in words.values()])
         for i in range(0, len(new), CALL_WORDS):
             self.learn_words(new[i : i + CALL_WORDS])
         for stretch in stretches:
             if stretch in words:
                 word, tail = words[stretch]
-                self.known[stretch] = self.words[word] + others[tail]
+                self.known.now[stretch] = self.words.now[word] + others[tail]
             else:
-                self.known[stretch] = others[stretch]
+                self.known.now[stretch] = others[stretch]
 
     def learn_words(self, new: list[str]) -> None:
         import numpy as np
@@ -142,7 +160,7 @@ class Encoder:
         ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         joined = as_bytes(ids)
         for word, start, end in zip(new, [0, *ends[:-1]], ends, strict=True):
-            self.words[word] = joined[start:end]
+            self.words.now[word] = joined[start:end]
 
 
 def as_bytes(ids: list[int]) -> bytes:
@@ -177,21 +195,23 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, keep_i
         import pyarrow as pa
 
         encoder = encoder_of(tokenizer)
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         for batch in batches:
-            rows: list[tuple] = []
-            kept = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text)
-                for start in range(0, len(ids), size):
-                    piece = ids[start : start + size].astype("<u4", copy=False)
-                    rows.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-                    if keep_ids:
-                        kept.append(piece.astype("int32"))
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            columns = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)]
-            if keep_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * keep_ids)
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                rows: list[tuple] = []
+                kept = []
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = encoder.encode(text)
+                    for start in range(0, len(ids), size):
+                        piece = ids[start : start + size].astype("<u4", copy=False)
+                        rows.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                        if keep_ids:
+                            kept.append(piece.astype("int32"))
+                columns = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)]
+                if keep_ids:
+                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * keep_ids)
 
     schema = PIECES + (", ids array<int>" if keep_ids else "")
     return id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary")).mapInArrow(run, schema)
