@@ -37,7 +37,7 @@ SIZE = 4096
 END_ID = 2
 END = END_ID.to_bytes(4, "little")
 SALTS = 64
-CACHE_WORDS = 150_000  # in each half of a store of a worker process, about 20 MB
+CACHE_WORDS = 400_000  # in each half of a store of a worker process, about 60 MB
 ROWS = 500  # documents whose pieces are held at a time
 CALL_WORDS = 1000  # encoded in one call
 WORD_END = "</w>"
@@ -58,7 +58,8 @@ class Store:
     """Ids by word, in two halves: when ``now`` is full it becomes the old one,
     whose words come back as they are met again."""
 
-    def __init__(self):
+    def __init__(self, limit: int):
+        self.limit = limit
         self.now: dict = {}
         self.old: dict = {}
 
@@ -68,7 +69,7 @@ class Store:
     def missing(self, words: list) -> list:
         """The words that are in neither half; afterwards all others are in ``now``."""
         new = set(words).difference(self.now)
-        if len(self.now) + len(new) > CACHE_WORDS:
+        if len(self.now) + len(new) > self.limit:
             self.now, self.old = {}, self.now
             new = set(words)
         if new and self.old:
@@ -91,7 +92,7 @@ class Encoder:
     Other stretches are encoded one by one, and texts that may hold a special
     token, or those of a vocabulary without ``WORD_END``, whole."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, cache_words: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,8 +112,8 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         # ids as bytes: joining them is cheap, and the collector skips them
-        self.known = Store()
-        self.words = Store()
+        self.known = Store(cache_words or CACHE_WORDS)
+        self.words = Store(cache_words or CACHE_WORDS)
 
     def encode(self, text: bytes):
         import numpy as np
@@ -175,26 +176,29 @@ def plain(word: str) -> bool:
     return word.isalpha() and max(word) < "\u0180" and word.lower().isalpha()
 
 
-_ENCODERS: dict[str, Encoder] = {}  # a worker process keeps its encoder from task to task
+_ENCODERS: dict[tuple, Encoder] = {}  # a worker process keeps its encoder from task to task
 
 
-def encoder_of(tokenizer: str) -> Encoder:
-    if tokenizer not in _ENCODERS:
-        _ENCODERS[tokenizer] = Encoder(tokenizer)
-    return _ENCODERS[tokenizer]
+def encoder_of(tokenizer: str, cache_words: int | None = None) -> Encoder:
+    key = tokenizer, cache_words
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(tokenizer, cache_words)
+    return _ENCODERS[key]
 
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, keep_ids: bool = False,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", cache_words: int | None = None) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``, and
-    ``ids`` if asked for."""
+    ``ids`` if asked for.  A worker process holds the ids of at most four times
+    ``cache_words`` stretches: fewer take less memory and more time."""
 
     def run(batches: Iterator) -> Iterator:
         import zlib
 
         import pyarrow as pa
 
-        encoder = encoder_of(tokenizer)
+        encoder = encoder_of(tokenizer, cache_words)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
