@@ -37,8 +37,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4,096 tokens."""
-    return packing.pack(packing.pieces(docs))
+    """Pieces of the documents in sequences of at most 4,096 tokens.  Small word
+    stores: the worker processes still hold what the stages before left."""
+    return packing.pack(packing.pieces(docs, cache_words=60_000))
 
 
 STAGES = [
