@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tracelake.operators.timeline import OUTPUT_CHARS, REASONING_CHARS
+from tracelake.schemas import PARTS, SESSIONS
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -87,16 +88,22 @@ FROM sessions s LEFT JOIN (
 ]
 
 
+def _has(spark: SparkSession, view: str, columns: list[str]) -> bool:
+    return spark.catalog.tableExists(view) and set(columns) <= set(spark.table(view).columns)
+
+
 def register_functions(spark: SparkSession) -> list[str]:
-    """Declare the scalar functions, and the table functions as far as their
-    views (``parts``, ``sessions``) are registered; returns the names."""
+    """Declare the scalar functions, and the table functions as far as views
+    ``parts`` and ``sessions`` with the columns they read are registered; returns
+    the names."""
     names = []
     for name, parameters, result, body in SCALARS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
         names.append(name)
-    needs = {"timelines": ("parts",), "session_summaries": ("parts", "sessions")}
+    parts, sessions = ("parts", PARTS), ("sessions", SESSIONS)
+    needs = {"timelines": [parts], "session_summaries": [parts, sessions]}
     for name, parameters, result, body in TABLES:
-        if all(spark.catalog.tableExists(view) for view in needs[name]):
+        if all(_has(spark, view, schema.fieldNames()) for view, schema in needs[name]):
             spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE({result}) RETURN {body}")
             names.append(name)
     return names
