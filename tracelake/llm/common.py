@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.session import shared_dir
+from tracelake.session import scratch_path, shared_dir
 
 BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
@@ -31,6 +31,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """The tables of one run: Parquet in the shared folder, which survives lost
+    executors.  ``drop`` removes those whose consumers are all written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "table")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        jvm = self.spark._jvm
+        for frame in frames:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(frame))[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def last(self, df: DataFrame) -> DataFrame:
+        """Write the result and drop all other tables."""
+        others = [frame for frame, _ in self.paths.values()]
+        out = self.write(df)
+        self.drop(*others)
+        return out
+
+
 def only(docs: DataFrame, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` on their way to a join with ``ids`` (one column): if the ids
     are at most ``limit``, other documents are left out before the shuffle."""

@@ -14,8 +14,9 @@ full sets, and a class is a connected component.
    two set sizes is no link for certain.  Pairs must be near by both.
 2. Equal sets are one candidate (their smallest id).
 3. Star rounds: in every band bucket each member is a candidate with the
-   bucket's smallest id; per member the most similar such partner (by sketch)
-   is confirmed.  That is one pair a document, whatever the bucket's size.
+   bucket's smallest id; per member the partner it shares most buckets with is
+   confirmed if their sketches are near.  That is one pair a document, whatever
+   the bucket's size.
    As long as step 4 would look at more than ``CROSS`` pairs a member, up to
    ``ROUNDS`` more rounds do so with leaders drawn by a hash, for members of
    other components than the leader's.
@@ -26,8 +27,10 @@ full sets, and a class is a connected component.
    split by each second band, so that pairs meet only if they share two.
 5. Components by large-star and small-star rounds over the confirmed links.
 
-Sets travel only for documents in a candidate pair.  Hot ids (a leader of many
-members) meet in joins of two written tables, which Spark splits when skewed.
+Sets travel only for documents in a candidate pair, to the pair's other member.
+Hot ids (a leader of many members) meet in joins of two shuffles, which Spark
+splits when skewed.  Tables between the steps are Parquet files in the shared
+folder, removed once what follows from them is written.
 
 Defined results: a null or empty text, or one without words, has no shingle,
 is linked with nothing and kept; fewer than five words are one shingle; ties go
@@ -44,7 +47,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, id_text, only
+from tracelake.llm.common import BROADCAST_IDS, Tables, id_text
 
 SHINGLE = 5
 PERCENT = 75
@@ -56,6 +59,7 @@ ROUNDS = 1  # star rounds with drawn leaders
 CROSS = 100
 LARGE = 20_000  # members from which a mixed bucket is split by a second band
 CHUNK = 1024
+EDGES_A_TASK = 8192  # the star rounds use no more tasks than their edges need
 
 
 def _mix(x):
@@ -180,10 +184,10 @@ def _may_link(whole_a: str, whole_b: str, size_a: str, size_b: str):
     return _xor(whole_a, whole_b) * (100 + PERCENT) <= (F.col(size_a) + F.col(size_b)) * (100 - PERCENT)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    pairs = cut(pairs)
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    pairs = tables.write(pairs.select("a", "b"))
+    near = _bounded(pairs)
 
     def sets(batches):
         import pyarrow as pa
@@ -192,9 +196,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             found = [shingles(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
-    needed = cut(needed)
-    own = only(docs, needed).join(needed, "doc_id").select("doc_id", F.col("text").cast("binary"))
-    own = cut(own.mapInArrow(sets, "id long, set binary"))
+    def sets_of(ids: DataFrame, name: str) -> DataFrame:
+        ids = ids.toDF("_id").distinct()
+        own = docs.join(near(ids), docs["doc_id"] == ids["_id"], "left_semi")
+        own = own.select("doc_id", F.col("text").cast("binary")).mapInArrow(sets, "id long, set binary")
+        return own.select(F.col("id").alias(name), F.col("set").alias(f"set_{name}"))
 
     def run(batches):
         import numpy as np
@@ -208,75 +214,95 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = own.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
-    right = own.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return cut(joined.mapInArrow(run, "a long, b long"))
+    left = sets_of(pairs.select("a"), "a").join(near(pairs), "a")
+    joined = left.join(sets_of(pairs.select("b"), "b"), "b").select("a", "b", "set_a", "set_b")
+    links = tables.write(joined.mapInArrow(run, "a long, b long"))
+    tables.drop(pairs)
+    return links
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _bounded(table: DataFrame):
+    """What to do with frames of at most the rows of ``table`` (two numbers a
+    row) before a join: broadcast them if they are few enough, else nothing."""
+    return F.broadcast if table.count() <= BROADCAST_IDS else lambda frame: frame
+
+
+def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """``id, component`` (smallest id) of every id in the edges (a, b), by
     alternating large-star and small-star rounds until nothing changes."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
+    edges = tables.write(edges.distinct())
     state = None
     while True:
+        now = edges.agg(F.count("u").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if now == state:
+            break
+        state, tasks = now, 1 + 2 * now["n"] // EDGES_A_TASK
         both = edges.union(edges.select("v", "u"))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(smallest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.where("u > v").distinct())
+        large = tables.write(large.where("u > v").coalesce(tasks).distinct().coalesce(tasks))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = cut(small.where("u > v").distinct())
-        now = edges.agg(F.count("u").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == state:
-            break
-        state = now
+        small = tables.write(small.where("u > v").coalesce(tasks).distinct().coalesce(tasks))
+        tables.drop(edges, large)
+        edges = small
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row: ``doc_id, n_shingles, component_id, kept``."""
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, cross: int = CROSS, large: int = LARGE
+) -> DataFrame:
+    """For every row: ``doc_id, n_shingles, component_id, kept``.  ``rounds``,
+    ``cross`` and ``large`` (see above) change the way, not the links."""
+    tables = Tables(docs.sparkSession)
     texts = id_text(docs, id_col, text_col)
-    found = cut(sketched(texts))
+    found = tables.write(sketched(texts))
     own = found.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(own.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    reps = own.join(classes, "set_key").where("doc_id = rep").select("rep", "n_shingles", "bands", "odd", "whole")
-    reps = cut(reps)
+    classes = tables.write(own.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
+    named = found.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
+    named = tables.write(named.select("doc_id", "n_shingles", "rep"))
+    first = classes.select("set_key", F.col("rep").alias("doc_id"))
+    reps = own.dropDuplicates(["set_key", "doc_id"]).join(first, ["set_key", "doc_id"], "left_semi")
+    reps = tables.write(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "odd", "whole"))
+    tables.drop(found, classes)
     odd = reps.select("rep", "n_shingles", "odd", "whole")
-    buckets = cut(reps.select("rep", F.explode("bands").alias("key")))
+    buckets = reps.select("rep", F.explode("bands").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last")
+    leaders = tables.write(leaders.select("key", "leader"))
     # members of buckets with company, and the bucket's leader
-    members = cut(buckets.join(leaders.select("key", "leader"), "key"))
+    members = tables.write(buckets.join(leaders, "key"))
+    tables.drop(leaders)
 
-    label, links = None, None
-    stars = members.where("rep > leader").select("rep", "leader").distinct()
-    for number in range(1, ROUNDS + 2):
+    links = None
+    stars = members.where("rep > leader").groupBy("rep").agg(F.mode("leader", True).alias("leader"))
+    for number in range(1, rounds + 2):
         stars = with_sketches(stars, odd, "rep", "leader")
         stars = stars.groupBy(F.col("rep").alias("a")).agg(F.min(F.struct("x", "leader"))["leader"].alias("b"))
-        found_links = confirmed(stars, texts)
+        found_links = confirmed(stars, texts, tables)
         links = found_links if links is None else links.unionByName(found_links)
-        label = cut(components(links))
-        mixed = labelled(members, label)
+        label = components(links, tables)
+        mixed = labelled(members, label, tables)
         outside = F.sum((F.col("mine") != F.col("theirs")).cast("long")).alias("s")
         sizes = mixed.groupBy("key").agg(F.count("rep").alias("n"), outside)
         size = sizes.agg(F.sum(F.col("n") * F.col("s")).alias("pairs"), F.sum("n").alias("n")).first()
-        if number > ROUNDS or (size["pairs"] or 0) <= CROSS * (size["n"] or 0):
+        if number > rounds or (size["pairs"] or 0) <= cross * (size["n"] or 0):
             break
-        stars = drawn_stars(mixed, number)
+        stars = drawn_stars(mixed, number, tables)
 
     # all pairs across components that share a bucket
-    pairs = cross_pairs(mixed, reps)
-    more = confirmed(pairs, texts)
+    pairs = with_sketches(cross_pairs(mixed, reps, large, tables), odd, "a", "b")
+    more = confirmed(pairs, texts, tables)
     if not more.isEmpty():
-        label = cut(components(links.union(more)))
+        label = components(links.union(more), tables)
 
-    named = found.join(classes, "set_key", "left").join(label.withColumnRenamed("id", "rep"), "rep", "left")
+    named = named.join(label.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return named.select(
+    return tables.last(named.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    ))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -294,68 +320,64 @@ def with_sketches(pairs: DataFrame, odd: DataFrame, a: str, b: str) -> DataFrame
     return pairs.where(F.col("x") <= MAX_XOR).select(a, b, "x")
 
 
-def drawn_stars(mixed: DataFrame, number: int) -> DataFrame:
+def drawn_stars(mixed: DataFrame, number: int, tables: Tables) -> DataFrame:
     """Pairs (rep, leader) of different components in buckets whose leader is
     drawn by a hash that differs by bucket and round."""
     drawn = F.struct(F.xxhash64(F.lit(number), "key", "rep").alias("h"), F.col("rep").alias("leader"), F.col("mine").alias("theirs"))
-    leaders = cut(mixed.groupBy("key").agg(F.min(drawn).alias("drawn")).select("key", "drawn.leader", "drawn.theirs"))
+    leaders = tables.write(mixed.groupBy("key").agg(F.min(drawn).alias("drawn")).select("key", "drawn.leader", "drawn.theirs"))
     pairs = mixed.select("key", "rep", "mine").join(leaders, "key").where("mine <> theirs")
     return pairs.select("rep", "leader").distinct()
 
 
-def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+def labelled(members: DataFrame, label: DataFrame, tables: Tables) -> DataFrame:
     """Members (key, rep, leader) of buckets in several components, with the
     component of member (``mine``) and leader (``theirs``)."""
+    near = _bounded(label)
     mine = label.select(F.col("id").alias("rep"), F.col("component").alias("mine"))
     theirs = label.select(F.col("id").alias("leader"), F.col("component").alias("theirs"))
-    all_ = members.join(mine, "rep", "left").withColumn("mine", F.coalesce("mine", "rep"))
-    all_ = all_.join(theirs, "leader", "left").withColumn("theirs", F.coalesce("theirs", "leader"))
-    all_ = cut(all_)
-    several = all_.where("mine <> theirs").select("key").distinct()
-    return cut(all_.join(several, "key"))
+    all_ = members.join(near(mine), "rep", "left").withColumn("mine", F.coalesce("mine", "rep"))
+    all_ = all_.join(near(theirs), "leader", "left").withColumn("theirs", F.coalesce("theirs", "leader"))
+    several = tables.write(all_.where("mine <> theirs").select("key").distinct())
+    mixed = tables.write(all_.join(several, "key"))
+    tables.drop(several)
+    return mixed
 
 
-def cross_pairs(mixed: DataFrame, reps: DataFrame) -> DataFrame:
+def cross_pairs(mixed: DataFrame, reps: DataFrame, limit: int, tables: Tables) -> DataFrame:
     """Distinct pairs (a, b) of different components that share a bucket and
     whose sketches are near."""
     mixed = mixed.select("key", "rep", "mine", "theirs")
-    large = cut(mixed.groupBy("key").agg(F.count("rep").alias("n")).where(F.col("n") > LARGE).select("key"))
+    large = tables.write(mixed.groupBy("key").agg(F.count("rep").alias("n")).where(F.col("n") > limit).select("key"))
     if large.isEmpty():
-        return _pairs_in(mixed, reps, _first_common).distinct()
-    here = _pairs_in(mixed.join(large, "key", "left_anti"), reps, _first_common)
+        return _pairs_in(mixed, reps).distinct()
+    here = _pairs_in(mixed.join(large, "key", "left_anti"), reps)
     rest = mixed.join(large, "key").join(reps.select("rep", "bands"), "rep")
     again = rest.select("rep", "mine", "theirs", "key", F.explode("bands").alias("second")).where("key <> second")
-    again = cut(again.withColumn("key", _both("key", "second")).drop("second"))
+    again = tables.write(again.withColumn("key", _both("key", "second")).drop("second"))
     sizes = again.groupBy("key").agg(F.min("mine").alias("lo"), F.max("mine").alias("hi")).where("lo <> hi")
-    split = _pairs_in(again.join(sizes.select("key"), "key"), reps, lambda c: _both(c[0], c[1]))
+    split = _pairs_in(again.join(sizes.select("key"), "key"), reps)
     return here.unionByName(split).distinct()
 
 
-def _first_common(common):
-    return common[0]
-
-
 def _both(a, b):
     """One key for two bands, whichever comes first."""
     return F.xxhash64(F.least(a, b), F.greatest(a, b))
 
 
-def _pairs_in(members: DataFrame, reps: DataFrame, first) -> DataFrame:
-    """Near pairs of different components in a bucket; of the buckets that two
-    members share, the one whose key ``first`` names."""
-    known = cut(members.join(reps, "rep"))
+def _pairs_in(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """Near pairs of different components in a bucket, once for every bucket
+    that two members share."""
+    known = members.join(reps.select("rep", "n_shingles", "odd", "whole"), "rep")
     outside = known.where("mine <> theirs")
     outside = outside.select(
         "key", F.col("rep").alias("a"), F.col("mine").alias("ca"), F.col("n_shingles").alias("na"),
-        F.col("odd").alias("oa"), F.col("whole").alias("wa"), F.col("bands").alias("ba"),
+        F.col("odd").alias("oa"), F.col("whole").alias("wa"),
     )
     also = (F.col("mine") != F.col("theirs")).alias("also")
     other = known.select(
         "key", F.col("rep").alias("b"), F.col("mine").alias("cb"), also, F.col("n_shingles").alias("nb"),
-        F.col("odd").alias("ob"), F.col("whole").alias("wb"), F.col("bands").alias("bb"),
+        F.col("odd").alias("ob"), F.col("whole").alias("wb"),
     )
     near = (F.col("ca") != F.col("cb")) & (~F.col("also") | (F.col("a") < F.col("b")))
     near = near & _may_link("wa", "wb", "na", "nb") & (_xor("oa", "ob") <= MAX_XOR)
-    ordered = F.array_intersect(F.array_sort("ba"), "bb")  # the same for both members
-    near = near & (F.col("key") == first(ordered))
     return outside.join(other, "key").where(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
