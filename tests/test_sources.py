@@ -84,3 +84,65 @@ def test_union_groups_paths_by_schema(spark, scratch):
     assert logs.count() == 4
     plan = logs._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 2  # one scan per distinct schema
+
+
+def _written(folder, **files):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    local = folder.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    for name, columns in files.items():
+        pq.write_table(pa.table(columns), f"{local}/{name}.parquet")
+
+
+def test_read_parts_of_unlike_types(spark, scratch):
+    import pyarrow as pa
+
+    from tracelake.sources.tables import read_parts
+
+    path = scratch("unlike parts")
+    _written(
+        path,
+        a={"part_id": ["a"], "tokens_total": [1], "time_created": pa.array([5], pa.int32())},
+        b={"part_id": ["b"], "tokens_total": [2.0], "cost": [0.5]},
+        c={"part_id": ["c"], "tokens_total": ["3"], "time_created": pa.array([6], pa.int64())},
+        d={"part_id": ["d"], "tokens_total": pa.nulls(1), "part_id_": [1]},
+        e={"part_id": [7], "tokens_total": ["n/a"]},
+        f={"part_id": pa.array([], pa.string()), "tokens_total": pa.array([], pa.bool_())},
+    )
+    own = read_parts(spark, path)
+    got = {r["part_id"]: (r["tokens_total"], r["time_created"], r["cost"]) for r in own.collect()}
+    assert got == {"a": (1, 5, None), "b": (2, None, 0.5), "c": (3, 6, None), "d": (None, None, None), "7": (None, None, None)}
+
+
+def test_unlike_types_below_partition_folders(spark, scratch):
+    from tracelake.sources.tables import read_parts
+
+    path = scratch("unlike-folders")
+    for s, kind in (("s1", "int"), ("s2", "double"), ("s3", "string"), ("s4", "int")):
+        spark.sql(f"SELECT 'p{s}' AS part_id, CAST(4 AS {kind}) AS tokens_total").write.parquet(f"{path}/session_id={s}")
+    own = read_parts(spark, path)
+    assert {(r["part_id"], r["session_id"], r["tokens_total"]) for r in own.collect()} == {(f"ps{i}", f"s{i}", 4) for i in (1, 2, 3, 4)}
+    assert own._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3  # one scan per type, not per file
+
+
+def test_agreeing_types_share_a_scan():
+    from tracelake.sources.mixed import agreeing
+
+    assert agreeing([{"a": "int"}, {"b": "int"}, {"a": "text", "b": "int"}, {"b": "text"}, {"a": "int", "b": "int"}, {}]) == [
+        [0, 1, 4, 5], [2], [3]]
+
+
+def test_other_read_errors_are_raised(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from tracelake.sources.tables import read_parts
+
+    with pytest.raises(AnalysisException):
+        read_parts(spark, scratch("nothing here"))
+    with pytest.raises(AnalysisException):
+        read_logs(spark, [scratch("nothing there")])

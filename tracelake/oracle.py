@@ -275,6 +275,10 @@ FROM events WHERE user_id = 7""",
        CAST(NULL AS VARCHAR) AS cost, 'a' AS file FROM events WHERE event_id % 2 = 0
 UNION ALL
 SELECT ts, NULL, 's' || CAST(user_id AS VARCHAR), CAST(value AS VARCHAR), 'b' FROM events WHERE event_id % 2 = 1""",
+    "q_mixed_types": """SELECT 'p' || event_id AS part_id, 's' || user_id AS session_id,
+       CASE WHEN event_id % 3 = 2 THEN 'text' END AS part_type,
+       CASE WHEN event_id % 3 > 0 AND event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 50 AS BIGINT) END AS tokens_total,
+       CASE WHEN event_id % 3 = 1 THEN CAST(value AS DOUBLE) END AS cost FROM events""",
     "q_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_source_roundtrip": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",
     "q_session_export": _with(FX_SOURCE) + f"SELECT {PART_COLS} FROM parts",

@@ -322,6 +322,21 @@ def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """One table in files that hold a column as int, as double and as text."""
+    root = scratch_path(spark, "mixed")
+    ev = fx.table(spark, sf, "events")
+    eid = F.col("event_id")
+    own = (F.concat(F.lit("p"), eid.cast("string")).alias("part_id"), F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session_id"))
+    n = (eid % 50).cast("int")
+    ev.where(eid % 3 == 0).select(*own, n.alias("tokens_total")).write.mode("append").parquet(root)
+    gap = F.when(eid % 7 == 0, F.lit(float("nan"))).otherwise(n.cast("double"))
+    ev.where(eid % 3 == 1).select(*own, gap.alias("tokens_total"), F.col("value").alias("cost")).write.mode("append").parquet(root)
+    text = F.when(eid % 7 == 0, F.lit("n/a")).otherwise(n.cast("string"))
+    ev.where(eid % 3 == 2).select(*own, text.alias("tokens_total"), F.lit("text").alias("part_type")).write.mode("append").parquet(root)
+    return tbl_src.read_parts(spark, root).select("part_id", "session_id", "part_type", "tokens_total", "cost")
+
+
 def q_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """S3: the Parquet file catalogue of a folder, with the rows that the
     files of each table hold."""

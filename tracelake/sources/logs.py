@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from tracelake.functions.logparse import drop_blank, parse_log_lines
 from tracelake.functions.scalars import utc_wall_clock
 from tracelake.schemas import LOG_FIELDS
+from tracelake.sources.mixed import ReadError, cannot_merge, read_mixed
 
 
 def read_log_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -64,24 +64,14 @@ def read_logs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     matched by name, absent ones NULL, plus the source file name.
 
     When all files agree on types, one scan with ``mergeSchema`` does it.
-    When they do not (an int here, a string there), paths are grouped by
-    their own schema (a footer read per path), each group is one scan cast
-    to the ``logs`` schema, and the groups are unioned by name — one scan
-    per distinct schema, not per file.
+    When they do not (an int here, a string there), the files are grouped by
+    the types in their footers, each group is one scan cast to the ``logs``
+    schema, and the groups are united by name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     try:
         return _to_logs_schema(spark.read.option("mergeSchema", "true").parquet(*paths))
-    except AnalysisException:
-        pass
-    except Exception as exc:  # schema merge conflicts surface as SparkException
-        if "merge" not in str(exc).lower() and "incompatible" not in str(exc).lower():
+    except ReadError as e:
+        if not cannot_merge(e):
             raise
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
-    frames = [_to_logs_schema(spark.read.parquet(*group)) for group in groups.values()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return read_mixed(spark, paths, _to_logs_schema)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tracelake.schemas import PARTS, SESSIONS, SOURCE_MESSAGE, SOURCE_PART, conform
+from tracelake.sources.mixed import ReadError, cannot_merge, read_mixed
 from tracelake.sources.sinks import session_bucket
 
 
@@ -16,18 +16,16 @@ def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> Data
     name.  Files of one table may disagree on types (a pandas writer turns an
     integer column with gaps into float): with ``merge`` the merged file
     schema is read (footers of all files, merged by a Spark job when there
-    are many) and cast; without it, or when the files cannot be merged, the
-    fixed schema is imposed on the scan."""
-    raw = None
-    if merge:
-        try:
-            raw = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
-        except SparkException as e:
-            if "CANNOT_MERGE_SCHEMA" not in f"{e.getCondition()} {e}":
-                raise  # a missing path or a lost permission is no reason to try again
-    if raw is None:
-        raw = spark.read.schema(schema).option("basePath", path).parquet(path)
-    return conform(raw, schema)
+    are many) and cast, and files that cannot be merged are read in groups of
+    like types; without it the fixed schema is imposed on the scan."""
+    if not merge:
+        return conform(spark.read.schema(schema).option("basePath", path).parquet(path), schema)
+    try:
+        return conform(spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path), schema)
+    except ReadError as e:
+        if not cannot_merge(e):
+            raise
+    return read_mixed(spark, [path], lambda raw: conform(raw, schema), base=path)
 
 
 def read_parts(spark: SparkSession, path: str, merge: bool = True) -> DataFrame:
