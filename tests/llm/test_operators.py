@@ -354,6 +354,42 @@ def test_wrapped_licenses(spark, license_model):
     assert got[9]["places"] == ""
 
 
+def test_license_gates_change_no_result(spark, license_model, monkeypatch):
+    rnd = random.Random(5)
+    notices = [t.split() for texts in licenses.TEMPLATES.values() for t in texts]
+    texts = []
+    for i in range(400):
+        lines = []
+        for _ in range(rnd.randint(1, 5)):
+            w = rnd.choice(notices)
+            a = rnd.randint(0, len(w) - 1)
+            w = w[a : a + rnd.randint(1, len(w))]
+            if i % 3:
+                w = [x for x in w if rnd.random() < 0.9] + rnd.choices(WORDS, k=rnd.randint(0, 4))
+            lines.append(rnd.choice([" ", "\n"]).join(w) if i % 2 else " ".join(w))
+        texts.append("\n".join(lines))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    gated = sorted(map(str, licenses.scan(rows, license_model).collect()))
+    words = sorted({w for row in licenses._template_rows() for w in row["words"]})
+    monkeypatch.setattr(licenses.Model, "gate", lambda self: None)
+    monkeypatch.setattr(licenses, "run_gate", lambda: words)
+    assert license_model.gate() is None
+    every = licenses.scan(rows, license_model).collect()
+    assert gated == sorted(map(str, every))
+    assert sum(len(r["licenses"]) > 0 for r in every) > 100
+
+
+def test_license_sample_has_no_cap_on_lines(spark):
+    rows = [(i, "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(3)) for j in range(4))) for i in range(50)]
+    rows += [(100, " ".join(f"long{k}" for k in range(5000))), (101, None), (102, "...\n\n")] + [(200 + i, "same line of words") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    every = licenses.drawn(licenses.id_text(docs), 1000).collect()
+    assert len(every) == 202 and max(len(r["words"]) for r in every) == licenses.MAX_WORDS
+    assert any(r["words"][0].startswith("long") for r in every)
+    assert licenses.drawn(licenses.id_text(docs), 20).count() == 20
+    assert licenses.drawn(licenses.id_text(docs.limit(0)), 20).count() == 0
+
+
 def _wrap(text, width, end="\n"):
     return end.join(text[i : i + width] for i in range(0, len(text), width))
 
