@@ -354,6 +354,22 @@ def test_wrapped_licenses(spark, license_model):
     assert got[9]["places"] == ""
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, docs, monkeypatch):
+    from pyspark.core.broadcast import Broadcast
+
+    texts = [t for t in TEXTS if t and len(t.split()) > 12]
+    items = [(f"i{i}", t[: 400 + i]) for i, t in enumerate(texts)] + [("same", texts[0])] * 50 + [(None, texts[1])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    gone = []
+    destroy = Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (gone.append(self), destroy(self, *a)))
+    whole = sorted(map(str, decontam.scan(docs, bench).collect()))
+    assert gone == []
+    _, blocks = decontam.blocks_of(bench, "item_id", "text", 3000)
+    parts = sorted(map(str, decontam.scan(docs, bench, block_bytes=3000).collect()))
+    assert blocks > 2 and len(gone) == blocks - 1 and parts == whole
+
+
 def test_license_gates_change_no_result(spark, license_model, monkeypatch):
     rnd = random.Random(5)
     notices = [t.split() for texts in licenses.TEMPLATES.values() for t in texts]

@@ -7,8 +7,11 @@ item with fewer words (but not none) is one window.  Candidates are runs of
 words that all occur in the items; each is verified against the exact windows.
 
 The items are broadcast only up to ``block_bytes`` of text.  More items are
-dealt into blocks of that size and every block scans all documents in turn,
-carrying the hits along with the row; no join and no shuffle in either case.
+dealt into blocks near that size (a longer item is a block of its own size) and
+every block scans all documents in turn, carrying the hits along with the row.
+Between blocks the rows are written to the shared folder and the block's
+broadcast is destroyed, so one block at a time is held by the driver and by a
+worker; the documents are not joined or shuffled in either case.
 
 Defined results: a null or empty text has no words and no hits; an empty item
 (null text, no words) has no window; repeated rows are judged row by row; items
@@ -25,6 +28,8 @@ from itertools import repeat
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.common import Tables
+
 NGRAM = 10
 BLOCK_BYTES = 32 << 20
 
@@ -96,10 +101,10 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
     ``block_bytes``; a block is read only when its turn comes."""
     items = benchmark.select(
         benchmark[id_col].cast("string").alias("item"), benchmark[text_col].cast("string").alias("text")
-    ).where("text is not null")
+    ).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 8).alias("b")).first()["b"] or 0
     count = -(-size // block_bytes) if size else 0
-    return items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(max(1, count)))), count
+    return items.withColumn("block", F.pmod(F.xxhash64("text", "item"), F.lit(max(1, count)))), count
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, block_bytes: int = BLOCK_BYTES,
@@ -122,10 +127,17 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, row: Column, n: int, block_b
         row.alias("_row"),
     )
     schema = base.schema
+    tables, written = Tables(spark), None
     for block in range(max(1, count)):
         rows = [] if not count else [tuple(r) for r in items.where(F.col("block") == block).select("item", "text").collect()]
         shared = spark.sparkContext.broadcast(rows)
         base = base.mapInArrow(_scanner(shared, n), schema)
+        if block + 1 < count:
+            before, written = written, tables.write(base)
+            base = written
+            shared.destroy()
+            if before is not None:
+                tables.drop(before)
     return base
 
 
@@ -161,6 +173,15 @@ def without_spans(text: bytes, spans: list) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+def _cleaned(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        rows = zip(batch.column("_text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+        texts = pa.array([without_spans(t, s) if s else t for t, s in rows], batch.schema.field("_text").type)
+        yield batch.set_column(batch.schema.names.index("_text"), "_text", texts)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: bool = True, n: int = NGRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with all their columns, without benchmark passages: whole
     documents go (``drop``), or only the spans that are hit."""
@@ -168,8 +189,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: bool = True, n: i
     found = _scanned(docs, benchmark, row, n, block_bytes, "text", "item_id")
     if drop:
         return found.where(F.size("spans") == 0).select("_row.*")
-    clean = F.udf(lambda t, s: without_spans(bytes(t), s).decode(), "string")
-    text = F.when(F.size("spans") == 0, F.col("_row.text")).otherwise(clean("_text", "spans"))
+    found = found.select("_text", "spans", "_row")
+    found = found.mapInArrow(_cleaned, found.schema)
+    text = F.when(F.size("spans") == 0, F.col("_row.text")).otherwise(F.col("_text").cast("string"))
     return found.select(*[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
