@@ -406,6 +406,26 @@ def test_license_sample_has_no_cap_on_lines(spark):
     assert licenses.drawn(licenses.id_text(docs.limit(0)), 20).count() == 0
 
 
+def test_licenses_are_fitted_on_every_paragraph(spark):
+    rows = [(i, "\n".join(f"word{i}x{j} under a blue sky" for j in range(20))) for i in range(400)]
+    rows += [(500, " ".join(f"long{k}" for k in range(300)) + " prior written"), (501, "same line\n\nsame line"), (502, "Released under the MIT License.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    positive, ordinary = licenses.training(licenses.id_text(docs))
+    sets = {tuple(r["features_of"]): r["n"] for r in ordinary.collect()}
+    assert sets == {("a", "under", "under a"): 8000, ("prior", "prior written", "written"): 1, (): 1}
+    assert {r["family"] for r in positive.collect()} == set(licenses.TEMPLATES)
+    model = licenses.fit(docs)
+    got = _by_id(licenses.digest(licenses.scan(docs, model)))
+    assert sum(r["n_predicted"] for i, r in got.items() if i < 502) <= 8 and got[502]["places"] == "0:mit"
+
+
+def test_license_cutoff_counts_every_paragraph(spark):
+    scored = spark.createDataFrame([(99_890, 0.1), (100, 0.7), (9, 0.8), (1, 1.0)], "n long, p double")
+    assert 0.7 < licenses._cutoff(scored) < 0.71
+    assert 0.1 < licenses._cutoff(scored.where("p != 0.7")) < 0.11
+    assert licenses._cutoff(scored.limit(0)) == 0.0
+
+
 def _wrap(text, width, end="\n"):
     return end.join(text[i : i + width] for i in range(0, len(text), width))
 

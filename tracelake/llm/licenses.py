@@ -3,15 +3,17 @@ templates confirm it.
 
 A paragraph is a line with a word; notices wrapped over several lines are found
 as runs of lines.  Features are a paragraph's distinct words and word pairs,
-lower-cased.  Training rows are the template notices, stretches of them
-(a notice is often quoted in part), and a bounded sample of the corpus' own
-paragraphs that resemble no template, as the class ``none``.  An L1-penalised
-multinomial logistic regression leaves few weights.
+lower-cased, that a notice holds.  Training rows are the template notices,
+stretches of them (a notice is often quoted in part), and, as the class ``none``,
+all distinct paragraphs of the corpus that resemble no template, whole.  Those that
+hold the same terms are one row with their number as its weight, so that the fit
+covers every paragraph and grows with the different sets of terms.  An
+L1-penalised multinomial logistic regression leaves few weights.
 
 Scoring: weights are looked up and summed within the row.  A family is reported
-only above ``cutoff``, the probability that all but one in a thousand of a second,
-held-out sample of ordinary paragraphs stay below (the calibrated unknown class),
-and is confirmed if enough of a template's word pairs occur in the paragraph.
+only above ``cutoff``, the probability that all but one in a thousand of the corpus'
+ordinary paragraphs stay below (the calibrated unknown class; every one of them
+is scored and counted), and is confirmed if enough of a template's word pairs occur in the paragraph.
 Most paragraphs are settled before that, with the same result: a sum above the
 cutoff needs one of the words of ``Model.gate``, and a run that can be confirmed
 one of ``run_gate``.  The features of other paragraphs are not formed.
@@ -43,19 +45,18 @@ from functools import lru_cache
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.llm.common import cut, id_text
 
-SAMPLE = 3000  # paragraphs of the corpus in training, and as many held out
 SIMILARITY = 0.6  # share of a template's word pairs that confirms
 RESEMBLES = 0.3  # share from which a corpus paragraph is no negative example
-ODDS = 0.999  # share of held-out ordinary paragraphs below the cutoff
+ODDS = 0.999  # share of the ordinary paragraphs below the cutoff
+STEP = 0.01  # in log odds, to which the cutoff is rounded up
 RUN_WORDS = 80  # between the first and the last line of a run; the longest template has fewer than half
-MAX_WORDS = 60  # of a training paragraph; a longer one is represented by so many from a drawn place on
-FEW = 10  # rows that an ordinary term is in, to be a feature; a notice's term needs two
-TERMS = 20_000  # features at most; bounds the fit's memory on the driver
+MAX_WORDS = 60  # of a drawn paragraph; a longer one is represented by so many from a drawn place on
 
 # Short notices of licence families, as commonly quoted.
 TEMPLATES = {
@@ -181,10 +182,10 @@ def similarity(pairs: Column, family: Column | None = None) -> Column:
 
 
 def drawn(docs: DataFrame, n: int) -> DataFrame:
-    """``words`` of about the ``n`` distinct lines with the smallest hashes.  The
-    number of distinct lines, estimated first, tells the bound on hashes that
-    leaves a few times ``n``, so that only those are shuffled; it is raised
-    while they are too few."""
+    """``words`` of about the ``n`` distinct lines with the smallest hashes, for a
+    fit on part of a corpus (``op3`` fits on all of it).  The number of distinct
+    lines, estimated first, tells the bound on hashes that leaves a few times
+    ``n``, so that only those are shuffled; it is raised while they are too few."""
     lines = docs.select(F.explode(F.split("text", "\n")).alias("t")).where(F.col("t").rlike(r"[\p{L}\p{N}+-]"))
     lines = lines.withColumn("h", F.xxhash64("t"))
     distinct = lines.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
@@ -201,16 +202,37 @@ def drawn(docs: DataFrame, n: int) -> DataFrame:
     return words.withColumn("h", F.xxhash64("words"))
 
 
-def training(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
-    """Labelled feature rows, and held-out ordinary paragraphs."""
-    notices = templates(spark)
+def noted(words: DataFrame) -> DataFrame:
+    """``features_of, n``: the distinct paragraphs of ``words`` by the notice
+    terms they hold, without those that resemble a template."""
+    known = sorted({f for row in _template_rows() for f in (*row["words"], *row["pairs"])})
+    single = [f for f in known if " " not in f]
+    own = _held(words, _in=F.transform("words", lambda w: F.when(w.isin(single), w)))
+    rest = F.greatest(F.size("_in") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("_in", 1, rest), F.slice("_in", 2, rest), lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = F.sort_array(F.array_distinct(F.filter(F.concat("_in", pairs), lambda x: x.isin(known))))
+    hashes = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]
+    own = own.select(*hashes, F.array_join(terms, "\n").alias("terms")).distinct()
+    own = cut(own.groupBy("terms").agg(F.count(F.lit(1)).alias("n")))
+    own = own.select(F.array_remove(F.split("terms", "\n"), "").alias("features_of"), "n")
+    some = F.exists("features_of", lambda x: F.contains(x, F.lit(" ")))
+    return own.where(F.when(some, similarity(F.col("features_of"))).otherwise(0.0) < RESEMBLES)
+
+
+def training(docs: DataFrame, sample: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Feature rows with their numbers: of notices (``family, features_of, n``) and
+    of all ordinary paragraphs, or of about 2 * ``sample`` drawn ones."""
+    notices = templates(docs.sparkSession)
     n = F.size("words")
     width = F.greatest(F.lit(3), F.ceil(n * 0.6).cast("int"))
     stretches = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - width + 1)), lambda i: F.slice("words", i, width))
     positive = notices.select("family", F.explode(F.concat(F.array("words"), stretches)).alias("words"))
-    picked = drawn(docs, 2 * sample).where(similarity(_pairs("words")) < RESEMBLES)
-    negative = picked.where(F.pmod("h", F.lit(2)) == 0).select(F.lit(NONE).alias("family"), "words")
-    return positive.unionByName(negative), picked.where(F.pmod("h", F.lit(2)) == 1).select("words")
+    positive = positive.select("family", _features("words").alias("features_of"), F.lit(1).cast("long").alias("n"))
+    if sample is None:
+        words = _held(docs.select(F.explode(F.split("text", "\n")).alias("t")), words=_words(F.col("t"))).where(F.size("words") > 0)
+    else:
+        words = drawn(docs, 2 * sample)
+    return positive, noted(words.select("words"))
 
 
 class Model:
@@ -240,25 +262,25 @@ class Model:
         return sorted(out)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    spark = docs.sparkSession
-    rows, held_out = training(spark, id_text(docs), sample)
-    rows = cut(rows.withColumn("features_of", _features("words")))
+def fit(docs: DataFrame, sample: int | None = None) -> Model:
+    """Fitted and calibrated on all paragraphs, or on about 2 * ``sample``."""
+    positive, ordinary = training(id_text(docs), sample)
+    ordinary = cut(ordinary)
+    rows = cut(positive.unionByName(ordinary.select(F.lit(NONE).alias("family"), "features_of", "n")))
     families = sorted(TEMPLATES) + [NONE]
     number = F.array_position(_texts(families), F.col("family")) - 1
-    counted = rows.groupBy("family").count()
-    n = rows.count()
-    weight = counted.select("family", (F.lit(float(n)) / (F.col("count") * len(families))).alias("weight"))
-    rows = rows.join(F.broadcast(weight), "family").withColumn("label", number.cast("double"))
+    counted = rows.groupBy("family").agg(F.sum("n").alias("all"))
+    weighted = rows.join(F.broadcast(counted), "family").select(
+        number.cast("double").alias("label"), "features_of", (F.col("n") / F.col("all")).alias("weight")
+    )
     notice = F.max(F.when(F.col("family") != NONE, 1).otherwise(0))
-    terms = rows.select("family", F.explode("features_of").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), notice.alias("notice"))
-    terms = terms.where((F.col("n") >= FEW) | ((F.col("n") >= 2) & (F.col("notice") == 1)))
-    terms = terms.orderBy(F.desc("notice"), F.desc("n"), "term").limit(TERMS).orderBy(F.desc("n"), "term")
+    terms = rows.select("family", "n", F.explode("features_of").alias("term")).groupBy("term").agg(F.sum("n").alias("n"), notice.alias("notice"))
+    terms = terms.where("notice = 1").orderBy(F.desc("n"), "term").select("term")
     vector = CountVectorizerModel.from_vocabulary([r["term"] for r in terms.collect()], "features_of", "features")
     vector.setBinary(True)
     model = LogisticRegression(
         maxIter=40, regParam=1e-3, elasticNetParam=1.0, standardization=False, weightCol="weight", family="multinomial"
-    ).fit(vector.transform(rows).select("label", "features", "weight"))
+    ).fit(vector.transform(weighted).select("label", "features", "weight"))
     weights = model.coefficientMatrix.toArray()
     present = [i for i in range(weights.shape[0])]
     intercepts = list(model.interceptVector) + [-50.0] * (len(families) - len(present))
@@ -267,13 +289,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         if weights[:, j].any():
             terms.append((term, [float(weights[i, j]) for i in present] + [0.0] * (len(families) - len(present))))
     found = Model(families, [float(x) for x in intercepts], terms)
-    words = _held(held_out, features_of=_features("words"))
-    ordinary = _scored(words.select(F.array(F.struct(F.lit(0).alias("line"), "features_of")).alias("paragraphs")), found)
-    best = ordinary.select(F.explode("scored.probability").alias("p")).agg(F.percentile("p", ODDS).alias("p")).first()["p"]
-    found.cutoff = max(0.5, best or 0.0)
+    best = F.array_max(F.slice(vector_to_array("probability"), 1, len(families) - 1))
+    found.cutoff = max(0.5, _cutoff(model.transform(vector.transform(ordinary)).select("n", best.alias("p"))))
     return found
 
 
+def _cutoff(scored: DataFrame) -> float:
+    """The least probability, in steps of ``STEP`` of its log odds, that at most
+    one in a thousand of ``n, p`` reach."""
+    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), "p"))
+    steps = scored.groupBy(F.floor(F.log(p / (1 - p)) / STEP).alias("step")).agg(F.sum("n").alias("n"))
+    steps = sorted(((r["step"], r["n"]) for r in steps.collect()), reverse=True)
+    left = round(sum(n for _, n in steps) * (1 - ODDS))
+    for step, n in steps:
+        left -= n
+        if left < 0:
+            return 1 / (1 + math.exp(-(step + 1) * STEP))
+    return 0.0
+
+
 def _held(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are computed once a row: an explode keeps them from
     being merged into later steps, which would repeat them for each line."""
