@@ -45,6 +45,34 @@ def test_dedup_within_watermark(spark, scratch):
     assert sorted(r["part_id"] for r in spark.read.parquet(f"{root}/out").collect()) == ["p1", "p2"]
 
 
+def test_dedup_query_takes_few_batches_of_an_input_in_many_files(spark, scratch, monkeypatch):
+    import os
+
+    from tracelake import queries
+
+    sf, root = scratch("sf"), scratch("dedup-query")
+    rows = [(c, t, "user", f"text {c} {t}") for c in range(1, 31) for t in range(6)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns.repartition(40).write.parquet(f"{sf}/conversations.parquet")
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: root)
+    monkeypatch.setattr(queries.fx, "fx_parts", lambda s, d, f=queries.fx.fx_parts: f(s, d).repartition(40))
+    got = [r["part_id"] for r in queries.q_stream_dedup(spark, sf).collect()]
+    assert sorted(got) == sorted(f"p{c}-{t}" for c, t, _, _ in rows)
+    batches = [n for n in os.listdir(f"{root.removeprefix('file:')}/ckpt/commits") if n.isdigit()]
+    assert len(batches) <= 4  # a file of each load, not one of each task, and one without rows
+
+
+def test_files_by_rows(spark, scratch):
+    from tracelake.sources import sinks
+
+    df = spark.range(1000).repartition(20)
+    for rows, files in ((1000, 1), (999, 2), (300, 4)):
+        path = sinks.write_files(df, scratch("files"), rows=rows)
+        back = spark.read.parquet(path)
+        assert back.count() == 1000 and len(back.inputFiles()) == files
+    assert spark.read.parquet(sinks.write_files(df.limit(0), scratch("files"))).count() == 0
+
+
 def test_changelog_then_latest(spark, scratch):
     from tracelake.schemas import PARTS
 

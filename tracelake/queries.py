@@ -683,7 +683,7 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "stream-dedup")
     loads = _load_frames(spark, sf)[::-1]
     for n, frame in enumerate(loads):
-        frame.withColumn("dt", epoch_ms("time_created")).write.parquet(f"{root}/in/load={n}")
+        sinks.write_files(frame.withColumn("dt", epoch_ms("time_created")), f"{root}/in/load={n}")
     schema = spark.read.parquet(f"{root}/in/load=0").schema
     src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
     deduped = streams.stream_dedup(streams.with_arrival(src.parquet(f"{root}/in")), "part_id")

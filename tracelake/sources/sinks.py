@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tracelake.plans.ordering import row_hash
 from tracelake.session import shuffle_partitions
 
+# Fixed value: rows a file of ``write_files``.
+ROWS_PER_FILE = 100_000
+
 
 def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     """Cluster rows on ``column`` for a ``partitionBy(column)`` write, with
@@ -81,6 +84,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
+def write_files(df: DataFrame, path: str, rows: int = ROWS_PER_FILE) -> str:
+    """A table in files of about ``rows`` rows, however many tasks made it: for
+    readers whose cost goes by the file, as a stream that takes some files a batch.
+    Counts the rows first; they are dealt out evenly, so no task writes more."""
+    files = max(1, -(-df.count() // rows))
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    return path
+
+
 def export_session(df: DataFrame, session_id: str, path: str, column: str = "session_id") -> str:
     """One session's rows to their own location; an empty result is an
     error, as in the original exporter.  The emptiness test reads one row."""
