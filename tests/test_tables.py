@@ -112,6 +112,32 @@ def test_upsert_rerun_replaces_the_load(spark, scratch):
     assert tables.read_loads(spark, d).count() == 1
 
 
+def test_session_export_reads_its_input_twice_and_lists_with_few_tasks(spark, scratch):
+    from tracelake.sources import tables as sources
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(f"s{i % 50}", f"p{i}") for i in range(200)], "session_id string, part_id string")
+    path = sinks.export_all_sessions(df.mapInArrow(count, df.schema), scratch("once"))
+    assert seen.value == 2 * 200  # counted, then written
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    with sources.few_listing_tasks(spark):
+        assert int(spark.conf.get(key)) == 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key, None) is None
+    tasks = []
+    spark.sparkContext.setJobGroup("listing", "")
+    assert read_parts(spark, path, merge=False).count() == 200
+    for job in spark.sparkContext.statusTracker().getJobIdsForGroup("listing"):
+        stages = spark.sparkContext.statusTracker().getJobInfo(job).stageIds
+        tasks += [spark.sparkContext.statusTracker().getStageInfo(k).numTasks for k in stages]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism  # 50 folders
+
+
 def test_cluster_by_group_with_a_map_column(spark, scratch):
     df = spark.createDataFrame([("s1", {"k": "v"}), ("s2", None)], "session_id string, extras map<string,string>")
     path = sinks.export_all_sessions(df, scratch("maps"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.plans.ordering import row_hash
-from tracelake.session import shuffle_partitions
+from tracelake.session import shared_dir, shuffle_partitions
 
 # Fixed value: rows a file of ``write_files``.
 ROWS_PER_FILE = 100_000
@@ -16,8 +16,8 @@ def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFr
     """Cluster rows on ``column`` for a ``partitionBy(column)`` write, with
     hot groups split.
 
-    Rows per group are counted first (partial aggregation; one scalar action
-    reads the total).  A group is hot when it holds more than ``total / n``
+    Rows per group are counted first (partial aggregation, written once; one
+    scalar action reads the total).  A group is hot when it holds more than ``total / n``
     rows, so there are at most ``n`` hot groups: that table has a proven size
     bound and is broadcast.  Each hot group gets ``k = ceil(rows / (total /
     n))`` salts taken from a hash of the row's content (deterministic, so a
@@ -28,7 +28,9 @@ def cluster_by_group(df: DataFrame, column: str, n: int | None = None) -> DataFr
     spark = df.sparkSession
     n = n or shuffle_partitions(spark)
     key = F.col(f"`{column}`")
-    counts = df.groupBy(key.alias("_tl_group")).agg(F.count(F.lit(1)).alias("_tl_rows"))
+    shared_dir(spark)
+    # kept: both the total and the hot groups are read from it, the input is not
+    counts = df.groupBy(key.alias("_tl_group")).agg(F.count(F.lit(1)).alias("_tl_rows")).checkpoint(eager=True)
     total = counts.agg(F.sum("_tl_rows")).first()[0] or 0
     share = max(1.0, total / n)
     hot = counts.where(F.col("_tl_rows") > share).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -11,6 +13,22 @@ from tracelake.sources.mixed import ReadError, cannot_merge, read_mixed
 from tracelake.sources.sinks import session_bucket
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """While a table of many folders is opened: they are listed by four tasks a
+    core.  Spark's own default is a task for each folder up to 10,000, which list no
+    more at a time and cost more than the listing.  A set value is kept."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> DataFrame:
     """Read Parquet written by any exporter and conform it to ``schema`` by
     name.  Files of one table may disagree on types (a pandas writer turns an
@@ -19,7 +37,9 @@ def _read_conformed(spark: SparkSession, path: str, schema, merge: bool) -> Data
     are many) and cast, and files that cannot be merged are read in groups of
     like types; without it the fixed schema is imposed on the scan."""
     if not merge:
-        return conform(spark.read.schema(schema).option("basePath", path).parquet(path), schema)
+        with few_listing_tasks(spark):
+            raw = spark.read.schema(schema).option("basePath", path).parquet(path)
+        return conform(raw, schema)
     try:
         return conform(spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path), schema)
     except ReadError as e:
