@@ -14,8 +14,20 @@ from tracelake.llm.common import table
 from tracelake.session import scratch_path
 
 
+BATCH_ROWS = 1000  # of whole texts, or of two shingle sets each
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go between the JVM and the Python workers ``BATCH_ROWS`` at a time,
+    unless the session says how many: at Spark's 10,000 a batch is a task's
+    whole split, held several times over outside the heap."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier (fitted on all labels) accepts."""
+    small_batches(spark)
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
@@ -28,17 +40,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate class."""
+    small_batches(spark)
     return neardup.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
+    small_batches(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4,096 tokens.  Small word
     stores: the worker processes still hold what the stages before left."""
+    small_batches(spark)
     return packing.pack(packing.pieces(docs, cache_words=60_000))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,23 @@ def only(docs: DataFrame, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFra
     return docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
 
 
+_KEPT: dict[tuple, object] = {}  # what this worker process keeps from task to task
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """What ``make`` returns, kept by the worker process until another key is
+    asked for or ``forget`` is called: one object at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """For tasks that need nothing of what an operator before them left."""
+    _KEPT.clear()
+
+
 def rows_of(columns: list[list], names: list[str], types: list) -> "object":
     """An Arrow record batch from Python lists."""
     import pyarrow as pa

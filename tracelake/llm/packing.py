@@ -28,10 +28,10 @@ import re
 from bisect import insort
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, id_text
+from tracelake.llm.common import cut, id_text, kept
 
 SIZE = 4096
 END_ID = 2
@@ -176,15 +176,9 @@ def plain(word: str) -> bool:
     return word.isalpha() and max(word) < "\u0180" and word.lower().isalpha()
 
 
-_ENCODERS: dict[tuple, Encoder] = {}  # a worker process keeps its encoder from task to task
-
-
 def encoder_of(tokenizer: str, cache_words: int | None = None) -> Encoder:
-    key = tokenizer, cache_words
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(tokenizer, cache_words)
-    return _ENCODERS[key]
+    """A worker process keeps its encoder from task to task."""
+    return kept(("packing", tokenizer, cache_words), lambda: Encoder(tokenizer, cache_words))
 
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str = TOKENIZER, keep_ids: bool = False,
@@ -262,6 +256,18 @@ def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[tup
     return steps
 
 
+def step_table(spark: SparkSession, steps: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """The steps as an Arrow table: a list would go through Python workers of its
+    own on the executors, beside those of the operators."""
+    import pyarrow as pa
+
+    names = ["_length", "_from", "_to", "_first", "_at"]
+    schema = "_length long, _from long, _to long, _first long, _at long"
+    if not steps:
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*steps, strict=True)], names), schema)
+
+
 def pack(found: DataFrame, size: int = SIZE) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (as ``pieces`` returns)."""
     spark = found.sparkSession
@@ -280,7 +286,7 @@ def pack(found: DataFrame, size: int = SIZE) -> DataFrame:
         .join(before, ["length", "_salt"])
         .withColumn("_rank", F.col("_before") + F.col("_own"))
     )
-    plan = spark.createDataFrame(steps, "_length long, _from long, _to long, _first long, _at long")
+    plan = step_table(spark, steps)
     if len(steps) <= BROADCAST_STEPS:
         plan = F.broadcast(plan)
     at = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))

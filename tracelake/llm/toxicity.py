@@ -27,13 +27,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import id_text, rows_of
+from tracelake.llm.common import forget, id_text, rows_of
 
 SAMPLE = 2000  # documents per class that the classifier is fitted on
 THRESHOLD = 0.7
@@ -41,7 +41,8 @@ SWAP_WEIGHT = 1.0
 SPACE = 1 << 22
 MIN_DOCUMENTS = 3  # documents of the sample that a feature must occur in
 WORD = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000  # of a task, about 30 MB
+ROWS = 500  # documents whose texts are Python strings at a time
 
 # Groups of identity terms that may stand for one another.
 IDENTITY_GROUPS = (
@@ -192,8 +193,9 @@ def fit(docs: DataFrame, labels: DataFrame, use: Callable[[Column], Column] | No
 
         import pyarrow as pa
 
+        forget()
         ints = pa.binary()
-        for batch in batches:
+        for batch in parts(batches):
             fs, ns, ps = [], [], []
             for text in batch.column(2).to_pylist():
                 own = distinct_words(text)
@@ -212,6 +214,13 @@ def fit(docs: DataFrame, labels: DataFrame, use: Callable[[Column], Column] | No
     return fit_rows(rows, pairs, share if share is not None else 0.5, swap_weight)
 
 
+def parts(batches: Iterator) -> Iterator:
+    """Batches of at most ``ROWS`` rows."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` for every row, over whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
@@ -219,8 +228,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         import pyarrow as pa
 
+        forget()
         own = Model(*shared.value)
-        for batch in batches:
+        for batch in parts(batches):
             scores = [own.score(t) for t in batch.column(1).to_pylist()]
             yield rows_of([batch.column(0), scores], ["doc_id", "score"], [pa.int64(), pa.float64()])
 
@@ -234,8 +244,9 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     number = docs.columns.index("text")
 
     def run(batches):
+        forget()
         own = Model(*shared.value)
-        for batch in batches:
+        for batch in parts(batches):
             yield batch.filter(_mask([own.score(t or "") < threshold for t in batch.column(number).to_pylist()]))
 
     return docs.mapInArrow(run, docs.schema)
