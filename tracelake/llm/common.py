@@ -71,6 +71,23 @@ def only(docs: DataFrame, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFra
     return docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
 
 
+def among(df: DataFrame, cols: list, keys: DataFrame, how: str = "left_semi", words: int = BROADCAST_IDS) -> DataFrame:
+    """The rows of ``df`` whose ``cols`` may be among the rows of ``keys`` (like
+    types), all that are and few others; with ``left_anti``, the rest.  For what
+    goes to a join: ``keys``, a table of any length, are broadcast as one bit
+    each, 16 places a key up to ``words`` numbers of 64 bits."""
+    words = max(1, min(words, keys.count() // 4))
+
+    def place(cols: list):
+        h = F.xxhash64(F.lit("bits"), *cols)
+        return F.pmod(h, F.lit(words)).alias("_word"), F.shiftrightunsigned(h, 58).cast("int").alias("_place")
+
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_place"))
+    bits = keys.select(*place(keys.columns)).groupBy("_word").agg(F.bit_or(one).alias("_bits"))
+    word, at = place(cols)
+    return df.join(F.broadcast(bits), (word == bits["_word"]) & (F.getbit(bits["_bits"], at) == 1), how)
+
+
 _KEPT: dict[tuple, object] = {}  # what this worker process keeps from task to task
 
 

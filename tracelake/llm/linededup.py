@@ -18,6 +18,10 @@ line is dropped if a line alike it comes earlier, by (doc_id, row, line number).
 
 Everything is DataFrame expressions.  Hot lines are combined map-side; the last
 join is between two written or scanned tables, which Spark splits when skewed.
+Texts, lines and keys go to a join only if they may have a partner there, which
+a broadcast bit a key tells (``common.among``); the join itself is exact.
+Tables between the steps are Parquet files in the shared folder, removed once
+what follows from them is written.
 
 Defined results: blank lines are no lines (they stay); a null or empty text has
 none; ties (equal lines) go to the smaller position; rows that share a doc_id
@@ -32,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import BROADCAST_IDS, cut, id_text
+from tracelake.llm.common import BROADCAST_IDS, Tables, among, cut, id_text
 
 MIN_WORDS = 8  # of both lines, for an edit to count
 BLOCK = 256  # words whose running hashes are built together
@@ -40,16 +44,18 @@ _FIRST = -(1 << 63)
 _ROW = 31  # bits of a line number, and of a row number
 
 
-def row_numbers(texts: DataFrame) -> DataFrame | None:
+def row_numbers(texts: DataFrame, tables: Tables) -> DataFrame | None:
     """``_id, _h1, _h2, _n``: a number for each distinct text of the ids that
     several rows share; None if there is no such id."""
-    ids = cut(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    n = ids.count()
+    shared = tables.write(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    n = shared.count()
     if not n:
+        tables.drop(shared)
         return None
-    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
+    ids = F.broadcast(shared) if n <= BROADCAST_IDS else shared
     own = texts.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), *_text_hashes("text"))
     own = cut(own.distinct().orderBy("_id", "_h1", "_h2"))
+    tables.drop(shared)
     # the checkpoint's partitions are fixed, and so are the numbers within them
     own = own.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_n"))
     counts = sorted(own.groupBy("_p").count().collect())
@@ -78,10 +84,9 @@ def lines(docs: DataFrame, least: int) -> DataFrame:
     """``doc_id, _row, line`` (number), ``m`` (words), hashes and halves of
     every line with a word, from ``doc_id, _row, text``; no text."""
     own = docs.select("doc_id", "_row", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    own = own.select("doc_id", "_row", "line", _words("t").alias("words"))
+    own = own.where(F.col("t").rlike(r"[^ \t\x0b\f\r]")).select("doc_id", "_row", "line", _words("t").alias("words"))
     size = F.size("words")
-    own = own.select("doc_id", "_row", "line", size.alias("m"), *_hashes(), *halves(size, F.col("words"), least))
-    return cut(own).where("m > 0")
+    return own.select("doc_id", "_row", "line", size.alias("m"), *_hashes(), *halves(size, F.col("words"), least))
 
 
 def _words(line: str) -> Column:
@@ -106,38 +111,39 @@ def _half(short: Column) -> Column:
 
 def halves(size: Column, words: Column, least: int) -> list[Column]:
     """Hashes of the halves that an edit may leave: of the line as the shorter
-    (or equal) one of a pair, and as the longer one."""
+    (or equal) one of a pair (``p``, ``s``), and as the longer one (``long_p``,
+    ``long_s``, null where they are the same words)."""
     out = []
     for side in ("p", "s"):
 
         def part(h, side=side):
             return F.xxhash64(F.slice(words, 1, h) if side == "p" else F.slice(words, size - h + 1, h))
 
-        own = part(_half(size))
-        longer = F.when(size % 4 == 0, part(_half(size - 1))).otherwise(own)
-        out.append(F.when(size >= least, F.xxhash64(F.lit(side), size, own)).alias(f"own_{side}"))
-        out.append(F.when(size - 1 >= least, F.xxhash64(F.lit(side), size - 1, longer)).alias(f"long_{side}"))
+        out.append(F.when(size >= least, part(_half(size))).alias(side))
+        out.append(F.when((size % 4 == 0) & (size - 1 >= least), part(_half(size - 1))).alias(f"long_{side}"))
     return out
 
 
 def distinct_lines(own: DataFrame) -> DataFrame:
-    """One row per distinct line: hashes, first position, count, halves."""
-    parts = [c for c in own.columns if c.endswith(("_p", "_s"))]
+    """One row per distinct line: hashes, first position, count, words, halves."""
+    parts = ["m", "p", "s", "long_p", "long_s"]
     own = own.select(_pos(), "k1", "k2", *parts)
     return own.groupBy("k1", "k2").agg(F.min("pos").alias("pos"), F.count("pos").alias("n"), *[F.min(c).alias(c) for c in parts])
 
 
-def with_company(distinct: DataFrame) -> DataFrame:
+def with_company(distinct: DataFrame, least: int, tables: Tables) -> DataFrame:
     """``pos`` of the lines that share a half with another, and whether it is a
     first (``p``) or a last one (``s``)."""
-    parts = [
-        F.struct(F.col(f"{name}_{side}").alias("half"), F.lit(name == "own").alias("own"), F.lit(side == "p").alias("p"))
-        for name in ("own", "long")
-        for side in ("p", "s")
-    ]
-    each = distinct.select("pos", F.explode(F.array(*parts)).alias("h")).select("pos", "h.*").where("half is not null")
+    size = F.col("m")
+    parts = []
+    for side in ("p", "s"):
+        own = F.when(size >= least, F.xxhash64(F.lit(side), size, F.col(side)))
+        long = F.when(size - 1 >= least, F.xxhash64(F.lit(side), size - 1, F.coalesce(f"long_{side}", side)))
+        parts += [F.struct(half.alias("half"), F.lit(half is own).alias("own"), F.lit(side == "p").alias("p")) for half in (own, long)]
+    each = distinct.where(size >= least).select("pos", F.explode(F.array(*parts)).alias("h")).select("pos", "h.*").where("half is not null")
     shared = each.groupBy("half").agg(F.count("pos").alias("n"), F.max("own").alias("any_own")).where("n > 1 and any_own")
-    found = each.join(shared.select("half"), "half")
+    shared = tables.write(shared.select("half"))
+    found = among(each, ["half"], shared).join(shared, "half")
     return found.groupBy("pos").agg(F.max("p").alias("p"), F.max(~F.col("p")).alias("s"))
 
 
@@ -197,47 +203,50 @@ def within_one_edit(a: str, b: str) -> Column:
     return (F.abs(F.size(x) - F.size(y)) <= 1) & (kept >= longest - 1)
 
 
-def alike_lines(distinct: DataFrame, docs: DataFrame, copies: bool) -> DataFrame:
-    """``pos`` of the distinct lines that have an earlier one within one edit;
-    ``copies``: whether rows may be equal."""
+def alike_lines(distinct: DataFrame, docs: DataFrame, copies: bool, least: int, tables: Tables) -> DataFrame:
+    """``k1, k2, pos`` of the distinct lines that have an earlier one within one
+    edit; ``copies``: whether rows may be equal."""
     ids = F.lit(1 << 2 * _ROW).cast("decimal(19,0)")
-    company = with_company(distinct).withColumn("of", F.floor(F.col("pos") / ids).cast("long"))
-    rest = (F.col("pos") - F.col("of").cast("decimal(19,0)") * ids).cast("long")
+    company = with_company(distinct, least, tables).withColumn("doc_id", F.floor(F.col("pos") / ids).cast("long"))
+    rest = (F.col("pos") - F.col("doc_id").cast("decimal(19,0)") * ids).cast("long")
     line = rest.bitwiseAND((1 << _ROW) - 1).cast("int")
-    company = company.select("of", F.shiftright(rest, _ROW).alias("of_row"), "p", "s", line.alias("line"))
-    wanted = company.groupBy("of", "of_row").agg(
-        F.collect_set("line").alias("wanted"),
-        F.collect_set(F.when(F.col("p"), F.col("line"))).alias("ps"),
-        F.collect_set(F.when(F.col("s"), F.col("line"))).alias("ss"),
-    )
-    here = docs.join(wanted, (F.col("doc_id") == F.col("of")) & (F.col("_row") == F.col("of_row")))
-    each = F.transform(F.split("text", "\n"), lambda t, i: F.struct(t.alias("t"), i.alias("line")))
-    own = here.select("doc_id", "_row", "ps", "ss", F.explode(F.filter(each, lambda x: F.array_contains("wanted", x["line"]))).alias("x"))
-    own = own.select("doc_id", "_row", "ps", "ss", "x.line", _words("x.t").alias("words"))
-    flag = [F.array_contains(c, F.col("line")).alias(c[0]) for c in ("ps", "ss")]
-    own = own.select(_pos(), *flag, "words")
-    own = cut(own.dropDuplicates(["pos"]) if copies else own)  # equal rows share positions
-    keys = cut(variants(own))
+    at = ["doc_id", "_row", "line"]
+    company = tables.write(company.select("doc_id", F.shiftright(rest, _ROW).alias("_row"), line.alias("line"), "p", "s"))
+    each = docs.select("doc_id", "_row", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    own = among(each, at, company.select(*at)).join(company, at).select(_pos(), "p", "s", "t")
+    own = tables.write(own.dropDuplicates(["pos"]) if copies else own)  # equal rows share positions
+    tables.drop(company)
+    keys = tables.write(variants(own.select("pos", "p", "s", _words("t").alias("words"))))
     first = keys.groupBy("key").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).where("first < last")
-    pairs = cut(keys.join(first, "key").where("pos > first").select("pos", "first").distinct())
-    one = own.select("pos", F.col("words").alias("w1"))
-    two = own.select(F.col("pos").alias("first"), F.col("words").alias("w2"))
-    return pairs.join(one, "pos").join(two, "first").where(within_one_edit("w1", "w2")).select("pos").distinct()
-
-
-def _found(texts: DataFrame, numbers: DataFrame | None, least: int) -> DataFrame:
+    first = tables.write(first.select("key", "first"))
+    pairs = among(keys, ["key"], first.select("key")).join(first, "key").where("pos > first")
+    pairs = tables.write(pairs.select("pos", "first").distinct())
+    tables.drop(keys, first)
+    one = among(own, ["pos"], pairs.select("pos")).select("pos", _words("t").alias("words"))
+    two = among(own, ["pos"], pairs.select("first")).select(F.col("pos").alias("first"), _words("t").alias("w2"))
+    alike = pairs.join(one, "pos").join(two, "first").where(within_one_edit("words", "w2"))
+    alike = tables.write(alike.select(*_hashes(), "pos").distinct())
+    tables.drop(own, pairs)
+    return alike
+
+
+def _found(texts: DataFrame, numbers: DataFrame | None, least: int, tables: Tables) -> DataFrame:
     """``doc_id, _row, copies`` (equal rows), ``all`` lines with a word and
     ``dropped`` ones of the first copy (numbers from 0, ascending)."""
     texts = numbered(texts, numbers, texts["doc_id"], texts["text"])
-    own = lines(texts, least)
-    distinct = cut(distinct_lines(own))
-    alike = cut(alike_lines(distinct, texts, numbers is not None))
-    known = distinct.select("k1", "k2", "n", F.col("pos").alias("first"))
-    known = known.join(alike.select(F.col("pos").alias("first"), F.lit(True).alias("alike")), "first", "left")
-    known = cut(known.where("n > 1 or alike").select("k1", "k2", "first", "alike"))
-    each = own.select("doc_id", "_row", "line", _pos(), "k1", "k2").join(known, ["k1", "k2"], "left")
-    gone = F.col("first").isNotNull() & ((F.col("pos") > F.col("first")) | F.coalesce("alike", F.lit(False)))
-    each = each.select("doc_id", "_row", "line", F.when(gone, F.col("line")).alias("gone"))
+    own = tables.write(lines(texts, least))
+    distinct = tables.write(distinct_lines(own))
+    alike = alike_lines(distinct, texts, numbers is not None, least, tables)
+    known = distinct.where("n > 1").select("k1", "k2", "pos", F.lit(False).alias("alike"))
+    known = known.unionByName(alike.withColumn("alike", F.lit(True)))
+    known = tables.write(known.groupBy("k1", "k2").agg(F.min("pos").alias("first"), F.max("alike").alias("alike")))
+    tables.drop(distinct, alike)
+    each = own.select("doc_id", "_row", "line", "k1", "k2")
+    here = among(each, ["k1", "k2"], known.select("k1", "k2")).join(known, ["k1", "k2"], "left")
+    gone = F.col("first").isNotNull() & ((_pos() > F.col("first")) | F.col("alike"))
+    here = here.select("doc_id", "_row", "line", F.when(gone, F.col("line")).alias("gone"))
+    rest = among(each, ["k1", "k2"], known.select("k1", "k2"), "left_anti")
+    each = here.unionByName(rest.select("doc_id", "_row", "line", F.lit(None).cast("int").alias("gone")))
     found = each.groupBy("doc_id", "_row").agg(
         F.count("line").alias("n"), F.array_sort(F.collect_set("line")).alias("all"), F.array_sort(F.collect_set("gone")).alias("dropped")
     )
@@ -251,35 +260,40 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
     """Per row with a line: ``doc_id, n_lines, n_dropped, dropped`` (line
     numbers from 0, ascending)."""
+    tables = Tables(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
-    found = _found(texts, row_numbers(texts), least)
+    found = _found(texts, row_numbers(texts, tables), least, tables)
     found = found.select("doc_id", "all", "dropped", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     found = found.withColumn("dropped", F.when(F.col("copy") == 1, F.col("dropped")).otherwise(F.col("all")))
-    return found.select(
+    return tables.last(found.select(
         F.nullif("doc_id", F.lit(_FIRST)).alias("doc_id"), F.size("all").cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"), "dropped",
-    )
+    ))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, without the dropped lines;
     documents that had words and have none left go."""
+    tables = Tables(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
-    numbers = row_numbers(texts)
-    found = _found(texts, numbers, least).where(F.size("dropped") > 0)
-    found = found.select(
+    numbers = row_numbers(texts, tables)
+    found = _found(texts, numbers, least, tables).where(F.size("dropped") > 0)
+    found = tables.last(found.select(
         F.col("doc_id").alias("_of"), F.col("_row").alias("_of_row"),
         (F.size("all") == F.size("dropped")).alias("_all"), F.col("dropped").alias("_dropped"),
-    )
+    ))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     own = numbered(docs, numbers, docs[id_col], text)
     if numbers is not None:
         own = _one_of_copies(own, id_col, text_col)
-    at = (F.coalesce(own[id_col].cast("long"), F.lit(_FIRST)) == found["_of"]) & (own["_row"] == found["_of_row"])
-    own = own.join(found, at, "left").where("not coalesce(_all, false)")
+    id_ = F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST))
+    places = found.select("_of", "_of_row")
+    here = among(own, [id_, "_row"], places)
+    here = here.join(found, (id_ == found["_of"]) & (F.col("_row") == found["_of_row"]), "left").where("not coalesce(_all, false)")
     kept = F.filter(F.split(F.col(text_col), "\n"), lambda t, i: ~F.array_contains("_dropped", i))
     text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return own.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    here = here.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return here.unionByName(among(own, [id_, "_row"], places, "left_anti").select(*docs.columns))
 
 
 def _one_of_copies(own: DataFrame, id_col: str, text_col: str) -> DataFrame:
