@@ -47,7 +47,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import BROADCAST_IDS, Tables, id_text
+from tracelake.llm.common import BROADCAST_IDS, Tables, among, id_text
 
 SHINGLE = 5
 PERCENT = 75
@@ -305,11 +305,17 @@ def near_duplicates(
     ))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """One document of each class, with all its columns: the smallest id.  Rows
-    that share that id all stay; rows with a null id all stay."""
+    that share that id all stay; rows with a null id all stay.  Up to ``limit``
+    ids that go are broadcast; of more, only texts that may go are shuffled."""
     gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = Tables(docs.sparkSession).write(gone)
+    if gone.count() <= limit:
+        return docs.join(F.broadcast(gone), docs["doc_id"] == gone["_gone"], "left_anti")
+    id_ = F.col("doc_id").cast("long")
+    here = among(docs, [id_], gone)
+    return here.join(gone, id_ == gone["_gone"], "left_anti").unionByName(among(docs, [id_], gone, "left_anti"))
 
 
 def with_sketches(pairs: DataFrame, odd: DataFrame, a: str, b: str) -> DataFrame:
